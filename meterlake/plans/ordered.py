@@ -106,21 +106,22 @@ def rank_desc(df: DataFrame, keys, value: str, name: str, splits: Splits) -> Dat
     return joined.withColumn(name, shifted).drop("_above", SLICE)
 
 
-def fill(df: DataFrame, keys, order, columns, splits: Splits) -> DataFrame:
-    """Forward fill, then backward fill, within each group."""
+def fill(
+    df: DataFrame, keys, order, columns, splits: Splits, backward: bool = True
+) -> DataFrame:
+    """Forward fill within each group, then backward fill for what is left."""
     keys, columns = list(keys), list(columns)
-    part = keys if not splits.any else [*keys, SLICE]
-    work = df if not splits.any else splits.assign(df)
-    up = _spec(part, order).rowsBetween(FIRST, 0)
-    down = _spec(part, order).rowsBetween(0, LAST)
+
+    def up(c, w):
+        return F.last(c, ignorenulls=True).over(w.rowsBetween(FIRST, 0))
+
+    def down(c, w):
+        return F.first(c, ignorenulls=True).over(w.rowsBetween(0, LAST))
+
     if not splits.any:
-        return work.withColumns(
-            {
-                c: F.coalesce(
-                    F.last(c, ignorenulls=True).over(up), F.first(c, ignorenulls=True).over(down)
-                )
-                for c in columns
-            }
+        w = _spec(keys, order)
+        return df.withColumns(
+            {c: F.coalesce(up(c, w), down(c, w)) if backward else up(c, w) for c in columns}
         )
 
     at = F.struct(*order)
@@ -136,14 +137,15 @@ def fill(df: DataFrame, keys, order, columns, splits: Splits) -> DataFrame:
         *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_pre_{c}") for c in columns],
         *[F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_post_{c}") for c in columns],
     )
-    own = work.withColumns(
-        {f"_up_{c}": F.last(c, ignorenulls=True).over(up) for c in columns}
-        | {f"_down_{c}": F.first(c, ignorenulls=True).over(down) for c in columns}
+    w = _spec([*keys, SLICE], order)
+    own = splits.assign(df).withColumns(
+        {f"_up_{c}": up(c, w) for c in columns} | {f"_down_{c}": down(c, w) for c in columns}
     )
     joined = _attach(own, summary, keys)
+    sources = ("_up_", "_pre_", "_down_", "_post_") if backward else ("_up_", "_pre_")
     drop = [f"{p}{c}" for c in columns for p in ("_up_", "_down_", "_pre_", "_post_")]
     return joined.withColumns(
-        {c: F.coalesce(f"_up_{c}", f"_pre_{c}", f"_down_{c}", f"_post_{c}") for c in columns}
+        {c: F.coalesce(*[f"{p}{c}" for p in sources]) for c in columns}
     ).drop(*drop, SLICE)
 
 
