@@ -44,7 +44,12 @@ def GROWTH(now: str, before: str) -> str:
 
 
 def Q(x: str, p: float) -> str:
-    return f"quantile_cont({x}, {p})"
+    """Linear quantile spelled out, since the built-in one fuses its multiply and add."""
+    pos = f"((len(l) - 1) * CAST({p} AS DOUBLE))"
+    lo, hi = (f"l[CAST({f}({pos}) AS BIGINT) + 1]" for f in ("floor", "ceil"))
+    at = f"{lo} + ({hi} - {lo}) * ({pos} - floor({pos}))"
+    values = f"list_sort(array_agg({x}) FILTER (WHERE {x} IS NOT NULL))"
+    return f"list_transform([{values}], lambda l: {at})[1]"
 
 
 def I(x: str) -> str:  # noqa: E743
