@@ -171,11 +171,12 @@ def _features(spark, d):
 
 def _extras(spark, d):
     out = features.exploratory_features(readings(spark, d))
-    nine = ["power_rolling_24h", "power_rolling_7d", "consumption_change"]
+    nine = ["power_rolling_24h", "consumption_change"]
     out = _round(_round(out, 9, *nine), 6, "consumption_change_pct")
+    out = _round(out, 11, "power_rolling_7d")
     return out.select(
         "_seq", "day", "day_of_year", "is_weekend", "season", "peak_hour_flag",
-        "power_factor_category", "load_category", "is_anomaly", *nine, "consumption_change_pct",
+        "power_factor_category", "load_category", "is_anomaly", *nine, "power_rolling_7d", "consumption_change_pct",
     )
 
 
