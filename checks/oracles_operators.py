@@ -555,7 +555,7 @@ def _aggregates() -> dict[str, str]:
             "star_fact star_zones",
             f"""WITH d AS (SELECT CAST(ts AS DATE) AS reading_date, meter_id, zone_id, {S(V)} AS s, {A(V)} AS a
             FROM star_fact GROUP BY 1, 2, 3), g AS (SELECT reading_date, zone_id, {S('s')} AS zone_total_kwh,
-            {A('a')} AS zone_avg_power_kw, COUNT(DISTINCT meter_id) AS meter_count FROM d GROUP BY 1, 2)
+            {R('(CAST(SUM(CAST(a AS DECIMAL(28,12))) AS DOUBLE) / COUNT(a))', 9)} AS zone_avg_power_kw, COUNT(DISTINCT meter_id) AS meter_count FROM d GROUP BY 1, 2)
             SELECT reading_date, zone_id, zone_name, zone_total_kwh, zone_avg_power_kw, meter_count
             FROM g LEFT JOIN star_zones USING (zone_id)""",
         ),

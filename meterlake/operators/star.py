@@ -383,7 +383,10 @@ def daily_consumption_comparison(daily: DataFrame, zones: DataFrame) -> DataFram
     """Per day and zone: total, mean of the meter means, distinct meters."""
     grouped = daily.groupBy("reading_date", "zone_id").agg(
         exact_sum("total_consumption_kwh").alias("zone_total_kwh"),
-        exact_avg("avg_power_kw").alias("zone_avg_power_kw"),
+        rounded(
+            F.try_divide(F.sum(F.col("avg_power_kw").cast("decimal(28,12)")).cast("double"), F.count("avg_power_kw")),
+            9,
+        ).alias("zone_avg_power_kw"),
         F.count_distinct("meter_id").alias("meter_count"),
     )
     return with_group(grouped, zones.select("zone_id", "zone_name"), ["zone_id"])

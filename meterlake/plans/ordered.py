@@ -109,14 +109,19 @@ def rank_desc(df: DataFrame, keys, value: str, name: str, splits: Splits) -> Dat
 def fill(
     df: DataFrame, keys, order, columns, splits: Splits, backward: bool = True
 ) -> DataFrame:
-    """Forward fill within each group, then backward fill for what is left."""
+    """Forward fill within each group, then backward fill for what is left.
+
+    What a forward fill leaves open lies before the group's first value, so the
+    backward fill is that value.  A frame from the current row to the end would
+    give the same, but rescans the rest of the group for every row.
+    """
     keys, columns = list(keys), list(columns)
 
     def up(c, w):
         return F.last(c, ignorenulls=True).over(w.rowsBetween(FIRST, 0))
 
     def down(c, w):
-        return F.first(c, ignorenulls=True).over(w.rowsBetween(0, LAST))
+        return F.first(c, ignorenulls=True).over(w.rowsBetween(FIRST, LAST))
 
     if not splits.any:
         w = _spec(keys, order)
