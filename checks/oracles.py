@@ -47,7 +47,8 @@ def Q(x: str, p: float) -> str:
     """Linear quantile spelled out, since the built-in one fuses its multiply and add."""
     pos = f"((len(l) - 1) * CAST({p} AS DOUBLE))"
     lo, hi = (f"l[CAST({f}({pos}) AS BIGINT) + 1]" for f in ("floor", "ceil"))
-    at = f"{lo} + ({hi} - {lo}) * ({pos} - floor({pos}))"
+    mixed = f"(ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi}"
+    at = f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {mixed} END"
     values = f"list_sort(array_agg({x}) FILTER (WHERE {x} IS NOT NULL))"
     return f"list_transform([{values}], lambda l: {at})[1]"
 

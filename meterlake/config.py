@@ -129,6 +129,8 @@ class SplitPolicy:
     min_rows: int = 4_000_000
     max_groups: int = 32_768
     max_slices: int = 4_096
+    # Up to this many rows per group, a value map in one buffer is fine.
+    map_rows: int = 1_000_000
 
 
 QUALITY = QualityThresholds()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +10,7 @@ from meterlake import config
 from meterlake.functions import electrical
 from meterlake.functions.exact import clip, out_of_range, rounded
 from meterlake.plans import ordered
-from meterlake.plans.joins import with_scalars
+from meterlake.plans.joins import scalar_row, with_scalars
 from meterlake.plans.quantiles import wide_quantiles
 from meterlake.plans.splits import Splits, measure
 from meterlake.plans.staging import stage
@@ -24,16 +24,20 @@ def time_order(df: DataFrame) -> list[str]:
     return [TIME, SEQ] if SEQ in df.columns else [TIME]
 
 
-def keep_first(df: DataFrame, keys=(METER, TIME), order=None) -> DataFrame:
+def keep_first(df: DataFrame, keys=(METER, TIME), order=None, few_copies=False) -> DataFrame:
     """One row per key: the first in ``order`` (the ingest ordinal by default).
 
     An aggregate, not a row number: copies collapse before the shuffle, so a key
-    with very many copies does not gather in one task.  Without an ordinal the
-    smallest row is kept, which is repeatable too.
+    with very many copies does not gather in one task.  ``few_copies`` says that
+    this cannot happen; then a row number is used, whose sort later windows share.
+    Without an ordinal the smallest row is kept, which is repeatable too.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     by = list(order) if order else ([SEQ] if SEQ in df.columns else rest)
+    if few_copies:
+        w = Window.partitionBy(*keys).orderBy(*by)
+        return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
     packed = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*by)).alias("_row"))
     return packed.select(*keys, "_row.*").select(*df.columns)
 
@@ -51,16 +55,15 @@ def fill_missing(df: DataFrame, columns=None, splits: Splits | None = None) -> D
     """
     columns = list(columns or numeric_columns(df))
     splits = splits or measure(df, [METER], TIME)
-    filled = stage(ordered.fill(df, [METER], time_order(df), columns, splits), "filled")
-    left = filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    filled = ordered.fill(df, [METER], time_order(df), columns, splits)
+    filled = stage(filled, "filled", by=None if splits.any else [METER])
+    left = scalar_row(filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]))
     open_columns = [c for c in columns if left[c]]
     if not open_columns:
         return filled
-    medians = wide_quantiles(filled, open_columns, [0.5])
-    joined = with_scalars(filled, medians)
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"{c}_q50")) for c in open_columns}
-    ).select(*df.columns)
+    medians = scalar_row(wide_quantiles(filled, open_columns, [0.5]))
+    known = {c: medians[f"{c}_q50"] for c in open_columns if medians[f"{c}_q50"] is not None}
+    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in known.items()})
 
 
 def missing_report(before: DataFrame, after: DataFrame, columns=None) -> DataFrame:
@@ -145,13 +148,10 @@ def repair_ranges(df: DataFrame, ranges=None, mode: str = "clip_always") -> Data
             keep = keep & (F.col(c) >= low)
     if mode == "clip_always":
         return df.filter(keep).withColumns({c: clip(c, lo, hi) for c, lo, hi, _, _ in steps})
-    counted = with_scalars(df.filter(keep), repair_counts(df, ranges))
-    return counted.withColumns(
-        {
-            c: F.when(F.col(f"{c}_dropped") > 0, F.col(c)).otherwise(clip(c, lo, hi))
-            for c, lo, hi, _, _ in steps
-        }
-    ).select(*df.columns)
+    counts = scalar_row(repair_counts(df, ranges))
+    return df.filter(keep).withColumns(
+        {c: clip(c, lo, hi) for c, lo, hi, _, _ in steps if not counts[f"{c}_dropped"]}
+    )
 
 
 def repair_report(df: DataFrame, ranges=None) -> DataFrame:
@@ -211,9 +211,13 @@ def iqr_bounds(df: DataFrame, columns, multiplier: float = config.IQR_MULTIPLIER
     )
 
 
-def outside_bounds(c: str) -> Column:
-    x = F.col(c)
-    return F.coalesce((x < F.col(f"{c}_lower")) | (x > F.col(f"{c}_upper")), F.lit(False))
+def outside_bounds(c: str, bounds: dict | None = None) -> Column:
+    """Outside the fences, given as values or as joined columns; NULL is inside."""
+    if bounds is None:
+        low, high = F.col(f"{c}_lower"), F.col(f"{c}_upper")
+    else:
+        low, high = F.lit(bounds[f"{c}_lower"]), F.lit(bounds[f"{c}_upper"])
+    return F.coalesce((F.col(c) < low) | (F.col(c) > high), F.lit(False))
 
 
 def flag_outliers(
@@ -221,12 +225,11 @@ def flag_outliers(
 ) -> DataFrame:
     """True where any column lies outside its table-wide quartile fences."""
     columns = list(columns or float_columns(df))
+    bounds = scalar_row(iqr_bounds(df, columns, multiplier))
     flag = F.lit(False)
     for c in columns:
-        flag = flag | outside_bounds(c)
-    joined = with_scalars(df, iqr_bounds(df, columns, multiplier))
-    kept = [c for c in df.columns if c != name]
-    return joined.select(*kept, flag.alias(name))
+        flag = flag | outside_bounds(c, bounds)
+    return df.select(*[c for c in df.columns if c != name], flag.alias(name))
 
 
 def outlier_counts(df: DataFrame, columns=None, multiplier=config.IQR_MULTIPLIER) -> DataFrame:
@@ -251,10 +254,20 @@ def flag_zscore(
 
 
 def clean_readings(df: DataFrame, mode: str = "compat", columns=None) -> DataFrame:
-    """Keep-first, fill, repair, flag.  The filled table is staged once and reused."""
+    """Keep-first, fill, repair, flag.
+
+    Without a hot meter the readings are hashed by meter once; de-duplication and
+    filling share that shuffle and one sort, and the staged result stays bucketed
+    by meter for the feature windows.  With one, copies are folded by an
+    aggregate and the fill runs on slices.
+    """
     require(df, [METER, TIME])
     splits = measure(df, [METER], TIME)
-    filled = fill_missing(keep_first(df), columns, splits)
+    if splits.any:
+        unique = keep_first(df)
+    else:
+        unique = keep_first(df.repartition(METER), few_copies=True)
+    filled = fill_missing(unique, columns, splits)
     return flag_outliers(repair_ranges(filled, mode=mode), columns)
 
 

@@ -10,7 +10,7 @@ from meterlake.functions import calendar, electrical
 from meterlake.functions.exact import exact
 from meterlake.operators.clean import METER, TIME, flag_outliers, time_order
 from meterlake.plans import ordered
-from meterlake.plans.joins import with_group, with_scalars
+from meterlake.plans.joins import scalar_row, with_group
 from meterlake.plans.quantiles import wide_quantiles
 from meterlake.plans.splits import Splits, measure
 
@@ -96,20 +96,15 @@ def rolling(
 def consumption_bucket(df: DataFrame, labels=config.QUARTILE_BUCKETS) -> DataFrame:
     """Quartile of the power value, right-closed, the lowest value included.
 
-    Four labels need five different edges; otherwise the query fails with a
-    message rather than giving labels that mean nothing.
+    Four labels need five different edges; otherwise this raises rather than
+    giving labels that mean nothing.
     """
-    edges = wide_quantiles(df, [POWER], [0.0, 0.25, 0.5, 0.75, 1.0]).select(
-        *[F.col(f"{POWER}_q{p:02d}").alias(f"_e{i}") for i, p in enumerate((0, 25, 50, 75, 100))]
-    )
-    repeated = F.lit(False)
-    for i in range(4):
-        repeated = repeated | (F.col(f"_e{i}") >= F.col(f"_e{i + 1}"))
-    label = electrical.right_closed(POWER, [F.col(f"_e{i}") for i in range(4)] + [None], labels, True)
-    checked = F.when(
-        repeated, F.raise_error(F.lit("quartile edges repeat: four buckets cannot be formed"))
-    ).otherwise(label)
-    return with_scalars(df, edges).select(*df.columns, checked.alias("consumption_bucket"))
+    marks = scalar_row(wide_quantiles(df, [POWER], [0.0, 0.25, 0.5, 0.75, 1.0]))
+    edges = [marks[f"{POWER}_q{p:02d}"] for p in (0, 25, 50, 75, 100)]
+    if edges[0] is not None and len(set(edges)) < 5:
+        raise ValueError(f"quartile edges repeat, four buckets cannot be formed: {edges}")
+    label = electrical.right_closed(POWER, [F.lit(e) for e in edges[:4]] + [None], labels, True)
+    return df.withColumn("consumption_bucket", label)
 
 
 def group_features(df: DataFrame) -> DataFrame:
@@ -181,11 +176,9 @@ def exploratory_features(df: DataFrame, splits: Splits | None = None) -> DataFra
 
 def quartile_load(df: DataFrame, labels=config.QUARTILE_LOADS) -> DataFrame:
     """Right-closed bins at 0 and the quartiles; zero and below get no label."""
-    q = wide_quantiles(df, [POWER], [0.25, 0.5, 0.75])
-    edges = [F.lit(0.0), *[F.col(f"{POWER}_q{p}") for p in (25, 50, 75)], None]
-    label = electrical.right_closed(POWER, edges, labels)
-    kept = [c for c in df.columns if c != "load_category"]
-    return with_scalars(df, q).select(*kept, label.alias("load_category"))
+    q = scalar_row(wide_quantiles(df, [POWER], [0.25, 0.5, 0.75]))
+    edges = [F.lit(0.0), *[F.lit(q[f"{POWER}_q{p}"]) for p in (25, 50, 75)], None]
+    return df.withColumn("load_category", electrical.right_closed(POWER, edges, labels))
 
 
 def rolling_means(df: DataFrame, splits: Splits | None = None) -> DataFrame:

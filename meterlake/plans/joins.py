@@ -13,6 +13,15 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
+def scalar_row(one_row: DataFrame) -> dict:
+    """An ungrouped aggregate as plain values, for statistics that later steps reuse.
+
+    One row reaches the driver.  As literals the values cost later plans nothing,
+    while a joined aggregate would be computed again by every step that reads on.
+    """
+    return one_row.first().asDict()
+
+
 def with_group(df: DataFrame, grouped: DataFrame, keys, null_keys: bool = False) -> DataFrame:
     """Attach an aggregate to the rows it came from.
 

@@ -1,8 +1,9 @@
-"""Exact quantiles with linear interpolation, without a value map per group.
+"""Exact quantiles with linear interpolation.
 
-``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here equal values are first counted with map-side combine, then ranked by a
-running count, which splits if a group is hot.
+Small groups use ``percentile``, which keeps a group's distinct values in one
+aggregation buffer.  Where a group is too large for that, equal values are
+counted with map-side combine and ranked by a running count, which splits when
+a group is hot.  Both interpolate with the same arithmetic.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterlake import config
 from meterlake.plans import ordered
-from meterlake.plans.splits import Splits, measure
+from meterlake.plans.splits import group_sizes, measure
 
 COLUMN = "column_name"
 
@@ -28,31 +29,49 @@ def _pick(p: float) -> Column:
     low, high = F.floor(pos), F.ceil(pos)
     lo = F.max(F.when((first <= low) & (low < last), v))
     hi = F.max(F.when((first <= high) & (high < last), v))
-    frac = F.max(pos - low)
-    return (lo + (hi - lo) * frac).alias(quantile_name(p))
+    mixed = F.max(high - pos) * lo + F.max(pos - low) * hi
+    return F.when(lo == hi, lo).otherwise(mixed).alias(quantile_name(p))
 
 
 def long_quantiles(
-    df: DataFrame,
-    keys,
-    columns,
-    probs,
-    splits: Splits | None = None,
-    policy: config.SplitPolicy = config.SPLIT,
+    df: DataFrame, keys, columns, probs, policy: config.SplitPolicy = config.SPLIT
 ) -> DataFrame:
     """One row per group and column: keys, column_name, q25, q50, ...
 
-    NULLs are ignored; a group without values gives no row.
+    NULLs are ignored.  Groups without any value may give a row of NULLs or none.
     """
     keys, columns = list(keys), list(columns)
     values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    _, largest = group_sizes(values, keys)
+    if largest <= policy.map_rows:
+        return _by_value_map(values, keys, columns, probs)
+    return _by_running_count(values, keys, columns, probs, policy)
+
+
+def _by_value_map(values, keys, columns, probs) -> DataFrame:
+    marks = F.array(*[F.lit(float(p)) for p in probs])
+    wide = values.groupBy(*keys).agg(*[F.percentile(c, marks).alias(c) for c in columns])
+    cells = [
+        F.struct(
+            F.lit(c).alias(COLUMN),
+            *[F.get(F.col(c), F.lit(i)).alias(quantile_name(p)) for i, p in enumerate(probs)],
+        )
+        for c in columns
+    ]
+    return wide.select(*keys, F.explode(F.array(*cells)).alias("_r")).select(*keys, "_r.*")
+
+
+def _by_running_count(values, keys, columns, probs, policy) -> DataFrame:
     long = values.unpivot(keys, columns, COLUMN, "_v").filter(F.col("_v").isNotNull())
     groups = [*keys, COLUMN]
-    if splits is None:
-        splits = measure(long, groups, "_v", policy)
     counted = long.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = ordered.running(
-        counted, groups, ["_v"], {"_cum": F.col("_n")}, splits, totals={"_total": F.col("_n")}
+        counted,
+        groups,
+        ["_v"],
+        {"_cum": F.col("_n")},
+        measure(long, groups, "_v", policy),
+        totals={"_total": F.col("_n")},
     )
     return ranked.groupBy(*groups).agg(*[_pick(p) for p in probs])
 

@@ -96,20 +96,27 @@ def none(keys, order: str) -> Splits:
     return Splits(tuple(keys), order)
 
 
+def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
+    """Rows of the table and of its largest group: one narrow aggregate."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    return total or 0, largest or 0
+
+
 def measure(
     df: DataFrame, keys, order: str, policy: config.SplitPolicy = config.SPLIT
 ) -> Splits:
     """Find hot groups.  Runs one narrow aggregate, and two more only if there are any."""
     keys = tuple(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if largest is None or largest <= policy.min_rows:
+    total, largest = group_sizes(df, keys)
+    if largest <= policy.min_rows:
         return none(keys, order)
     limit = max(policy.min_rows, math.ceil(total / policy.max_groups))
     if largest <= limit:
         return none(keys, order)
 
     names = [f"k{i}" for i in range(len(keys))]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.broadcast(
         counts.filter(F.col("_n") > limit).select(
             *[F.col(k).alias(n) for k, n in zip(keys, names)], "_n"

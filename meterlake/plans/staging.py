@@ -2,7 +2,8 @@
 
 Written as Parquet in the folder named by ``spark.checkpoint.dir``, so it lies in
 shared storage, survives the loss of executors, and later steps read only the
-columns they need.
+columns they need.  With ``by``, the files are bucketed by those columns, and
+later windows and joins on them need no shuffle.
 """
 
 from __future__ import annotations
@@ -30,7 +31,16 @@ def staging_root(spark: SparkSession) -> str:
     raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    path = f"{staging_root(df.sparkSession)}/meterlake/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+    spark = df.sparkSession
+    key = f"{name}_{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/meterlake/{key}"
+    writer = df.write.option("compression", "snappy").format("parquet")
+    if not by:
+        writer.save(path)
+        return spark.read.schema(df.schema).parquet(path)
+    # One file per bucket: the rows are already hashed by the same columns.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"staged_{key}"
+    writer.bucketBy(buckets, *by).option("path", path).saveAsTable(table)
+    return spark.table(table)
