@@ -225,7 +225,13 @@ def flag_outliers(
 ) -> DataFrame:
     """True where any column lies outside its table-wide quartile fences."""
     columns = list(columns or float_columns(df))
-    bounds = scalar_row(iqr_bounds(df, columns, multiplier))
+    q = scalar_row(wide_quantiles(df, columns, [0.25, 0.75]))
+    bounds = {}
+    for c in columns:
+        low, high = q[f"{c}_q25"], q[f"{c}_q75"]
+        reach = None if low is None else multiplier * (high - low)
+        bounds[f"{c}_lower"] = None if low is None else low - reach
+        bounds[f"{c}_upper"] = None if low is None else high + reach
     flag = F.lit(False)
     for c in columns:
         flag = flag | outside_bounds(c, bounds)

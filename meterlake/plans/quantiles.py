@@ -81,9 +81,23 @@ def group_quantiles(df, keys, column, probs, **kw) -> DataFrame:
     return long_quantiles(df, keys, [column], probs, **kw).drop(COLUMN)
 
 
-def wide_quantiles(df: DataFrame, columns, probs, **kw) -> DataFrame:
+def wide_quantiles(
+    df: DataFrame, columns, probs, policy: config.SplitPolicy = config.SPLIT
+) -> DataFrame:
     """One row for the whole table: {column}_q25, ..."""
-    long = long_quantiles(df, [], columns, probs, **kw)
+    columns = list(columns)
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    if group_sizes(values, [])[1] <= policy.map_rows:
+        marks = F.array(*[F.lit(float(p)) for p in probs])
+        row = values.agg(*[F.percentile(c, marks).alias(c) for c in columns])
+        return row.selectExpr(
+            *[
+                f"get(`{c}`, {i}) AS `{c}_{quantile_name(p)}`"
+                for c in columns
+                for i, p in enumerate(probs)
+            ]
+        )
+    long = _by_running_count(values, [], columns, probs, policy)
     picks = [
         F.max(F.when(F.col(COLUMN) == c, F.col(quantile_name(p)))).alias(f"{c}_{quantile_name(p)}")
         for c in columns

@@ -17,6 +17,7 @@ def local_session(name: str = "meterlake", cpus: str | None = None, **conf: str)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     for k, v in conf.items():
