@@ -704,5 +704,49 @@ def _analyses() -> dict[str, str]:
     return out
 
 
+# --- streams ---------------------------------------------------------------------
+
+
+def _streams() -> dict[str, str]:
+    batch = _aggregates()
+    bad = " + ".join(
+        f"CASE WHEN {c} < {lo} OR {c} > {hi} THEN 1 ELSE 0 END" for c, (lo, hi) in config.VALID_RANGES.items()
+    )
+    gone = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in config.VALID_RANGES)
+    return {
+        "ST3_decode": using("readings", f"SELECT {DATA_SQL} FROM readings WHERE _seq % 50 <> 0"),
+        "ST3_dead_letters": using(
+            "readings",
+            "SELECT CASE WHEN _seq % 50 = 0 THEN 1 ELSE 0 END AS malformed, COUNT(*) AS messages FROM readings GROUP BY 1",
+        ),
+        "ST8_deduplicate": using("readings", f"SELECT {DATA_SQL} FROM readings"),
+        "ST9_hourly_by_zone": batch["M2_hourly_by_zone"],
+        "ST9_daily_by_meter": batch["M1_daily_by_meter"],
+        "ST10_sliding_average": using(
+            "readings",
+            f"""WITH w AS (SELECT date_trunc('hour', {TS}) - to_hours(CAST(range AS BIGINT)) AS s, {P}
+            FROM readings, range(24))
+            SELECT s AS window_start, s + INTERVAL 24 HOURS AS window_end, {A(P)} AS avg_power_kw FROM w GROUP BY 1""",
+        ),
+        "ST11_range_flags": using(
+            "readings", f"SELECT _seq, {I(bad)} AS out_of_range, {I(gone)} AS missing FROM readings"
+        ),
+        "ST12_gap_alerts": using(
+            "readings",
+            f"""WITH n AS (SELECT Meter_ID, {TS} AS a, LEAD({TS}) OVER (PARTITION BY Meter_ID ORDER BY {TS}) AS b
+            FROM readings), g AS (SELECT *, date_diff('minute', a, b) AS m FROM n)
+            SELECT Meter_ID, a AS expected_time, b AS actual_time, m AS time_gap_minutes,
+            CASE WHEN m > 15 THEN 'Missing readings' ELSE 'Duplicate period' END AS gap_type FROM g WHERE m <> 15""",
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**_cleaning(), **_features(), **_validation(), **_aggregates(), **_analyses()}
+    return {
+        **_cleaning(),
+        **_features(),
+        **_validation(),
+        **_aggregates(),
+        **_analyses(),
+        **_streams(),
+    }

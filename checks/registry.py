@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from meterlake import config
-from meterlake.functions import calendar, electrical
-from meterlake.functions.exact import exact_avg, exact_sum, rounded
+from meterlake.functions import calendar
+from meterlake.functions.exact import rounded
 from meterlake.operators import analytics, clean, features, quality, star
-from meterlake.plans import quantiles
 from meterlake.queries import audit, consumption, reports
+from meterlake.plans import ordered, quantiles
+from meterlake.plans.splits import measure
+from meterlake.plans.staging import staging_root
 from meterlake.schema import ANALYTICS_COLUMNS, MEASURES
+from meterlake.sources.files import sample
+from meterlake.streaming import gaps, ingest, windows
 
 POWER = "Active_Power_kW"
 AS_OF = dt.datetime(2024, 1, 15)
@@ -251,8 +256,6 @@ def _distinct_bulk(spark, d):
 
 
 def _json_round_trip(spark, d):
-    from meterlake.streaming import ingest
-
     return ingest.decode(ingest.encode(readings(spark, d))).select(
         "Timestamp", "Meter_ID", "Zone_ID", *MEASURES
     )
@@ -312,9 +315,6 @@ def _change(spark, d):
 
 def _row_number(spark, d):
     """Reading number per meter."""
-    from meterlake.plans import ordered
-    from meterlake.plans.splits import measure
-
     r = readings(spark, d).select("_seq", "Meter_ID", "Timestamp")
     s = measure(r, ["Meter_ID"], "Timestamp")
     return ordered.running(r, ["Meter_ID"], ["Timestamp", "_seq"], {"row_number": F.lit(1)}, s).select(
@@ -335,11 +335,88 @@ def _pairs(spark, d):
 
 
 def _sampled(spark, d):
-    from meterlake.sources.files import sample
-
     return sample(readings(spark, d), 0.1).select("_seq")
 
 
+# --- streams over the same tables ------------------------------------------------
+
+
+def event_stream(spark, d):
+    """Readings as a stream: the events file is the source."""
+    schema = fx.load(spark, d, "events").schema
+    source = ingest.file_source(
+        spark, d, "parquet", schema, glob="events.parquet"
+    )
+    return spark.sql(fx.READINGS, events=source)
+
+
+def message_stream(spark, d):
+    """Messages of the readings, every 50th cut short."""
+    coded = event_stream(spark, d).select("_seq", *_payload())
+    value = F.when(F.col("_seq") % 50 == 0, F.expr("left(value, length(value) div 2)")).otherwise(
+        F.col("value")
+    )
+    return coded.select(value.alias("value"))
+
+
+def _payload():
+    fields = [F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Timestamp")]
+    fields += [F.col(c) for c in ("Meter_ID", "Zone_ID", *MEASURES)]
+    return [F.to_json(F.struct(*fields)).alias("value")]
+
+
+def _drained(stream, spark, name, mode="append"):
+    """Run a stream over all that is there and return its result from storage."""
+    root = f"{staging_root(spark)}/streams/{name}_{uuid.uuid4().hex}"
+
+    def write(batch, number):
+        # Complete results replace each other; appended ones add a folder per batch.
+        part = "all" if mode == "complete" else str(number)
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={part}")
+
+    q = (
+        stream.writeStream.outputMode(mode)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .foreachBatch(write)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out/batch=*")
+
+
+def _stream(fn, name, mode="append", source=event_stream, **kw):
+    return lambda spark, d: _drained(fn(source(spark, d), **kw), spark, name, mode)
+
+
+def _doubled(spark, d):
+    s = event_stream(spark, d).drop("_seq")
+    return s.union(s)
+
+
+def _dedup(spark, d):
+    out = _drained(windows.deduplicate(_doubled(spark, d), "40 days"), spark, "dedup")
+    return out.select(F.col("Timestamp").cast("timestamp_ntz").alias("Timestamp"), "Meter_ID", "Zone_ID", *MEASURES)
+
+
+def _decoded(spark, d):
+    out = _drained(ingest.decode(message_stream(spark, d)), spark, "decoded")
+    return out.drop("ingestion_timestamp")
+
+
+def _dead_letters(spark, d):
+    parsed = ingest.parse(message_stream(spark, d)).select(ingest.BAD)
+    out = _drained(parsed, spark, "letters")
+    return out.groupBy(F.col(ingest.BAD).cast("int").alias("malformed")).agg(
+        F.count(F.lit(1)).alias("messages")
+    )
+
+
+def _batch_quality(spark, d):
+    flags = _drained(windows.range_flags(event_stream(spark, d)), spark, "quality")
+    return flags.select("_seq", "out_of_range", "missing")
+
+
 QUERIES = {
     # flat catalogue
     "G1_hourly_consumption": _on(consumption.hourly_consumption, readings),
@@ -538,4 +615,13 @@ QUERIES = {
     "SF18_json_round_trip": _json_round_trip,
     "IO17_analytics_projection": _analytics_projection,
     "IO18_sample": _sampled,
+    # streams
+    "ST3_decode": _decoded,
+    "ST3_dead_letters": _dead_letters,
+    "ST8_deduplicate": _dedup,
+    "ST9_hourly_by_zone": _stream(windows.hourly_by_zone, "hourly", "complete"),
+    "ST9_daily_by_meter": _stream(windows.daily_by_meter, "daily", "complete"),
+    "ST10_sliding_average": _stream(windows.sliding_average, "sliding", "complete"),
+    "ST11_range_flags": _batch_quality,
+    "ST12_gap_alerts": _stream(gaps.gap_alerts, "gaps"),
 }

@@ -8,7 +8,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import analytics, clean, features, quality, star
-from meterlake.plans.staging import stage
+from meterlake.plans.staging import release, stage
 from meterlake.queries import catalog
 from meterlake.sources import files, tables
 
@@ -101,4 +101,5 @@ def run(
     log.step("analysis", analyse)
     metrics = spark.createDataFrame(log.rows, STAGES)
     metrics.write.mode("append").parquet(f"{out_dir}/stage_metrics")
+    release(spark)
     return metrics

@@ -61,19 +61,16 @@ def rolling(
 ) -> DataFrame:
     """Rolling mean, sample deviation and distance from the mean, per meter.
 
-    The usual window is a number of readings, although its name says hours.
-    ``unit='hours'`` takes it as a span of time; such frames have no row bound,
-    so that form stays one window per meter.
+    The usual window is a number of readings, although its name says hours;
+    ``unit='hours'`` takes it as a span of time.
     """
     columns = [c for c in columns if c in df.columns]
     if unit == "hours":
-        span = f"INTERVAL '{rows - 1}' HOUR"
         exprs = {}
         for c in columns:
-            frame = f"OVER (PARTITION BY {METER} ORDER BY {TIME} RANGE BETWEEN {span} PRECEDING AND CURRENT ROW)"
-            exprs[f"{c}_rolling_mean_{rows}h"] = F.expr(f"avg(`{c}`) {frame}")
-            exprs[f"{c}_rolling_std_{rows}h"] = F.expr(f"stddev_samp(`{c}`) {frame}")
-        out = df.withColumns(exprs)
+            exprs[f"{c}_rolling_mean_{rows}h"] = lambda w, c=c: F.avg(c).over(w)
+            exprs[f"{c}_rolling_std_{rows}h"] = lambda w, c=c: F.stddev_samp(c).over(w)
+        out = ordered.time_frames(df, [METER], TIME, exprs, rows - 1)
     else:
         splits = splits or measure(df, [METER], TIME)
         exprs = {}

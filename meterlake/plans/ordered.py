@@ -198,3 +198,34 @@ def frames(
     )
     return splits.cold(df).withColumns(plain).unionByName(hot)
 
+
+
+def time_frames(
+    df: DataFrame,
+    keys,
+    time: str,
+    exprs: dict[str, Callable[[WindowSpec], Column]],
+    hours: int,
+    spans_per_slab: int = 8,
+) -> DataFrame:
+    """Window expressions over the last ``hours`` of each group, both ends included.
+
+    A frame that is a span of time can be cut by the clock: slabs last several
+    spans, and the last span of each is copied to the next one.  So a long series
+    never lies in one task, and nothing has to be measured first.
+    """
+    span = hours * 3_600_000_000
+    width = span * spans_per_slab
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    timed = df.withColumns(
+        {"_at": at, "_slab": F.coalesce(F.floor(at / width), F.lit(-(1 << 60)))}
+    )
+    near_end = F.pmod(F.col("_at"), F.lit(width)) >= width - span
+    homes = F.array_compact(F.array(F.col("_slab"), F.when(near_end, F.col("_slab") + 1)))
+    w = Window.partitionBy(*keys, "_home").orderBy("_at").rangeBetween(-span, 0)
+    return (
+        timed.withColumn("_home", F.explode(homes))
+        .withColumns({n: f(w) for n, f in exprs.items()})
+        .filter(F.col("_home") == F.col("_slab"))
+        .drop("_at", "_slab", "_home")
+    )

@@ -31,16 +31,35 @@ def staging_root(spark: SparkSession) -> str:
     raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
 
 
+# Staged results of this process: path, and table name if there is one.
+_staged: list[tuple[str, str | None]] = []
+
+
 def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
-    key = f"{name}_{uuid.uuid4().hex}"
+    key = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
     path = f"{staging_root(spark)}/meterlake/{key}"
     writer = df.write.option("compression", "snappy").format("parquet")
     if not by:
         writer.save(path)
+        _staged.append((path, None))
         return spark.read.schema(df.schema).parquet(path)
     # One file per bucket: the rows are already hashed by the same columns.
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"staged_{key}"
     writer.bucketBy(buckets, *by).option("path", path).saveAsTable(table)
+    _staged.append((path, table))
     return spark.table(table)
+
+
+def release(spark: SparkSession) -> int:
+    """Drop everything staged by this process; results read from it must be stored by then."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_staged)
+    while _staged:
+        path, table = _staged.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return count

@@ -17,16 +17,15 @@ def save_parquet(
 ) -> None:
     """Parquet, in folders by reading date so that date filters read only theirs.
 
-    Rows are hashed by date and a few salts first: without it every task would
-    write a file into every date.
+    Rows are brought together by date first, or every task would write a file
+    into every date.  The rebalance hint lets adaptive execution split a date
+    that is much larger than the others and merge small ones.
     """
     if not (by_date and TIME in df.columns):
         df.write.mode(mode).option("compression", compression).parquet(path)
         return
-    dated = df.withColumn("reading_date", F.to_date(TIME))
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != TIME][:3]), F.lit(8))
-    spread = dated.repartition("reading_date", salt)
-    spread.write.mode(mode).option("compression", compression).partitionBy("reading_date").parquet(path)
+    dated = df.withColumn("reading_date", F.to_date(TIME)).hint("rebalance", "reading_date")
+    dated.write.mode(mode).option("compression", compression).partitionBy("reading_date").parquet(path)
 
 
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -83,6 +83,7 @@ def file_source(
     fmt: str = "text",
     schema: T.StructType | None = None,
     max_files: int | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
     """New files of a folder: text lines as ``value``, or csv/json/parquet with a schema."""
     reader = spark.readStream.format(fmt)
@@ -92,6 +93,8 @@ def file_source(
         reader = reader.option("header", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     return reader.load(path)
 
 
