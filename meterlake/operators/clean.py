@@ -13,7 +13,7 @@ from meterlake.plans import ordered
 from meterlake.plans.joins import scalar_row, with_scalars
 from meterlake.plans.quantiles import wide_quantiles
 from meterlake.plans.splits import Splits, measure
-from meterlake.plans.staging import stage
+from meterlake.plans.staging import stage, stage_observed
 from meterlake.schema import float_columns, numeric_columns, require
 
 METER, TIME, SEQ = "Meter_ID", "Timestamp", "_seq"
@@ -29,15 +29,19 @@ def keep_first(df: DataFrame, keys=(METER, TIME), order=None, few_copies=False)
 
     An aggregate, not a row number: copies collapse before the shuffle, so a key
     with very many copies does not gather in one task.  ``few_copies`` says that
-    this cannot happen; then a row number is used, whose sort later windows share.
-    Without an ordinal the smallest row is kept, which is repeatable too.
+    this cannot happen; then each row is compared with the one before it, under a
+    window of the first key, whose shuffle and sort later windows share.  Without
+    an ordinal the smallest row is kept, which is repeatable too.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     by = list(order) if order else ([SEQ] if SEQ in df.columns else rest)
     if few_copies:
-        w = Window.partitionBy(*keys).orderBy(*by)
-        return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
+        w = Window.partitionBy(keys[0]).orderBy(*keys[1:], *by)
+        repeats = F.lag(F.lit(True), 1, False).over(w)
+        for k in keys[1:]:
+            repeats = repeats & F.lag(k).over(w).eqNullSafe(F.col(k))
+        return df.withColumn("_copy", repeats).filter("NOT _copy").drop("_copy")
     packed = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*by)).alias("_row"))
     return packed.select(*keys, "_row.*").select(*df.columns)
 
@@ -56,8 +60,8 @@ def fill_missing(df: DataFrame, columns=None, splits: Splits | None = None) -> D
     columns = list(columns or numeric_columns(df))
     splits = splits or measure(df, [METER], TIME)
     filled = ordered.fill(df, [METER], time_order(df), columns, splits)
-    filled = stage(filled, "filled", by=None if splits.any else [METER])
-    left = scalar_row(filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]))
+    gaps = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    filled, left = stage_observed(filled, "filled", gaps, by=None if splits.any else [METER])
     open_columns = [c for c in columns if left[c]]
     if not open_columns:
         return filled

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake import config
@@ -104,29 +104,43 @@ def consumption_bucket(df: DataFrame, labels=config.QUARTILE_BUCKETS) -> DataFra
     return df.withColumn("consumption_bucket", label)
 
 
-def group_features(df: DataFrame) -> DataFrame:
+def _fold(df: DataFrame, key: str, part: str, total: str, mean: str) -> DataFrame:
+    """Totals per (key, part) and the mean per key, the second folded from the first."""
+    grain = df.groupBy(key, part).agg(
+        F.coalesce(F.sum(exact(POWER)), F.lit(0)).alias("_sum"), F.count(POWER).alias("_n")
+    )
+    whole = grain.groupBy(key).agg(
+        F.try_divide(F.sum("_sum").cast("double"), F.sum("_n")).alias(mean)
+    )
+    return grain.select(key, part, F.col("_sum").cast("double").alias(total)).join(whole, key)
+
+
+def group_features(df: DataFrame, splits: Splits | None = None) -> DataFrame:
     """Meter-day and zone-hour totals, meter and zone means, on every reading.
 
-    Two aggregates serve all four: the meter mean is folded from the meter-day
-    table and the zone mean from the zone-hour table.  Rows then join on
-    (meter, day) and (zone, hour), whose groups are small even when one meter or
-    zone holds much of the data.
+    Meter figures are windows over the meter, as for the rolling features, unless
+    a meter is too large for that.  Zones always are: their figures come from one
+    aggregate that rows join by (zone, hour), and so do those of large meters by
+    (meter, day).  Such groups are small even if one zone or meter holds much.
     """
+    splits = splits or measure(df, [METER], TIME)
     work = df.withColumn("_day", F.to_date(TIME)).withColumn("_hour", calendar.trunc("hour", TIME))
-
-    def fold(keys, part, total, mean):
-        grain = work.groupBy(keys, part).agg(
-            F.coalesce(F.sum(exact(POWER)), F.lit(0).cast("decimal(28,7)")).alias("_sum"),
-            F.count(POWER).alias("_n"),
-        )
-        whole = grain.groupBy(keys).agg(
-            F.try_divide(F.sum("_sum").cast("double"), F.sum("_n")).alias(mean)
+    by_zone = _fold(work, ZONE, "_hour", "zone_hourly_consumption_kWh", "zone_avg_power_kW")
+    if splits.any:
+        by_meter = _fold(work, METER, "_day", "meter_daily_consumption_kWh", "meter_avg_power_kW")
+        out = with_group(work, by_meter, [METER, "_day"])
+    else:
+        day, meter = Window.partitionBy(METER, "_day"), Window.partitionBy(METER)
+        power = exact(POWER)
+        daily = F.coalesce(F.sum(power).over(day), F.lit(0)).cast("double")
+        mean = F.try_divide(F.sum(power).over(meter).cast("double"), F.count(POWER).over(meter))
+        known = F.col(METER).isNotNull()
+        out = work.withColumns(
+            {
+                "meter_daily_consumption_kWh": F.when(known & F.col("_day").isNotNull(), daily),
+                "meter_avg_power_kW": F.when(known, mean),
+            }
         )
-        return grain.select(keys, part, F.col("_sum").cast("double").alias(total)).join(whole, keys)
-
-    by_meter = fold(METER, "_day", "meter_daily_consumption_kWh", "meter_avg_power_kW")
-    by_zone = fold(ZONE, "_hour", "zone_hourly_consumption_kWh", "zone_avg_power_kW")
-    out = with_group(work, by_meter, [METER, "_day"])
     out = with_group(out, by_zone, [ZONE, "_hour"])
     return out.select(
         *df.columns,
@@ -139,9 +153,10 @@ def group_features(df: DataFrame) -> DataFrame:
 
 def feature_table(df: DataFrame, splits: Splits | None = None) -> DataFrame:
     """All features of a cleaned readings table."""
-    out = load_category(power_factor(peak_flag(season(temporal(df)))))
-    out = rolling(out, splits=splits)
-    return group_features(consumption_bucket(out))
+    splits = splits or measure(df, [METER], TIME)
+    out = consumption_bucket(df)
+    out = load_category(power_factor(peak_flag(season(temporal(out)))))
+    return group_features(rolling(out, splits=splits), splits)
 
 
 def feature_report(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -273,26 +273,62 @@ def lineage(df: DataFrame) -> DataFrame:
 
 
 def validate(df: DataFrame, as_of=None, thresholds=config.QUALITY, ranges=None) -> DataFrame:
-    """One row per check: check_name, passed, failures; the last row is the overall status."""
+    """One row per check: check_name, passed, failures; the last row is the overall status.
 
-    def line(name, checked, failures):
-        return checked.agg(
-            F.lit(name).alias("check_name"),
-            F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"),
-            failures.cast("bigint").alias("failures"),
+    Two passes: one aggregate for everything that is counted per row, and one
+    grouping of whole rows, from which repeated keys are folded.
+    """
+    columns = _data_columns(df)
+    ranges = {c: r for c, r in (ranges or config.VALID_RANGES).items() if c in df.columns}
+    flag = next((c for c in ("is_anomaly_raw", "is_anomaly") if c in df.columns), None)
+    now = F.lit(as_of).cast("timestamp_ntz") if as_of else F.localtimestamp()
+    missing = [c for c in (TIME, METER, ZONE, "Active_Power_kW") if c not in df.columns]
+
+    row = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns],
+        *[F.count_if(out_of_range(c, lo, hi)).alias(f"r_{c}") for c, (lo, hi) in ranges.items()],
+        (F.count_if(F.col(flag).cast("int") == 1) if flag else F.lit(0)).alias("_flagged"),
+        (F.count_if(F.col(TIME) > now) if TIME in columns else F.lit(0)).alias("_future"),
+    )
+    distinct = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = METER in columns and TIME in columns
+    if keyed:
+        distinct = distinct.groupBy(METER, TIME).agg(
+            F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_extra")
         )
+        is_key = F.col(METER).isNotNull() & F.col(TIME).isNotNull()
+        copies = F.count_if(is_key & (F.col("_n") > 1))
+    else:
+        distinct, copies = distinct.withColumn("_extra", F.col("_n") - 1), F.lit(0)
+    row = with_scalars(
+        row,
+        distinct.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("_extra"), copies.alias("_keys")),
+    )
 
-    failed = F.count_if(~F.col("passed"))
-    rows = [
-        line("completeness", check_completeness(df, thresholds.nulls), failed),
-        line("uniqueness", check_uniqueness(df, thresholds.duplicates), failed),
-        line("validity", check_validity(df, ranges), failed),
-        line("consistency", check_consistency(df, as_of), failed),
-        line("anomalies", check_anomalies(df, thresholds.anomalies), failed),
+    def above(part, limit):
+        return rounded(_share(part, "_rows"), 6) > limit
+
+    def how_many(conds):
+        total = F.lit(0).cast("bigint")
+        for cond in conds:
+            total = total + cond.cast("bigint")
+        return total
+
+    failures = {
+        "completeness": how_many([above(f"n_{c}", thresholds.nulls) for c in columns]),
+        "uniqueness": how_many([above("_extra", thresholds.duplicates)]),
+        "validity": how_many([F.col(f"r_{c}") > 0 for c in ranges]),
+        "consistency": how_many([F.lit(bool(missing)), F.col("_keys") > 0, F.col("_future") > 0]),
+        "anomalies": how_many([above("_flagged", thresholds.anomalies)]),
+    }
+    lines = [
+        F.struct(
+            F.lit(n).alias("check_name"), (f == 0).alias("passed"), f.alias("failures")
+        )
+        for n, f in failures.items()
     ]
-    checks = rows[0]
-    for r in rows[1:]:
-        checks = checks.unionByName(r)
+    checks = _rows(row, lines)
     # Five rows reach the windows that give the overall line.
     everything = Window.partitionBy()
     totals = checks.select(

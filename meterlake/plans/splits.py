@@ -106,8 +106,12 @@ def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
 def measure(
     df: DataFrame, keys, order: str, policy: config.SplitPolicy = config.SPLIT
 ) -> Splits:
-    """Find hot groups.  Runs one narrow aggregate, and two more only if there are any."""
+    """Find hot groups: a row count, for large tables one narrow aggregate of
+    group sizes, and only if there are hot groups a sketch of those.
+    """
     keys = tuple(keys)
+    if df.count() <= policy.min_rows:  # reads file footers only, where it can
+        return none(keys, order)
     total, largest = group_sizes(df, keys)
     if largest <= policy.min_rows:
         return none(keys, order)

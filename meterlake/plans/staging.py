@@ -12,7 +12,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -52,6 +52,13 @@ def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return spark.table(table)
 
 
+def stage_observed(df: DataFrame, name: str, metrics: list, by: list[str] | None = None):
+    """Stage, and return aggregates observed while writing: they need no further scan."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *metrics), name, by)
+    return staged, seen.get
+
+
 def release(spark: SparkSession) -> int:
     """Drop everything staged by this process; results read from it must be stored by then."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
