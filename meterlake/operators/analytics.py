@@ -9,7 +9,7 @@ from meterlake import config
 from meterlake.functions import calendar, electrical
 from meterlake.functions.exact import exact, exact_avg, exact_sum, rounded
 from meterlake.operators.clean import METER, TIME, iqr_bounds, outside_bounds, time_order
-from meterlake.plans.joins import with_group, with_scalars
+from meterlake.plans.joins import attach_to_rows, with_scalars
 from meterlake.plans.quantiles import group_quantiles, wide_quantiles
 
 POWER, ZONE = "Active_Power_kW", "Zone_ID"
@@ -296,7 +296,7 @@ def box_stats(df: DataFrame, key: str, value: str = POWER, multiplier=config.IQR
     reach = multiplier * (F.col("q75") - F.col("q25"))
     inside = (F.col(value) >= F.col("q25") - reach) & (F.col(value) <= F.col("q75") + reach)
     whiskers = (
-        with_group(df.select(key, value), q, [key])
+        attach_to_rows(df.select(key, value), q, [key])
         .groupBy(key)
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),

@@ -10,7 +10,7 @@ from meterlake.functions import calendar, electrical
 from meterlake.functions.exact import exact
 from meterlake.operators.clean import METER, TIME, flag_outliers, time_order
 from meterlake.plans import ordered
-from meterlake.plans.joins import scalar_row, with_group
+from meterlake.plans.joins import attach_to_rows, scalar_row
 from meterlake.plans.quantiles import wide_quantiles
 from meterlake.plans.splits import Splits, measure
 
@@ -91,12 +91,21 @@ def rolling(
 
 
 def consumption_bucket(df: DataFrame, labels=config.QUARTILE_BUCKETS) -> DataFrame:
+    return consumption_bucket_of(df, df, labels)
+
+
+def consumption_bucket_of(
+    df: DataFrame, source: DataFrame, labels=config.QUARTILE_BUCKETS
+) -> DataFrame:
     """Quartile of the power value, right-closed, the lowest value included.
 
+    Quartiles are those of ``source``, which holds the same readings as ``df`` but
+    may be cheaper to read.
+
     Four labels need five different edges; otherwise this raises rather than
     giving labels that mean nothing.
     """
-    marks = scalar_row(wide_quantiles(df, [POWER], [0.0, 0.25, 0.5, 0.75, 1.0]))
+    marks = scalar_row(wide_quantiles(source, [POWER], [0.0, 0.25, 0.5, 0.75, 1.0]))
     edges = [marks[f"{POWER}_q{p:02d}"] for p in (0, 25, 50, 75, 100)]
     if edges[0] is not None and len(set(edges)) < 5:
         raise ValueError(f"quartile edges repeat, four buckets cannot be formed: {edges}")
@@ -128,7 +137,7 @@ def group_features(df: DataFrame, splits: Splits | None = None) -> DataFrame:
     by_zone = _fold(work, ZONE, "_hour", "zone_hourly_consumption_kWh", "zone_avg_power_kW")
     if splits.any:
         by_meter = _fold(work, METER, "_day", "meter_daily_consumption_kWh", "meter_avg_power_kW")
-        out = with_group(work, by_meter, [METER, "_day"])
+        out = attach_to_rows(work, by_meter, [METER, "_day"])
     else:
         day, meter = Window.partitionBy(METER, "_day"), Window.partitionBy(METER)
         power = exact(POWER)
@@ -141,7 +150,7 @@ def group_features(df: DataFrame, splits: Splits | None = None) -> DataFrame:
                 "meter_avg_power_kW": F.when(known, mean),
             }
         )
-    out = with_group(out, by_zone, [ZONE, "_hour"])
+    out = attach_to_rows(out, by_zone, [ZONE, "_hour"])
     return out.select(
         *df.columns,
         "meter_daily_consumption_kWh",
@@ -152,11 +161,15 @@ def group_features(df: DataFrame, splits: Splits | None = None) -> DataFrame:
 
 
 def feature_table(df: DataFrame, splits: Splits | None = None) -> DataFrame:
-    """All features of a cleaned readings table."""
+    """All features of a cleaned readings table.
+
+    Windows come first, over the narrow readings; the columns that only need the
+    row itself are added after them and never sorted or buffered.
+    """
     splits = splits or measure(df, [METER], TIME)
-    out = consumption_bucket(df)
+    out = group_features(rolling(df, splits=splits), splits)
     out = load_category(power_factor(peak_flag(season(temporal(out)))))
-    return group_features(rolling(out, splits=splits), splits)
+    return consumption_bucket_of(out, df)
 
 
 def feature_report(before: DataFrame, after: DataFrame) -> DataFrame:

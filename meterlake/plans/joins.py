@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.plans.splits import null_safe
+from meterlake.plans.staging import stage
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -38,3 +39,13 @@ def with_group(df: DataFrame, grouped: DataFrame, keys, null_keys: bool = False)
     for k, n in zip(keys, names):
         right = right.withColumnRenamed(k, n)
     return df.join(right, null_safe(df, right, zip(keys, names)), "left").drop(*names)
+
+
+def attach_to_rows(df: DataFrame, grouped: DataFrame, keys, null_keys: bool = False) -> DataFrame:
+    """Attach an aggregate to raw rows, staged first so that its size is known.
+
+    From the size of the staged files the planner broadcasts a small aggregate and
+    leaves the rows where they are.  Unstaged, its size is only known after both
+    sides have been shuffled.  A large one is joined by shuffle as in ``with_group``.
+    """
+    return with_group(df, stage(grouped, "grouped"), keys, null_keys)

@@ -21,7 +21,7 @@ from meterlake.functions.exact import (
 )
 from meterlake.operators.clean import METER, TIME, time_order
 from meterlake.plans import ordered
-from meterlake.plans.joins import with_group, with_scalars
+from meterlake.plans.joins import attach_to_rows, with_group, with_scalars
 from meterlake.plans.quantiles import group_quantiles, wide_quantiles
 from meterlake.plans.splits import measure
 from meterlake.plans.staging import stage
@@ -506,7 +506,7 @@ def meter_iqr_anomalies(df: DataFrame, n: int = 100, multiplier=config.IQR_MULTI
     rows = df.select(METER, TIME, POWER, ZONE, *[c for c in time_order(df) if c != TIME])
     low, high = v < F.col("LOWER_BOUND"), v > F.col("UPPER_BOUND")
     return (
-        with_group(rows, bounds, [METER], null_keys=True)
+        attach_to_rows(rows, bounds, [METER], null_keys=True)
         .filter(low | high)
         .orderBy(F.desc(TIME), METER, *[c for c in time_order(df) if c != TIME])
         .limit(n)
