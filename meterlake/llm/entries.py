@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bytecnn, mixing, sharding, token_prefix, url_rules
+from meterlake.llm import bytecnn, decontam, mixing, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
 from meterlake.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +28,21 @@ def op2_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, rules, url_rules.declared_links(pages)).drop("component")
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), scratch.new_path(spark, "warc"))
+    back = warc.resolve_revisits(warc.read_records(index, with_payload=False))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.components(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = bytecnn.fit(docs, table(spark, sf_dir, "labels"))
@@ -52,8 +67,17 @@ def op9_curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("similarity", 1 - F.col("distance") / F.col("item_words"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_url_verdicts, op6_quality_scores, op7_token_counts, op9_curve_shards)
+    f.__name__: f
+    for f in (
+        op1_source_mix, op2_url_verdicts, op3_repeated_passages, op4_warc_round_trip, op5_jaccard_classes,
+        op6_quality_scores, op7_token_counts, op9_curve_shards, op10_benchmark_leaks,
+    )
 }
 
 SQL_MIX = r"""
