@@ -219,3 +219,17 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + ["score double", "predicted int"])
     return docs.select(*keep).mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The rows of ``docs`` that the network does not reject, with all their columns."""
+    if net is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                p = net.probability(_pool(net, *symbol_rows(part.column("text"))))
+                yield part.filter(pa.array(p >= CUT))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bytecnn, decontam, mixing, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
+from meterlake.llm import bytecnn, decontam, mixing, neighbours, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
 from meterlake.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -62,6 +62,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = sharding.shards(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -76,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_url_verdicts, op3_repeated_passages, op4_warc_round_trip, op5_jaccard_classes,
-        op6_quality_scores, op7_token_counts, op9_curve_shards, op10_benchmark_leaks,
+        op6_quality_scores, op7_token_counts, op8_nearest_vectors, op9_curve_shards, op10_benchmark_leaks,
     )
 }
 

@@ -95,26 +95,33 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     marks = plan(docs, **options).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_tk"), F.col("size").alias("_size"), F.col("taken").alias("_taken")
     )
-    # Equal rows may be taken differently at the cut: number them on both sides.
-    twin = Window.partitionBy("_id", "_tk", "_size").orderBy(F.desc("_taken"))
-    marks = marks.withColumn("_twin", F.row_number().over(twin))
-    docs = docs.withColumns({"_id": F.col("doc_id"), "_tk": F.xxhash64("text"), "_size": word_count(F.col("text"))})
-    docs = docs.withColumn("_twin", F.row_number().over(Window.partitionBy("_id", "_tk", "_size").orderBy(F.lit(1))))
-    same = docs["_id"].eqNullSafe(marks["_id"]) & (docs["_tk"] == marks["_tk"]) & (docs["_twin"] == marks["_twin"])
-    joined = docs.join(marks.select("_id", "_tk", "_twin", "_taken"), same).select(*[docs[c] for c in names], docs["_size"], "_taken")
+    marks = scratch.write(marks, "mix-marks")
+    # All columns travel in one struct, so that none can clash.
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_key"), F.col("text").alias("_text"), F.struct("*").alias("_row"))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_tk"))
+    if not marks.groupBy("_id", "_tk").count().where("count > 1").isEmpty():
+        # Equal rows may be taken differently at the cut: number them on both sides.
+        marks = marks.withColumn("_twin", F.row_number().over(Window.partitionBy("_id", "_tk").orderBy(F.desc("_taken"))))
+        rows = rows.withColumn("_no", F.row_number().over(Window.partitionBy("_doc", "_key").orderBy(F.lit(1))))
+        same = same & (F.col("_twin") == F.col("_no"))
+    joined = rows.join(marks, same).select("_row", "_text", "_size", "_taken")
     whole = F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.floor(F.col("_taken") / F.col("_size"))).cast("int")
     cut = F.when(F.col("_size") == 0, F.lit(0)).otherwise(F.col("_taken") % F.col("_size")).cast("int")
     joined = joined.withColumn("_n", whole).withColumn("_cut", cut)
-    # The words up to the cut with what lies between them; the pattern is built per row.
-    head = F.expr(r"regexp_extract(text, concat('(?s)^([\\x20\\x09-\\x0D]*(?:[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*+){', cast(_cut as string), '})'), 1)")
-    copies = joined.withColumn(
-        "_part", F.explode(F.expr("CASE WHEN _n + IF(_cut > 0, 1, 0) > 0 THEN sequence(1, _n + IF(_cut > 0, 1, 0)) ELSE array() END"))
+    joined = joined.withColumn("_part", F.explode(F.expr("IF(_n + IF(_cut > 0, 1, 0) > 0, sequence(1, _n + IF(_cut > 0, 1, 0)), array())")))
+    # The words up to the cut, each with what stands before it.
+    head = F.array_join(
+        F.zip_with(
+            F.slice(F.split("_text", WORD), F.lit(1), F.col("_cut")),
+            F.slice(F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_cut")),
+            lambda gap, word: F.concat(gap, word),
+        ),
+        "",
     )
     is_cut = F.col("_part") > F.col("_n")
-    text = F.when(is_cut, F.rtrim(head)).otherwise(F.col("text"))
-    copies = copies.withColumn("_new", text)
-    out = {c: F.col(c) for c in names}
+    joined = joined.withColumn("_new", F.when(is_cut, head).otherwise(F.col("_text")))
+    out = {c: F.col(f"_row.`{c}`") for c in names}
     out["text"] = F.col("_new")
     if "n_chars" in names:
-        out["n_chars"] = F.when(is_cut, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return copies.select(*[v.alias(k) for k, v in out.items()])
+        out["n_chars"] = F.when(is_cut, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    return joined.select(*[v.alias(k) for k, v in out.items()])

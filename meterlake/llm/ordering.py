@@ -11,17 +11,18 @@ from meterlake.llm import scratch
 RANGE_ROWS = 400_000
 
 
-def positions(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+def positions(df: DataFrame, order: list[Column], sums: dict[str, str], rows: int | None = None) -> DataFrame:
     """Add ``_before`` (rows before, a long) and, for each ``name: column`` of ``sums``, the
     sum of that long column over all rows before.
 
     The rows are range-partitioned by ``order``, stored with the number of their range, and each
     range adds the totals of the ranges before it: one row per range, so that table is small.
     ``order`` has to end in something that tells rows apart, or ties are placed arbitrarily; rows
-    equal in all columns may swap.  Pass narrow rows: they are shuffled twice.
+    equal in all columns may swap.  Pass narrow rows: they are shuffled twice.  ``rows``: their number,
+    if known.
     """
     spark = df.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(df.count() if rows is None else rows) // RANGE_ROWS))
     cut = df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
     cut = scratch.write(cut, "ranges")
     totals = cut.groupBy("_range").agg(

@@ -405,14 +405,13 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document, that of the least doc_id, from each component; of rows with
     that doc_id, the one whose text hashes least.  Documents without doc_id stay."""
     found = components(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(found, F.col("doc_id") == F.col("_id"), "left_semi")
-    ids = kept.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("_least"), F.count(F.lit(1)).alias("_n"))
-    twice = ids.where("_n > 1").select(F.col("doc_id").alias("_id"), "_least")
-    if twice.isEmpty():
-        once = kept
-    else:
-        clean = kept.join(twice, (F.col("doc_id") == F.col("_id")), "left_anti")
-        first = kept.join(twice, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_least")))
-        # Equal rows under one doc_id: any of them.
-        once = clean.unionByName(first.select(*docs.columns).dropDuplicates(["doc_id"]))
-    return once.unionByName(docs.where("doc_id IS NULL"))
+    # All columns travel in one struct, so that none can clash.
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_key"), F.struct("*").alias("_row"))
+    kept = rows.join(found, F.col("_doc") == F.col("_id"), "left_semi")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"))
+    if not ids.isEmpty():
+        once = kept.join(ids, F.col("_doc") == F.col("_id"), "left_anti")
+        many = kept.join(ids, F.col("_doc") == F.col("_id"), "left_semi")
+        # Rows that are equal under one doc_id: any of them.
+        kept = once.union(many.groupBy("_doc").agg(F.min("_key").alias("_key"), F.min_by("_row", "_key").alias("_row")))
+    return kept.union(rows.where("_doc IS NULL")).select("_row.*")
