@@ -7,7 +7,8 @@ through one logistic unit.  A filter over one-hot symbols is a sum of table rows
 a few lookups per byte.
 
 Training: at most ``SAMPLE`` labelled rows, those of least md5, outside the held-out fold, each
-with at most ``CHUNKS`` chunks spread evenly over its text; Adam on the logistic loss.  Only
+with at most ``CHUNKS`` chunks spread evenly over its text; about ``STEPS`` steps of Adam on the
+logistic loss.  Only
 these bounded cuttings reach the driver.  Scoring covers every byte.
 
 Defined cases: a null text counts as empty, which is one chunk of padding; labels that are null
@@ -30,7 +31,8 @@ from meterlake.llm.wordhash import Words, slices
 
 SAMPLE = 4000
 CHUNKS = 8
-EPOCHS = 12
+STEPS = 1000
+BATCH = 48
 WIDTH = 6
 FILTERS = 12
 BLOCK = 128
@@ -133,10 +135,10 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Networ
     params = [net.taps, net.bias, net.out, np.zeros(1, np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(-(-STEPS * BATCH // len(chunks))):
         order = rng.permutation(len(chunks))
-        for i in range(0, len(order), 48):
-            docs = order[i : i + 48]
+        for i in range(0, len(order), BATCH):
+            docs = order[i : i + BATCH]
             rows = np.concatenate([chunks[d] for d in docs])
             owner = np.repeat(np.arange(len(docs)), [len(chunks[d]) for d in docs])
             n, span = len(rows), rows.shape[1] - WIDTH + 1

@@ -112,5 +112,7 @@ def shards(docs: DataFrame, count: int = SHARDS) -> DataFrame:
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
     """Store ``docs`` as one folder per shard, each sorted by slot.  ``assigned``: from ``shards``,
     over documents whose doc_id is unique."""
-    out = docs.join(assigned.select(F.col("doc_id").alias("_id"), "shard", "slot"), F.col("doc_id") == F.col("_id")).drop("_id")
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.struct(*kept).alias("_row"))  # one struct: no name can clash
+    out = rows.join(assigned.select(F.col("doc_id").alias("_of"), "shard", "slot"), F.col("_doc") == F.col("_of")).select("_row.*", "shard", "slot")
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
