@@ -1,6 +1,6 @@
 """SQL that gives the same rows as each registered query, for DuckDB.
 
-Sums are taken over DECIMAL(18,7) and rounding is spelled out, so that both
+Sums are taken over DECIMAL(18,7) where that keeps the value, else over doubles, and rounding is spelled out, so that both
 engines work on the same numbers.
 """
 
@@ -18,8 +18,25 @@ P = "Active_Power_kW"
 # --- snippets -------------------------------------------------------------------
 
 
+def _lanes(x: str) -> tuple[str, str]:
+    """A value as decimal where that keeps it to a millionth, else as double."""
+    v, d = f"CAST({x} AS DOUBLE)", f"TRY_CAST({x} AS DECIMAL(18,7))"
+    close = f"coalesce(abs(CAST({d} AS DOUBLE) - {v}) <= abs({v}) * 1e-6, false)"
+    return f"CASE WHEN {close} THEN {d} END", f"CASE WHEN NOT {close} THEN {v} END"
+
+
+def _joined(fixed: str, rest: str) -> str:
+    s = f"CAST({fixed} AS DOUBLE)"
+    return f"coalesce({s} + {rest}, {s}, {rest})"
+
+
+def SO(x: str, over: str) -> str:
+    """Sum over a window."""
+    return _joined(*(f"SUM({lane}) OVER {over}" for lane in _lanes(x)))
+
+
 def S(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,7))) AS DOUBLE)"
+    return _joined(*(f"SUM({lane})" for lane in _lanes(x)))
 
 
 def A(x: str) -> str:
@@ -36,7 +53,7 @@ def PCT(part: str, whole: str, n: int = 2) -> str:
 
 def WA(x: str, over: str) -> str:
     """Average over a window, from an exact sum."""
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,7))) OVER {over} AS DOUBLE) / NULLIF(COUNT({x}) OVER {over}, 0))"
+    return f"({SO(x, over)} / NULLIF(COUNT({x}) OVER {over}, 0))"
 
 
 def GROWTH(now: str, before: str) -> str:
@@ -229,9 +246,9 @@ def _flat() -> dict[str, str]:
             MAX({P}) AS hourly_max, MIN({P}) AS hourly_min FROM readings GROUP BY 1, 2
             ORDER BY reading_date DESC, Meter_ID LIMIT 1000""",
         "G11_cumulative_consumption": f"""WITH d AS (SELECT {day} AS reading_date,
-            SUM(CAST({P} AS DECIMAL(18,7))) AS s FROM readings GROUP BY 1)
+            {S(P)} AS s FROM readings GROUP BY 1)
             SELECT reading_date, {R('CAST(s AS DOUBLE)', 2)} AS daily_consumption,
-            {R('CAST(SUM(s) OVER (ORDER BY reading_date) AS DOUBLE)', 2)} AS cumulative_consumption FROM d""",
+            {R(SO('s', '(ORDER BY reading_date)'), 2)} AS cumulative_consumption FROM d""",
         "G12_zone_statistics": f"""SELECT Zone_ID, COUNT(DISTINCT Meter_ID) AS meter_count, COUNT(*) AS total_readings,
             {R(A(P), 2)} AS avg_power_kw, {rms} AS stddev_power_kw, {R(f'MAX({P})', 2)} AS peak_power_kw,
             {R(f'MIN({P})', 2)} AS min_power_kw FROM readings WHERE Zone_ID IS NOT NULL GROUP BY Zone_ID""",
@@ -271,13 +288,23 @@ def _flat() -> dict[str, str]:
 # --- trends and rankings --------------------------------------------------------------
 
 
+def _next_later(table: str) -> str:
+    return f"""WITH n AS (SELECT a.meter_id, a.ts, MIN(b.ts) AS nx FROM
+        (SELECT row_number() OVER () AS id, meter_id, ts FROM {table}) a
+        JOIN (SELECT DISTINCT meter_id, ts FROM {table}) b ON a.meter_id = b.meter_id AND b.ts > a.ts
+        GROUP BY a.id, a.meter_id, a.ts), g AS (SELECT *, date_diff('minute', ts, nx) AS m FROM n)
+        SELECT meter_id, meter_name, ts AS expected_time, nx AS actual_time, m AS time_gap_minutes,
+        CASE WHEN m > 15 THEN 'Missing readings' ELSE 'Duplicate period' END AS gap_type
+        FROM g LEFT JOIN meters USING (meter_id) WHERE m <> 15"""
+
+
 def _trends() -> dict[str, str]:
     day = f"CAST({TS} AS DATE)"
     g_mean = f"(SELECT {A(P)} FROM readings)"
     ratio = f"({P} / Apparent_Power_kVA)"
     frame = "(PARTITION BY Meter_ID ORDER BY \"Timestamp\", _seq ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING)"
     cumulative = f"""SELECT Meter_ID, {TS}, {P},
-        CAST(SUM(CAST({P} AS DECIMAL(18,7))) OVER w AS DOUBLE) AS cumulative_power,
+        {SO(P, 'w')} AS cumulative_power,
         ROW_NUMBER() OVER w AS reading_number,
         {I(f'RANK() OVER (PARTITION BY Meter_ID ORDER BY {P} DESC NULLS LAST)')} AS power_rank_in_meter
         FROM readings WINDOW w AS (PARTITION BY Meter_ID ORDER BY {TS}, _seq
@@ -677,14 +704,8 @@ def _audits() -> dict[str, str]:
             {PCT('COUNT(*)', '(SELECT COUNT(*) FROM raw_fact)')} AS percentage_of_total
             FROM raw_fact WHERE power_factor < 0 OR power_factor > 1""",
         ),
-        "Q4_3_reading_gaps": using(
-            "fact meters",
-            """WITH n AS (SELECT meter_id, ts, LEAD(ts) OVER (PARTITION BY meter_id ORDER BY ts, reading_id) AS nx
-            FROM fact), g AS (SELECT *, date_diff('minute', ts, nx) AS m FROM n)
-            SELECT meter_id, meter_name, ts AS expected_time, nx AS actual_time, m AS time_gap_minutes,
-            CASE WHEN m > 15 THEN 'Missing readings' ELSE 'Duplicate period' END AS gap_type
-            FROM g LEFT JOIN meters USING (meter_id) WHERE m <> 15""",
-        ),
+        "Q4_3_reading_gaps": using("fact meters", _next_later("fact")),
+        "Q4_3_reading_gaps_dup": using("dup_fact meters", _next_later("dup_fact")),
         "Q6_1_quality_overview": using(
             "flagged_fact meters zones",
             f"""SELECT COUNT(*) AS total_records, (SELECT COUNT(*) FROM meters) AS total_meters,

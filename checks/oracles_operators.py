@@ -545,17 +545,17 @@ def _aggregates() -> dict[str, str]:
         ),
         "M10_current_meter_status": using(
             "star_fact star_meters star_zones",
-            f"""WITH g AS (SELECT meter_id, MAX(ts) AS last_reading_timestamp, COUNT(reading_id) AS n, {ANOM} AS a
-            FROM star_fact GROUP BY 1)
-            SELECT meter_id, meter_name, zone_id, zone_name, 'Active' AS status, last_reading_timestamp,
+            f"""WITH g AS (SELECT meter_id, zone_id, MAX(ts) AS last_reading_timestamp, COUNT(reading_id) AS n, {ANOM} AS a
+            FROM star_fact GROUP BY 1, 2)
+            SELECT m.meter_id, meter_name, g.zone_id, zone_name, 'Active' AS status, last_reading_timestamp,
             COALESCE(n, 0) AS total_readings, COALESCE(a, 0) AS anomaly_count
-            FROM star_meters LEFT JOIN g USING (meter_id) LEFT JOIN star_zones ON TRUE""",
+            FROM star_meters m LEFT JOIN g ON m.meter_id = g.meter_id LEFT JOIN star_zones z ON z.zone_id = g.zone_id""",
         ),
         "M11_daily_comparison": using(
             "star_fact star_zones",
             f"""WITH d AS (SELECT CAST(ts AS DATE) AS reading_date, meter_id, zone_id, {S(V)} AS s, {A(V)} AS a
             FROM star_fact GROUP BY 1, 2, 3), g AS (SELECT reading_date, zone_id, {S('s')} AS zone_total_kwh,
-            {R('(CAST(SUM(CAST(a AS DECIMAL(28,12))) AS DOUBLE) / COUNT(a))', 9)} AS zone_avg_power_kw, COUNT(DISTINCT meter_id) AS meter_count FROM d GROUP BY 1, 2)
+            {R('AVG(a)', 9)} AS zone_avg_power_kw, COUNT(DISTINCT meter_id) AS meter_count FROM d GROUP BY 1, 2)
             SELECT reading_date, zone_id, zone_name, zone_total_kwh, zone_avg_power_kw, meter_count
             FROM g LEFT JOIN star_zones USING (zone_id)""",
         ),
@@ -731,8 +731,24 @@ def _streams() -> dict[str, str]:
         "ST11_range_flags": using(
             "readings", f"SELECT _seq, {I(bad)} AS out_of_range, {I(gone)} AS missing FROM readings"
         ),
-        "ST12_gap_alerts": using(
+        "IO18_sample": using(
+            "readings", f"SELECT _seq FROM readings WHERE left(md5('{config.SAMPLE_SEED}:' || CAST(_seq AS VARCHAR)), 8) < '1999999a'"
+        ),
+        "AG1_extreme_values": using(
+            "readings",
+            f"""WITH x AS (SELECT Meter_ID, CASE WHEN _seq % 50 = 1 THEN 1e12 WHEN _seq % 50 = 2 THEN 4e-8
+            WHEN _seq % 5000 = 3 THEN CAST('inf' AS DOUBLE) ELSE {P} END AS v FROM readings)
+            SELECT Meter_ID, {R('SUM(v)', 0)} AS total, {R('(SUM(v) / COUNT(v))', 1)} AS mean, COUNT(v) AS n FROM x
+            WHERE Meter_ID IS NOT NULL GROUP BY 1""",
+        ),
+        "F8_group_features_null_time": using(
             "readings",
+            f"""WITH t AS (SELECT * REPLACE (CASE WHEN _seq % 20 = 0 THEN NULL ELSE {TS} END AS {TS},
+            CASE WHEN _seq % 70 = 0 THEN NULL ELSE Meter_ID END AS Meter_ID) FROM readings)
+            SELECT r._seq, md AS meter_daily_consumption_kWh, zh AS zone_hourly_consumption_kWh,
+            ma AS meter_avg_power_kW, za AS zone_avg_power_kW FROM t r {_group_totals('t')}""",
+        ),
+        "ST12_gap_alerts": using(            "readings",
             f"""WITH n AS (SELECT Meter_ID, {TS} AS a, LEAD({TS}) OVER (PARTITION BY Meter_ID ORDER BY {TS}) AS b
             FROM readings), g AS (SELECT *, date_diff('minute', a, b) AS m FROM n)
             SELECT Meter_ID, a AS expected_time, b AS actual_time, m AS time_gap_minutes,

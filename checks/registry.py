@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from meterlake import config
 from meterlake.functions import calendar
-from meterlake.functions.exact import rounded
+from meterlake.functions.exact import exact_avg, exact_sum, rounded
 from meterlake.operators import analytics, clean, features, quality, star
 from meterlake.queries import audit, consumption, reports
 from meterlake.plans import ordered, quantiles
@@ -163,6 +163,30 @@ def _groups(spark, d):
     return features.group_features(readings(spark, d)).select("_seq", *names)
 
 
+def _groups_null_time(spark, d):
+    """Some readings without a time and some without a meter."""
+    names = ("meter_daily_consumption_kWh", "zone_hourly_consumption_kWh", "meter_avg_power_kW", "zone_avg_power_kW")
+    holes = {
+        "Timestamp": F.when(F.col("_seq") % 20 != 0, F.col("Timestamp")),
+        "Meter_ID": F.when(F.col("_seq") % 70 != 0, F.col("Meter_ID")),
+    }
+    return features.group_features(readings(spark, d).withColumns(holes)).select("_seq", *names)
+
+
+def _extremes(spark, d):
+    """Sums and means over very large, very small and infinite readings."""
+    v = (
+        F.when(F.col("_seq") % 50 == 1, 1e12)
+        .when(F.col("_seq") % 50 == 2, 4e-8)
+        .when(F.col("_seq") % 5000 == 3, float("inf"))
+        .otherwise(F.col(POWER))
+    )
+    grouped = readings(spark, d).filter("Meter_ID IS NOT NULL").groupBy("Meter_ID")
+    return grouped.agg(
+        rounded(exact_sum(v), 0).alias("total"), rounded(exact_avg(v), 1).alias("mean"), F.count(v).alias("n")
+    )
+
+
 def _features(spark, d):
     """The whole feature table, reduced to its distinctive columns."""
     out = features.feature_table(clean.clean_readings(dup(spark, d)))
@@ -389,6 +413,16 @@ def _stream(fn, name, mode="append", source=event_stream, **kw):
     return lambda spark, d: _drained(fn(source(spark, d), **kw), spark, name, mode)
 
 
+def _gaps(spark, d):
+    """Alerts of all readings: a last one far in the future moves the watermark past them."""
+    source = event_stream(spark, d)
+    end = source.filter("_seq = 0").withColumns(
+        {"Meter_ID": F.lit("MTR-END"), "Timestamp": F.lit("2099-01-01 00:00:00").cast("timestamp_ntz")}
+    )
+    alerts = gaps.gap_alerts(source.unionByName(end), delay="1 hour")
+    return _drained(alerts, spark, "gaps").filter("Meter_ID <> 'MTR-END'")
+
+
 def _doubled(spark, d):
     s = event_stream(spark, d).drop("_seq")
     return s.union(s)
@@ -495,6 +529,7 @@ QUERIES = {
     "Q4_1_apparent_power_mismatch": _on(audit.apparent_power_mismatch, fact),
     "Q4_2_invalid_power_factor": _on(audit.invalid_power_factor, _raw_pf_fact),
     "Q4_3_reading_gaps": _on(audit.reading_gaps, fact, meters),
+    "Q4_3_reading_gaps_dup": _on(audit.reading_gaps, dup_fact, meters),
     "Q5_1_anomaly_summary_by_meter": _on(audit.anomaly_summary_by_meter, star_fact, star_meters),
     "Q5_2_anomalies_by_date": _on(audit.anomalies_by_date, star_fact),
     "Q5_3_high_anomaly_meters": _on(audit.high_anomaly_meters, star_fact, star_meters),
@@ -527,6 +562,8 @@ QUERIES = {
         "_seq", "consumption_bucket"
     ),
     "F8_group_features": _groups,
+    "F8_group_features_null_time": _groups_null_time,
+    "AG1_extreme_values": _extremes,
     "F9_feature_table": _features,
     "F10_exploratory_features": _extras,
     "W17_consumption_change": _change,
@@ -623,5 +660,5 @@ QUERIES = {
     "ST9_daily_by_meter": _stream(windows.daily_by_meter, "daily", "complete"),
     "ST10_sliding_average": _stream(windows.sliding_average, "sliding", "complete"),
     "ST11_range_flags": _batch_quality,
-    "ST12_gap_alerts": _stream(gaps.gap_alerts, "gaps"),
+    "ST12_gap_alerts": _gaps,
 }

@@ -1,8 +1,11 @@
 """Sums, averages and rounding that do not depend on row order.
 
 Adding doubles in another order changes the last digits, so totals would differ
-between runs, retries and partitionings.  Energy is therefore added as
-DECIMAL(18,7), which fits a long, and returned as double.
+between runs, retries and partitionings.  A value is therefore added as
+DECIMAL(18,7), which fits a long, where that keeps it to a millionth; very large,
+very small and non-finite values are added beside it as doubles.  Every value
+counts in one of the two lanes, so sums take any input and means cover the rows
+they count.
 """
 
 from __future__ import annotations
@@ -17,12 +20,29 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact(c) -> Column:
-    return _col(c).cast(DECIMAL)
+def lanes(c) -> tuple[Column, Column]:
+    """The value as a decimal where that is close to it, and as a double elsewhere."""
+    x = _col(c).cast("double")
+    d = x.try_cast(DECIMAL)
+    close = F.coalesce(F.abs(d.cast("double") - x) <= F.abs(x) * 1e-6, F.lit(False))
+    return F.when(close, d), F.when(~close, x)
+
+
+def joined(exact_part: Column, rest: Column) -> Column:
+    """Sum of both lanes; NULL if neither holds a value."""
+    s = exact_part.cast("double")
+    return F.coalesce(s + rest, s, rest)
 
 
 def exact_sum(c) -> Column:
-    return F.sum(exact(c)).cast("double")
+    d, x = lanes(c)
+    return joined(F.sum(d), F.sum(x))
+
+
+def exact_over(c, window) -> Column:
+    """Sum over a window."""
+    d, x = lanes(c)
+    return joined(F.sum(d).over(window), F.sum(x).over(window))
 
 
 def exact_avg(c) -> Column:
@@ -32,7 +52,9 @@ def exact_avg(c) -> Column:
 def rounded(c, digits: int) -> Column:
     """Half away from zero on the double itself."""
     x, scale = _col(c), float(10**digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale + F.lit(0.0)
+    near = F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale + F.lit(0.0)
+    # From 2**52 on, and for infinities, there is nothing to round and a long may not hold it.
+    return F.when(F.abs(x) * scale >= float(2**52), x.cast("double")).otherwise(near)
 
 
 def percentage(part, whole, digits: int | None = 2) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake import config
 from meterlake.functions import calendar, electrical
-from meterlake.functions.exact import exact, exact_avg, exact_sum, rounded
+from meterlake.functions.exact import exact_avg, exact_over, exact_sum, rounded
 from meterlake.operators.clean import METER, TIME, iqr_bounds, outside_bounds, time_order
 from meterlake.plans.joins import attach_to_rows, with_scalars
 from meterlake.plans.quantiles import group_quantiles, wide_quantiles
@@ -92,7 +92,7 @@ def top_consumers(df: DataFrame, n: int = 20) -> DataFrame:
     top = stats.orderBy(F.desc_nulls_last("mean"), METER).limit(n)
     # n rows reach this window.
     return top.withColumn(
-        "total_top_consumption", F.sum(exact("mean")).over(Window.partitionBy()).cast("double")
+        "total_top_consumption", exact_over("mean", Window.partitionBy())
     )
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from meterlake import config
 from meterlake.functions import calendar, electrical
-from meterlake.functions.exact import exact
+from meterlake.functions.exact import exact_over, exact_sum
 from meterlake.operators.clean import METER, TIME, flag_outliers, time_order
 from meterlake.plans import ordered
-from meterlake.plans.joins import attach_to_rows, scalar_row
+from meterlake.plans.joins import attach_to_rows, scalar_row, with_group
 from meterlake.plans.quantiles import wide_quantiles
 from meterlake.plans.splits import Splits, measure
+from meterlake.plans.staging import stage
 
 POWER, ZONE = "Active_Power_kW", "Zone_ID"
 ROLLING_COLUMNS = ("Active_Power_kW", "Current_A", "Reactive_Power_kW")
@@ -113,36 +114,38 @@ def consumption_bucket_of(
     return df.withColumn("consumption_bucket", label)
 
 
-def _fold(df: DataFrame, key: str, part: str, total: str, mean: str) -> DataFrame:
-    """Totals per (key, part) and the mean per key, the second folded from the first."""
+def _fold(df: DataFrame, key: str, part: str, total: str, mean: str) -> tuple[DataFrame, DataFrame]:
+    """Totals per (key, part), and the mean per key folded from them.
+
+    They stay two tables: a row without a time has no total but still its key's mean.
+    """
     grain = df.groupBy(key, part).agg(
-        F.coalesce(F.sum(exact(POWER)), F.lit(0)).alias("_sum"), F.count(POWER).alias("_n")
-    )
-    whole = grain.groupBy(key).agg(
-        F.try_divide(F.sum("_sum").cast("double"), F.sum("_n")).alias(mean)
+        F.coalesce(exact_sum(POWER), F.lit(0.0)).alias("_sum"), F.count(POWER).alias("_n")
     )
-    return grain.select(key, part, F.col("_sum").cast("double").alias(total)).join(whole, key)
+    grain = stage(grain, "grain")
+    whole = grain.groupBy(key).agg(F.try_divide(exact_sum("_sum"), F.sum("_n")).alias(mean))
+    return grain.select(key, part, F.col("_sum").alias(total)), whole
 
 
 def group_features(df: DataFrame, splits: Splits | None = None) -> DataFrame:
     """Meter-day and zone-hour totals, meter and zone means, on every reading.
 
     Meter figures are windows over the meter, as for the rolling features, unless
-    a meter is too large for that.  Zones always are: their figures come from one
-    aggregate that rows join by (zone, hour), and so do those of large meters by
-    (meter, day).  Such groups are small even if one zone or meter holds much.
+    a meter is too large for that.  Zones always are: rows join their totals by
+    (zone, hour) and their means by zone, and those of large meters by (meter, day) and
+    meter.  Such groups are small even if one zone or meter holds much.  A reading
+    without a time has no total of its day or hour, and the mean of its meter and zone.
     """
     splits = splits or measure(df, [METER], TIME)
     work = df.withColumn("_day", F.to_date(TIME)).withColumn("_hour", calendar.trunc("hour", TIME))
-    by_zone = _fold(work, ZONE, "_hour", "zone_hourly_consumption_kWh", "zone_avg_power_kW")
+    hourly, zone_means = _fold(work, ZONE, "_hour", "zone_hourly_consumption_kWh", "zone_avg_power_kW")
     if splits.any:
-        by_meter = _fold(work, METER, "_day", "meter_daily_consumption_kWh", "meter_avg_power_kW")
-        out = attach_to_rows(work, by_meter, [METER, "_day"])
+        daily, means = _fold(work, METER, "_day", "meter_daily_consumption_kWh", "meter_avg_power_kW")
+        out = attach_to_rows(with_group(work, daily, [METER, "_day"]), means, [METER])
     else:
         day, meter = Window.partitionBy(METER, "_day"), Window.partitionBy(METER)
-        power = exact(POWER)
-        daily = F.coalesce(F.sum(power).over(day), F.lit(0)).cast("double")
-        mean = F.try_divide(F.sum(power).over(meter).cast("double"), F.count(POWER).over(meter))
+        daily = F.coalesce(exact_over(POWER, day), F.lit(0.0))
+        mean = F.try_divide(exact_over(POWER, meter), F.count(POWER).over(meter))
         known = F.col(METER).isNotNull()
         out = work.withColumns(
             {
@@ -150,7 +153,7 @@ def group_features(df: DataFrame, splits: Splits | None = None) -> DataFrame:
                 "meter_avg_power_kW": F.when(known, mean),
             }
         )
-    out = attach_to_rows(out, by_zone, [ZONE, "_hour"])
+    out = attach_to_rows(with_group(out, hourly, [ZONE, "_hour"]), zone_means, [ZONE])
     return out.select(
         *df.columns,
         "meter_daily_consumption_kWh",

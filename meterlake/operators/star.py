@@ -235,14 +235,14 @@ def agg_hourly_zone_consumption(fact: DataFrame) -> DataFrame:
     power = F.col("active_power_kw")
     hour = calendar.trunc("hour", "timestamp")
     grain = fact.groupBy(hour.alias("reading_hour"), "zone_id", "meter_id").agg(
-        F.sum(power.cast("decimal(18,7)")).alias("_s"),
+        exact_sum(power).alias("_s"),
         F.count(power).alias("_n"),
         F.max(power).alias("_hi"),
         F.min(power).alias("_lo"),
     )
     return grain.groupBy("reading_hour", "zone_id").agg(
-        F.sum("_s").cast("double").alias("total_consumption_kwh"),
-        F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("avg_power_kw"),
+        exact_sum("_s").alias("total_consumption_kwh"),
+        F.try_divide(exact_sum("_s"), F.sum("_n")).alias("avg_power_kw"),
         F.max("_hi").alias("max_power_kw"),
         F.min("_lo").alias("min_power_kw"),
         F.count("meter_id").alias("meter_count"),
@@ -258,15 +258,15 @@ def agg_monthly_consumption(fact: DataFrame) -> DataFrame:
         "meter_id",
         "zone_id",
     ).agg(
-        F.sum(F.col("active_power_kw").cast("decimal(18,7)")).alias("_s"),
+        exact_sum("active_power_kw").alias("_s"),
         F.count_if(F.col("is_anomaly") == 1).alias("_a"),
         F.count(F.lit(1)).alias("_n"),
     )
     return daily.groupBy("year", "month", "meter_id", "zone_id").agg(
-        F.sum("_s").cast("double").alias("total_consumption_kwh"),
-        F.try_divide(F.sum("_s").cast("double"), F.count("_s")).alias("avg_daily_consumption_kwh"),
-        F.max("_s").cast("double").alias("max_daily_consumption_kwh"),
-        F.min("_s").cast("double").alias("min_daily_consumption_kwh"),
+        exact_sum("_s").alias("total_consumption_kwh"),
+        F.try_divide(exact_sum("_s"), F.count("_s")).alias("avg_daily_consumption_kwh"),
+        F.max("_s").alias("max_daily_consumption_kwh"),
+        F.min("_s").alias("min_daily_consumption_kwh"),
         F.sum("_a").alias("total_anomalies"),
         F.sum("_n").alias("reading_count"),
     )
@@ -356,17 +356,17 @@ def anomaly_records(df: DataFrame, columns=("Active_Power_kW", "Current_A", "Vol
 
 
 def current_meter_status(fact: DataFrame, meters: DataFrame, zones: DataFrame) -> DataFrame:
-    """Every meter with every zone, with the meter's last reading and totals.
+    """Every meter with each zone it has readings in: last reading and totals there.
 
-    Totals are made per meter first; the pairing with zones is part of the view.
+    A meter without readings keeps one row without a zone.  Nothing is paired that has no reading.
     """
-    totals = fact.groupBy("meter_id").agg(
+    totals = fact.groupBy("meter_id", "zone_id").agg(
         F.max("timestamp").alias("last_reading_timestamp"),
         F.count("reading_id").alias("total_readings"),
         F.count_if(F.col("is_anomaly") == 1).alias("anomaly_count"),
     )
     per_meter = meters.select("meter_id", "meter_name", "status").join(totals, "meter_id", "left")
-    paired = per_meter.join(zones.select("zone_id", "zone_name"), F.lit(True), "left")
+    paired = with_group(per_meter, zones.select("zone_id", "zone_name"), ["zone_id"])
     return paired.select(
         "meter_id",
         "meter_name",
@@ -384,7 +384,7 @@ def daily_consumption_comparison(daily: DataFrame, zones: DataFrame) -> DataFram
     grouped = daily.groupBy("reading_date", "zone_id").agg(
         exact_sum("total_consumption_kwh").alias("zone_total_kwh"),
         rounded(
-            F.try_divide(F.sum(F.col("avg_power_kw").cast("decimal(28,12)")).cast("double"), F.count("avg_power_kw")),
+            F.avg("avg_power_kw"),
             9,
         ).alias("zone_avg_power_kw"),
         F.count_distinct("meter_id").alias("meter_count"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterlake import config
 from meterlake.plans import ordered
-from meterlake.plans.splits import group_sizes, measure
+from meterlake.plans.splits import group_sizes, measure, null_safe
 
 COLUMN = "column_name"
 
@@ -38,7 +38,7 @@ def long_quantiles(
 ) -> DataFrame:
     """One row per group and column: keys, column_name, q25, q50, ...
 
-    NULLs are ignored.  Groups without any value may give a row of NULLs or none.
+    NULLs are ignored; a group without any value gives a row of NULLs.
     """
     keys, columns = list(keys), list(columns)
     values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -73,7 +73,13 @@ def _by_running_count(values, keys, columns, probs, policy) -> DataFrame:
         measure(long, groups, "_v", policy),
         totals={"_total": F.col("_n")},
     )
-    return ranked.groupBy(*groups).agg(*[_pick(p) for p in probs])
+    found = ranked.groupBy(*groups).agg(*[_pick(p) for p in probs])
+    # One row per group and column: those without a value are put back.
+    marks = F.explode(F.array(*[F.lit(c) for c in columns])).alias(COLUMN)
+    every = values.select(*keys).distinct().select(*keys, marks) if keys else values.limit(1).select(marks)
+    names = [f"_g{i}" for i in range(len(groups))]
+    right = found.select(*[F.col(g).alias(n) for g, n in zip(groups, names)], *[quantile_name(p) for p in probs])
+    return every.join(right, null_safe(every, right, zip(groups, names)), "left").drop(*names)
 
 
 def group_quantiles(df, keys, column, probs, **kw) -> DataFrame:

@@ -211,16 +211,17 @@ def invalid_power_factor(fact: DataFrame) -> DataFrame:
 def reading_gaps(
     fact: DataFrame, meters: DataFrame, minutes: int = config.EXPECTED_GAP_MINUTES
 ) -> DataFrame:
-    """Steps to the meter's next reading that differ from the expected minutes.
+    """Steps to the meter's next strictly later reading that differ from the expected minutes.
 
-    The next reading comes from ``lead``, not from a self join, and minutes are
-    counted by minute boundaries crossed.
+    The next reading comes from ``lead`` over the meter's different times, not from a self
+    join, and each copy of a time gives its row.  Minutes are counted by minute boundaries
+    crossed.
     """
-    work = fact.select("meter_id", "timestamp", "reading_id")
+    work = fact.groupBy("meter_id", "timestamp").agg(F.count(F.lit(1)).alias("_copies"))
     stepped = ordered.frames(
         work,
         ["meter_id"],
-        ["timestamp", "reading_id"],
+        ["timestamp"],
         {"actual_time": lambda w: F.lead("timestamp").over(w)},
         measure(work, ["meter_id"], "timestamp"),
         after=1,
@@ -235,7 +236,9 @@ def reading_gaps(
         F.col("timestamp").alias("expected_time"),
         "actual_time",
         gap.alias("time_gap_minutes"),
+        "_copies",
     ).filter(F.col("time_gap_minutes") != minutes)
+    gaps = gaps.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_copies")
     kind = F.when(F.col("time_gap_minutes") > minutes, "Missing readings").otherwise(
         "Duplicate period"
     )

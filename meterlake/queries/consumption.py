@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from meterlake import config
 from meterlake.functions import calendar, electrical
 from meterlake.functions.exact import (
-    exact,
     exact_avg,
+    exact_over,
     exact_sum,
     growth_percent,
+    joined,
+    lanes,
     percentage,
     rounded,
 )
@@ -197,12 +199,12 @@ def daily_by_meter_latest(df: DataFrame, n: int = 1000) -> DataFrame:
 
 
 def cumulative_consumption(df: DataFrame) -> DataFrame:
-    daily = df.groupBy(F.to_date(TIME).alias("reading_date")).agg(F.sum(exact(POWER)).alias("_s"))
+    daily = df.groupBy(F.to_date(TIME).alias("reading_date")).agg(exact_sum(POWER).alias("_s"))
     # One row per date reaches the window.
-    so_far = F.sum("_s").over(Window.orderBy("reading_date")).cast("double")
+    so_far = exact_over("_s", Window.orderBy("reading_date"))
     return daily.select(
         "reading_date",
-        rounded(F.col("_s").cast("double"), 2).alias("daily_consumption"),
+        rounded("_s", 2).alias("daily_consumption"),
         rounded(so_far, 2).alias("cumulative_consumption"),
     ).orderBy("reading_date")
 
@@ -217,13 +219,13 @@ def _moments(df: DataFrame, *keys) -> DataFrame:
     grouped = df.groupBy(*keys).agg(
         _rows().alias("_rows"),
         F.count(v).alias("_n"),
-        F.sum(exact(v)).alias("_s"),
+        exact_sum(v).alias("_s"),
         F.sum(v * v).alias("_q"),
         F.max(v).alias("_hi"),
         F.min(v).alias("_lo"),
     )
     overall = F.try_divide(
-        F.sum("_s").over(_all()).cast("double"), F.sum("_n").over(_all())
+        exact_over("_s", _all()), F.sum("_n").over(_all())
     ).alias("_gmean")
     return grouped.select("*", overall)
 
@@ -234,7 +236,7 @@ def zone_statistics(df: DataFrame) -> DataFrame:
     per_meter = df.groupBy(ZONE, METER).agg(
         _rows().alias("_rows"),
         F.count(v).alias("_n"),
-        F.sum(exact(v)).alias("_s"),
+        exact_sum(v).alias("_s"),
         F.sum(v * v).alias("_q"),
         F.max(v).alias("_hi"),
         F.min(v).alias("_lo"),
@@ -243,13 +245,13 @@ def zone_statistics(df: DataFrame) -> DataFrame:
         F.count(METER).alias("meter_count"),
         F.sum("_rows").alias("total_readings"),
         F.sum("_n").alias("_n"),
-        F.sum("_s").alias("_s"),
+        exact_sum("_s").alias("_s"),
         F.sum("_q").alias("_q"),
         F.max("_hi").alias("_hi"),
         F.min("_lo").alias("_lo"),
     )
-    s = F.col("_s").cast("double")
-    mean = F.try_divide(F.sum("_s").over(_all()).cast("double"), F.sum("_n").over(_all()))
+    s = F.col("_s")
+    mean = F.try_divide(exact_over("_s", _all()), F.sum("_n").over(_all()))
     return (
         zones.select("*", mean.alias("_gmean"))
         .filter(F.col(ZONE).isNotNull())
@@ -317,7 +319,7 @@ def consumption_spikes(df: DataFrame, factor: float = 1.5, n: int = 500) -> Data
 
 
 def load_volatility(df: DataFrame) -> DataFrame:
-    s = F.col("_s").cast("double")
+    s = F.col("_s")
     return (
         _moments(df, F.to_date(TIME).alias("reading_date"))
         .select(
@@ -352,7 +354,7 @@ def hourly_trend(df: DataFrame) -> DataFrame:
 
 
 def _window_avg(c: str, w) -> Column:
-    total = F.sum(exact(c)).over(w).cast("double")
+    total = exact_over(c, w)
     return F.try_divide(total, F.count(c).over(w))
 
 
@@ -382,13 +384,13 @@ def zone_ranking(df: DataFrame) -> DataFrame:
     zones = df.groupBy(ZONE).agg(
         _rows().alias("total_records"),
         F.count(v).alias("_n"),
-        F.sum(exact(v)).alias("_s"),
+        exact_sum(v).alias("_s"),
         rounded(F.max(v), 2).alias("peak_power_kw"),
         rounded(F.min(v), 2).alias("min_power_kw"),
         rounded(F.stddev_pop(v), 2).alias("stddev_power"),
     )
-    mean = F.try_divide(F.col("_s").cast("double"), F.col("_n"))
-    overall = F.try_divide(F.sum("_s").over(_all()).cast("double"), F.sum("_n").over(_all()))
+    mean = F.try_divide(F.col("_s"), F.col("_n"))
+    overall = F.try_divide(exact_over("_s", _all()), F.sum("_n").over(_all()))
     # One row per zone reaches the windows.
     return (
         zones.select("*", mean.alias("_avg"), overall.alias("_gmean"))
@@ -612,17 +614,18 @@ def cumulative_by_meter(df: DataFrame, n: int | None = 1000) -> DataFrame:
     ranked = ordered.rank_desc(
         work, [METER], POWER, "power_rank_in_meter", measure(work, [METER], POWER)
     )
+    fixed, rest = lanes(POWER)
     out = ordered.running(
         ranked,
         [METER],
         order,
-        {"_sum": exact(POWER), "reading_number": F.lit(1)},
+        {"_sum": fixed, "_rest": rest, "reading_number": F.lit(1)},
         measure(work, [METER], TIME),
     ).select(
         METER,
         TIME,
         POWER,
-        F.col("_sum").cast("double").alias("cumulative_power"),
+        joined(F.col("_sum"), F.col("_rest")).alias("cumulative_power"),
         "reading_number",
         F.col("power_rank_in_meter").cast("int").alias("power_rank_in_meter"),
         *[F.col(c).alias("_tie") for c in order if c != TIME],

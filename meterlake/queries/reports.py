@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.functions.exact import exact, exact_avg, exact_sum, percentage, rounded
+from meterlake.functions.exact import exact_avg, exact_over, exact_sum, percentage, rounded
 from meterlake.plans import ordered
 from meterlake.plans.joins import with_group
 from meterlake.plans.splits import measure
@@ -54,10 +54,10 @@ def monthly_trend(fact: DataFrame, meters: DataFrame, zones: DataFrame) -> DataF
     dated = fact.filter(F.col("month").isNotNull() & F.col("year").isNotNull())
     days = dated.groupBy(
         "year", "month", "meter_id", "zone_id", F.to_date("timestamp").alias("_day")
-    ).agg(F.sum(exact(P)).alias("_s"), F.count(P).alias("_n"))
+    ).agg(exact_sum(P).alias("_s"), F.count(P).alias("_n"))
     months = days.groupBy("year", "month", "meter_id", "zone_id").agg(
-        F.sum("_s").cast("double").alias("monthly_consumption_kwh"),
-        F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("avg_power_kw"),
+        exact_sum("_s").alias("monthly_consumption_kwh"),
+        F.try_divide(exact_sum("_s"), F.sum("_n")).alias("avg_power_kw"),
         F.count("_day").alias("days_in_month"),
     )
     out = months.withColumn(
@@ -84,7 +84,7 @@ def peak_by_season(fact: DataFrame, times: DataFrame) -> DataFrame:
         .agg(
             _rows().alias("_rows"),
             F.count(v).alias("_n"),
-            F.sum(exact(v)).alias("_s"),
+            exact_sum(v).alias("_s"),
             F.sum(v * v).alias("_q"),
             F.max(v).alias("_hi"),
             F.min(v).alias("_lo"),
@@ -95,7 +95,7 @@ def peak_by_season(fact: DataFrame, times: DataFrame) -> DataFrame:
     grouped = joined.groupBy("hour_of_day", "season").agg(
         F.sum("_rows").alias("reading_count"),
         F.sum("_n").alias("_n"),
-        F.sum("_s").cast("double").alias("_s"),
+        exact_sum("_s").alias("_s"),
         F.sum("_q").alias("_q"),
         F.max("_hi").alias("peak_load_kw"),
         F.min("_lo").alias("min_load_kw"),
@@ -120,12 +120,12 @@ def peak_by_season(fact: DataFrame, times: DataFrame) -> DataFrame:
 def peak_share_by_meter(fact: DataFrame, meters: DataFrame) -> DataFrame:
     """Peak and off-peak totals with their share of the meter's total."""
     grouped = fact.groupBy("meter_id", "zone_id", "peak_hour_flag").agg(
-        _rows().alias("reading_count"), F.sum(exact(P)).alias("_s"), F.count(P).alias("_n")
+        _rows().alias("reading_count"), exact_sum(P).alias("_s"), F.count(P).alias("_n")
     )
     # A few rows per meter reach this window.
-    whole = F.sum("_s").over(Window.partitionBy("meter_id")).cast("double")
+    whole = exact_over("_s", Window.partitionBy("meter_id"))
     whole = F.when(F.col("meter_id").isNotNull(), whole)
-    total = F.col("_s").cast("double")
+    total = F.col("_s")
     out = grouped.select(
         "meter_id",
         "zone_id",
@@ -158,24 +158,24 @@ def load_profile(fact: DataFrame) -> DataFrame:
 def zone_summary(fact: DataFrame, zones: DataFrame) -> DataFrame:
     per_meter = fact.groupBy("zone_id", "meter_id").agg(
         _rows().alias("_rows"),
-        F.sum(exact(P)).alias("_s"),
+        exact_sum(P).alias("_s"),
         F.count(P).alias("_n"),
         F.max(P).alias("_hi"),
-        F.sum(exact("power_factor")).alias("_pf"),
+        exact_sum("power_factor").alias("_pf"),
         F.count("power_factor").alias("_pfn"),
-        F.sum(exact("frequency_hz")).alias("_f"),
+        exact_sum("frequency_hz").alias("_f"),
         F.count("frequency_hz").alias("_fn"),
     )
     grouped = per_meter.groupBy("zone_id").agg(
         F.count("meter_id").alias("meter_count"),
         F.sum("_rows").alias("total_readings"),
-        F.sum("_s").cast("double").alias("total_consumption_kwh"),
-        F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("avg_power_kw"),
+        exact_sum("_s").alias("total_consumption_kwh"),
+        F.try_divide(exact_sum("_s"), F.sum("_n")).alias("avg_power_kw"),
         F.max("_hi").alias("peak_power_kw"),
-        rounded(F.try_divide(F.sum("_pf").cast("double"), F.sum("_pfn")), 3).alias(
+        rounded(F.try_divide(exact_sum("_pf"), F.sum("_pfn")), 3).alias(
             "avg_power_factor"
         ),
-        rounded(F.try_divide(F.sum("_f").cast("double"), F.sum("_fn")), 2).alias(
+        rounded(F.try_divide(exact_sum("_f"), F.sum("_fn")), 2).alias(
             "avg_frequency_hz"
         ),
     )
@@ -188,7 +188,7 @@ def zone_by_hour(fact: DataFrame, zones: DataFrame) -> DataFrame:
         .groupBy("zone_id", "hour_of_day", "meter_id")
         .agg(
             _rows().alias("_rows"),
-            F.sum(exact(P)).alias("_s"),
+            exact_sum(P).alias("_s"),
             F.count(P).alias("_n"),
             F.max(P).alias("_hi"),
         )
@@ -196,8 +196,8 @@ def zone_by_hour(fact: DataFrame, zones: DataFrame) -> DataFrame:
     grouped = per_meter.groupBy("zone_id", "hour_of_day").agg(
         F.count("meter_id").alias("meter_count"),
         F.sum("_rows").alias("reading_count"),
-        F.sum("_s").cast("double").alias("total_consumption_kwh"),
-        F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("avg_power_kw"),
+        exact_sum("_s").alias("total_consumption_kwh"),
+        F.try_divide(exact_sum("_s"), F.sum("_n")).alias("avg_power_kw"),
         F.max("_hi").alias("peak_power_kw"),
     )
     return _with_zone(grouped, zones).orderBy("zone_id", "hour_of_day")
@@ -210,19 +210,19 @@ def zone_comparison(summary: DataFrame) -> DataFrame:
     total; ``consumption_per_meter`` divides by the number of meters.
     """
     # One row per zone and district reaches the windows.
-    zone = F.sum(exact("total_consumption_kwh")).over(Window.partitionBy("zone_id"))
+    zone = exact_over("total_consumption_kwh", Window.partitionBy("zone_id"))
     rows = F.count(F.lit(1)).over(Window.partitionBy("zone_id"))
     total = F.col("total_consumption_kwh")
     everywhere = Window.partitionBy()
     mean = F.try_divide(
-        F.sum(exact(total)).over(everywhere).cast("double"), F.count("zone_id").over(everywhere)
+        exact_over(total, everywhere), F.count("zone_id").over(everywhere)
     )
     return summary.select(
         "zone_id",
         "zone_name",
         "meter_count",
         "total_consumption_kwh",
-        rounded(F.try_divide(zone.cast("double"), rows), 2).alias("avg_consumption_per_meter"),
+        rounded(F.try_divide(zone, rows), 2).alias("avg_consumption_per_meter"),
         F.when(total > mean, "High").otherwise("Low").alias("consumption_level"),
         F.try_divide(total, F.col("meter_count")).alias("consumption_per_meter"),
     )
@@ -434,16 +434,16 @@ def submeter_shares(fact: DataFrame, meters: DataFrame) -> DataFrame:
 def meter_vs_zone(fact: DataFrame, meters: DataFrame) -> DataFrame:
     """Meter mean against its zone's mean; the zone mean is folded from the meters."""
     grouped = fact.groupBy("meter_id", "zone_id").agg(
-        F.sum(exact(P)).alias("_s"), F.count(P).alias("_n")
+        exact_sum(P).alias("_s"), F.count(P).alias("_n")
     )
     zones = (
         grouped.filter(F.col("zone_id").isNotNull())
         .groupBy("zone_id")
         .agg(
-            F.try_divide(F.sum("_s").cast("double"), F.sum("_n")).alias("zone_avg_power_kw")
+            F.try_divide(exact_sum("_s"), F.sum("_n")).alias("zone_avg_power_kw")
         )
     )
-    mean = F.try_divide(F.col("_s").cast("double"), F.col("_n"))
+    mean = F.try_divide(F.col("_s"), F.col("_n"))
     out = with_group(
         grouped.select("meter_id", "zone_id", mean.alias("meter_avg_power_kw")), zones, ["zone_id"]
     )

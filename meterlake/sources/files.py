@@ -95,11 +95,13 @@ def ingest(
 
 
 def with_file_ordinal(df: DataFrame) -> DataFrame:
-    """``_seq`` as an ordered struct of file, block and place in the block."""
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("row"),
+    """``_seq`` as one string that sorts by file, block and place in the block."""
+    row = F.monotonically_increasing_id() % F.lit(1 << 33)
+    place = F.concat_ws(
+        "\t",
+        F.col("_metadata.file_path"),
+        F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"),
+        F.lpad(row.cast("string"), 10, "0"),
     )
     return df.withColumn("_seq", place)
 
@@ -109,8 +111,17 @@ def analytics_projection(df: DataFrame) -> DataFrame:
 
 
 def sample(df: DataFrame, fraction: float, seed: int = config.SAMPLE_SEED) -> DataFrame:
-    """Seeded sample of about the given share; everything at one or more."""
-    return df if fraction >= 1.0 else df.sample(False, fraction, seed)
+    """About the given share of the rows by a hash of their key and the seed; all at one or more.
+
+    The same rows are picked however the table is partitioned.  The key is ``_seq`` where there
+    is one, else meter and time.
+    """
+    if fraction >= 1.0:
+        return df
+    key = ["_seq"] if "_seq" in df.columns else [c for c in ("Meter_ID", "Timestamp") if c in df.columns]
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    bound = f"{round(fraction * 16**8):08x}"
+    return df.filter(F.substring(F.md5(text), 1, 8) < bound)
 
 
 def measures_of(df: DataFrame) -> list[str]:

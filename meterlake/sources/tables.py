@@ -28,8 +28,14 @@ def save_parquet(
     dated.write.mode(mode).option("compression", compression).partitionBy("reading_date").parquet(path)
 
 
+def flat(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text, for sinks that hold plain values only."""
+    nested = [c for c, t in df.dtypes if t.startswith(("struct", "array", "map"))]
+    return df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
+
+
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    flat(df).write.mode(mode).option("header", True).csv(path)
 
 
 def save_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

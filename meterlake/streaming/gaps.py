@@ -1,4 +1,4 @@
-"""Gap alerts per meter: the state is the time of the last reading."""
+"""Gap alerts per meter in event-time order, however the stream is cut into batches."""
 
 from __future__ import annotations
 
@@ -12,27 +12,35 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from meterlake import config
 from meterlake.operators.clean import METER, TIME
+from meterlake.streaming.windows import event_time
 
 _OUT = "Meter_ID string, expected_us long, actual_us long, time_gap_minutes long, gap_type string"
+_STATE = "last_us long, open_us binary"
 _MINUTE = 60_000_000
 
 
 def _alerts(minutes: int):
     def on_batch(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # Only the times of one meter in one micro-batch are held.
-        times = np.sort(np.concatenate([p["us"].to_numpy("int64") for p in parts]))
-        if state.exists:
-            (last,) = state.get
-            times = np.concatenate([[last], times[times > last]])
-        if len(times):
-            state.update((int(times[-1]),))
-        steps = times[1:] // _MINUTE - times[:-1] // _MINUTE
+        last, held = state.get if state.exists else (None, b"")
+        times = [np.frombuffer(held, "int64"), *(p["us"].to_numpy("int64") for p in parts)]
+        times = np.unique(np.concatenate(times))  # copies of a time are one reading
+        if last is not None:
+            times = times[times > last]
+        # Until the watermark has passed a time, an earlier one may still come.
+        settled = times <= state.getCurrentWatermarkMs() * 1000
+        done, still = times[settled], times[~settled]
+        chain = done if last is None else np.concatenate([[last], done])
+        steps = chain[1:] // _MINUTE - chain[:-1] // _MINUTE
         odd = steps != minutes
+        newest = int(chain[-1]) if len(chain) else None
+        state.update((newest, still.tobytes()))
+        if len(still):
+            state.setTimeoutTimestamp(int(still[0] // 1000) + 1)
         yield pd.DataFrame(
             {
                 "Meter_ID": key[0],
-                "expected_us": times[:-1][odd],
-                "actual_us": times[1:][odd],
+                "expected_us": chain[:-1][odd],
+                "actual_us": chain[1:][odd],
                 "time_gap_minutes": steps[odd],
                 "gap_type": np.where(steps[odd] > minutes, "Missing readings", "Duplicate period"),
             }
@@ -41,17 +49,19 @@ def _alerts(minutes: int):
     return on_batch
 
 
-def gap_alerts(df: DataFrame, minutes: int = config.EXPECTED_GAP_MINUTES) -> DataFrame:
-    """Steps between consecutive readings of a meter that differ from the expected minutes.
+def gap_alerts(
+    df: DataFrame, minutes: int = config.EXPECTED_GAP_MINUTES, delay: str = "1 hour"
+) -> DataFrame:
+    """Steps from a meter's reading to its next later one that differ from the expected minutes.
 
-    Readings older than the meter's last one no longer form a step.  The size of a
-    micro-batch, set at the source, bounds what one meter brings into a task.
+    A step is told once the watermark has passed its end, so the alerts are those of the batch
+    query for any cut into batches in which no reading is later than ``delay``.  The state is
+    the last settled time of each meter and the times within the delay.
     """
-    timed = df.filter(F.col(METER).isNotNull() & F.col(TIME).isNotNull()).select(
-        METER, F.unix_micros(F.col(TIME).cast("timestamp")).alias("us")
-    )
+    timed = event_time(df.filter(F.col(METER).isNotNull() & F.col(TIME).isNotNull()), delay)
+    timed = timed.select(METER, TIME, F.unix_micros(TIME).alias("us"))
     alerts = timed.groupBy(METER).applyInPandasWithState(
-        _alerts(minutes), _OUT, "last_us long", "append", GroupStateTimeout.NoTimeout
+        _alerts(minutes), _OUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return alerts.select(
         METER,

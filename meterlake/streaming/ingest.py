@@ -44,7 +44,9 @@ def parse(df: DataFrame, value: str = VALUE) -> DataFrame:
         if name in MEASURES:
             c = F.when(~F.isnan(c), c)
         fields[name] = c
-    fields["Timestamp"] = parse_timestamp(fields["Timestamp"])
+    sent = fields["Timestamp"]
+    fields["Timestamp"] = parse_timestamp(sent)
+    bad = bad | (sent.isNotNull() & fields["Timestamp"].isNull())
     return out.select(
         text.alias(VALUE), bad.alias(BAD), *[c.alias(n) for n, c in fields.items()]
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake import config
 from meterlake.functions import calendar, electrical
-from meterlake.functions.exact import clip, out_of_range, rounded, safe_divide
+from meterlake.functions.exact import clip, exact_avg, exact_sum, out_of_range, rounded, safe_divide
 from meterlake.operators import analytics, clean, features, quality, star
 from meterlake.plans import splits
 from meterlake.queries import consumption, reports
@@ -271,7 +271,9 @@ def test_meter_status_keeps_meters_without_zones(spark):
     zones = star.dim_zone(df).filter("false")
     fact = star.fact_table(df.withColumn("is_anomaly", F.lit(0)))
     row = star.current_meter_status(fact, star.dim_meter(df), zones).first()
-    assert row.meter_id == "a" and row.zone_id is None and row.total_readings == 1
+    assert (row.meter_id, row.zone_id, row.zone_name, row.total_readings) == ("a", "z", None, 1)
+    none = star.current_meter_status(fact.filter("false"), star.dim_meter(df), zones).first()
+    assert none.zone_id is None and none.total_readings == 0
 
 
 def test_insert_absent(spark):
@@ -296,3 +298,32 @@ def test_no_unpartitioned_window_over_readings(spark, sf_dir):
     for name in ("F6_rolling_rows", "B18_context_spikes_all", "Q4_3_reading_gaps", "W1_row_number"):
         plan = registry.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "SinglePartition" not in plan, name
+
+
+# --- values of any size ----------------------------------------------------------
+
+
+def test_sums_take_any_value(spark):
+    big = frame(spark, (0, "a", "z", {"Active_Power_kW": 1e12}), (1, "a", "z", {"Active_Power_kW": 2.5}))
+    row = consumption.daily_consumption(big).first()
+    assert row.daily_total_power == 1e12 + 2.5
+    tiny = frame(spark, *[(i, "a", "z", {"Active_Power_kW": 4e-8}) for i in range(1000)])
+    assert tiny.agg(exact_sum("Active_Power_kW")).first()[0] == pytest.approx(4e-5, rel=1e-9)
+    endless = frame(spark, (0, "a", "z", {"Active_Power_kW": float("inf")}), (1, "a", "z", {"Active_Power_kW": 1.0}))
+    row = endless.agg(exact_sum("Active_Power_kW").alias("s"), exact_avg("Active_Power_kW").alias("m")).first()
+    assert row.s == row.m == float("inf")
+    none = frame(spark, (0, "a", "z", {"Active_Power_kW": None}))
+    assert none.agg(exact_sum("Active_Power_kW")).first()[0] is None
+
+
+def test_rounding_keeps_what_a_long_cannot_hold(spark):
+    df = spark.createDataFrame([(1e17,), (float("-inf"),), (2.345,)], "x double")
+    assert [r[0] for r in df.select(rounded("x", 2)).collect()] == [1e17, float("-inf"), 2.35]
+
+
+def test_next_reading_is_strictly_later(spark):
+    from meterlake.queries import audit
+
+    df = frame(spark, (0, "a", "z", {}), (0, "a", "z", {}), (15, "a", "z", {}), (45, "a", "z", {}))
+    rows = audit.reading_gaps(star.fact_table(df), star.dim_meter(df)).collect()
+    assert [(r.time_gap_minutes, r.gap_type) for r in rows] == [(30, "Missing readings")]

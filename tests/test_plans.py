@@ -106,3 +106,10 @@ def test_plain_plan_has_one_exchange(skewed):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert Window.unboundedPreceding is not None
+
+
+@pytest.mark.parametrize("policy", [TINY, SplitPolicy()])
+def test_groups_without_values_give_nulls(spark, policy):
+    df = spark.createDataFrame([("a", 1.5), ("b", None), (None, None), (None, 2.0)], "k string, v double")
+    got = quantiles.group_quantiles(df, ["k"], "v", [0.5], policy=policy).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == ["('a', 1.5)", "('b', None)", "(None, 2.0)"]

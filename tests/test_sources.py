@@ -115,3 +115,17 @@ def test_batch_run(spark, csv, tmp_path):
     assert metrics["cleaning"].rows_input > metrics["cleaning"].rows_output > 0
     assert spark.read.parquet(f"{out}/query_metrics").count() == 15
     assert spark.read.parquet(f"{out}/analytics").count() == metrics["cleaning"].rows_output
+
+
+def test_ingested_readings_as_csv(spark, csv, tmp_path):
+    df, _ = files.ingest(spark, csv)
+    tables.save_csv(df, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == df.count()
+    assert dict(df.dtypes)["_seq"] == "string" and df.select("_seq").distinct().count() == df.count()
+
+
+def test_sample_does_not_depend_on_partitions(spark, sf_dir):
+    df = fixtures.readings(spark, sf_dir)
+    once = {r[0] for r in files.sample(df, 0.2).select("_seq").collect()}
+    assert once == {r[0] for r in files.sample(df.repartition(7), 0.2).select("_seq").collect()}
+    assert 0.1 < len(once) / df.count() < 0.3

@@ -173,3 +173,28 @@ def test_gap_alerts_equal_batch(spark, sf_dir, readings, payload, tmp_path):
 
 def test_message_schema_names():
     assert MESSAGE.fieldNames()[-1] == "ingestion_timestamp"
+
+
+@pytest.mark.parametrize("cut", [1, 2, 6])
+def test_gaps_do_not_depend_on_batches(spark, tmp_path, cut):
+    """Late readings and copies on borders, in one, two and many batches."""
+    minutes = [0, 15, 15, 30, 20, 45, 45, 75, 60, 61, 90, 120, 90]
+    rows = [f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00" for m in minutes]
+    source = tmp_path / "in"
+    source.mkdir()
+    size = -(-len(rows) // cut)
+    for i in range(0, len(rows), size):
+        (source / f"part-{i // size}.csv").write_text("".join(f"a,{t}\n" for t in rows[i : i + size]))
+    (source / "part-9.csv").write_text("end,2031-01-01 00:00:00\n")
+    in_order(source)
+    stream = spark.readStream.schema("Meter_ID string, Timestamp timestamp_ntz").option("maxFilesPerTrigger", 1).csv(str(source))
+    got = run(spark, gaps.gap_alerts(stream, delay="1 hour"), tmp_path, f"cut{cut}")
+    steps = sorted(set(minutes))
+    want = sorted(b - a for a, b in zip(steps, steps[1:]) if b - a != 15)
+    assert sorted(r.time_gap_minutes for r in got.filter("Meter_ID = 'a'").collect()) == want
+
+
+def test_bad_times_are_malformed(spark):
+    sent = ['{"Meter_ID": "a", "Timestamp": "not a time"}', '{"Meter_ID": "a", "Timestamp": "2024-01-01 00:00:00"}', '{"Meter_ID": "a"}']
+    out = ingest.parse(spark.createDataFrame([(s,) for s in sent], "value string"))
+    assert [r[ingest.BAD] for r in out.collect()] == [True, False, False]
