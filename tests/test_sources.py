@@ -113,7 +113,11 @@ def test_batch_run(spark, csv, tmp_path):
     metrics = {r.stage: r for r in batch_run.run(spark, csv, out, "clip_always", strict=False).collect()}
     assert metrics["analysis"].status == "success", metrics["analysis"].notes
     assert metrics["cleaning"].rows_input > metrics["cleaning"].rows_output > 0
-    assert spark.read.parquet(f"{out}/query_metrics").count() == 15
+    queries = spark.read.parquet(f"{out}/query_metrics")
+    assert queries.count() == 72 and queries.filter("status = 'ERROR'").count() == 0
+    for name in ("reports/ingestion", "reports/cleaning", "reports/features", "star/fact_energy_reading", "star/dq_quality_log"):
+        assert spark.read.parquet(f"{out}/{name}").count() > 0, name
+    assert spark.read.option("header", True).csv(f"{out}/csv/cleaned").count() == metrics["cleaning"].rows_output
     assert spark.read.parquet(f"{out}/analytics").count() == metrics["cleaning"].rows_output
 
 
