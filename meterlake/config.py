@@ -71,10 +71,10 @@ LOAD_BANDS: tuple[tuple[str, float, float | None], ...] = (
 
 # Load profile dimension: category, lower and upper kW, description.
 LOAD_PROFILES: tuple[tuple[str, float, float, str], ...] = (
-    ("Low", 0.0, 1.0, "Low consumption - minimal appliances running"),
-    ("Medium", 1.0, 3.0, "Medium consumption - normal household operations"),
-    ("High", 3.0, 10.0, "High consumption - heavy appliances in use"),
-    ("VeryHigh", 10.0, 25.0, "Very high consumption - peak demand period"),
+    ("Low", 0.0, 1.0, "standby and a few small loads"),
+    ("Medium", 1.0, 3.0, "everyday use of a household"),
+    ("High", 3.0, 10.0, "large loads such as heating or cooking"),
+    ("VeryHigh", 10.0, 25.0, "several large loads at once"),
 )
 
 QUARTILE_BUCKETS = ("Q1_Low", "Q2_Medium", "Q3_High", "Q4_VeryHigh")
@@ -128,7 +128,8 @@ class SplitPolicy:
 
     min_rows: int = 4_000_000
     max_groups: int = 32_768
-    max_slices: int = 4_096
+    # No more than ``max_groups`` slices can be needed, so this bounds nothing by itself.
+    max_slices: int = 32_768
     # Up to this many rows per group, a value map in one buffer is fine.
     map_rows: int = 1_000_000
 

@@ -104,8 +104,13 @@ def insert_absent(existing: DataFrame, new: DataFrame, keys) -> DataFrame:
     return existing.unionByName(fresh.select(existing.columns))
 
 
+MOST_PROFILES = 1_000
+
+
 def band_lookup(df: DataFrame, profiles: DataFrame, value: str = "active_power_kw") -> DataFrame:
-    """Load profile whose [min, max) holds the value.  Profiles are a fixed handful."""
+    """Load profile whose [min, max) holds the value.  Profiles are a handful, which is checked."""
+    if profiles.limit(MOST_PROFILES + 1).count() > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} load profiles")
     p = F.broadcast(
         profiles.select(
             "load_profile_id", F.col("min_power_kw").alias("_lo"), F.col("max_power_kw").alias("_hi")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming import DataStreamWriter
 
 from meterlake.functions.calendar import parse_timestamp
@@ -156,8 +157,41 @@ def split_sink(
     return _triggered(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+class ProgressCounts(StreamingQueryListener):
+    """Rows in and out of every query of a session, added up report by report.
+
+    A query keeps only its latest reports, so they are counted as they come.  Register with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self):
+        self._totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event):  # noqa: N802 - names of the interface
+        self._totals.setdefault(str(event.id), {"batches": 0, "rows_in": 0, "rows_out": 0})
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        counts = self._totals.setdefault(str(p.id), {"batches": 0, "rows_in": 0, "rows_out": 0})
+        counts["batches"] += 1
+        counts["rows_in"] += int(p.numInputRows)
+        counts["rows_out"] += max(int(p.sink.numOutputRows), 0)
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
+
+    def of(self, query) -> dict[str, int]:
+        return dict(self._totals.get(str(query.id), {"batches": 0, "rows_in": 0, "rows_out": 0}))
+
+
 def progress_counts(query) -> dict[str, int]:
-    """Rows in and rows kept by the query's sink so far, from its progress reports."""
+    """Rows in and rows kept by the query's sink in the reports the query still holds.
+
+    Those are the latest ones; for totals of a long stream register ``ProgressCounts``.
+    """
     reports = [p for p in query.recentProgress if p]
     return {
         "batches": len(reports),

@@ -3,6 +3,7 @@
 import json
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,8 +89,16 @@ def test_round_trip_batch(readings):
 def test_split_sink_keeps_dead_letters(spark, payload, readings, tmp_path):
     good, dead = str(tmp_path / "good"), str(tmp_path / "dead")
     lines = ingest.file_source(spark, payload[0], max_files=2)
+    totals = ingest.ProgressCounts()
+    spark.streams.addListener(totals)
     q = ingest.split_sink(lines, good, dead, str(tmp_path / "cp"))
     drain(q)
+    for _ in range(100):
+        if totals.of(q)["rows_in"] >= readings.count() + 1 + payload[1]:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(totals)
+    assert totals.of(q)["rows_in"] == readings.count() + 1 + payload[1]
     assert spark.read.parquet(dead).count() == payload[1]
     assert spark.read.parquet(good).count() == readings.count() + 1
     counts = ingest.progress_counts(q)
