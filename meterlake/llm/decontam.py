@@ -12,7 +12,8 @@ distance have to be found with the target recall.  Windows that meet an item are
 by the best fit of the item into the passage around them.
 
 Before walking, windows are screened by a condition every match satisfies: at most n // 5 of its
-words are foreign to all items.  That loses nothing, and leaves few windows in ordinary text.
+words, and twice as many of its word pairs, are foreign to all items (an edit makes at most one
+new word and two new pairs).  That loses nothing, and leaves few windows in ordinary text.
 
 The items are a query set of stated size: they are read in blocks (by bytes and by number, in
 order of item_id), and each block is matched against all documents in one pass without a shuffle.
@@ -131,6 +132,15 @@ def _calibrate(items: list[np.ndarray], least: int, recall: float) -> list[tuple
     return samples
 
 
+def _slot(hashed: np.ndarray) -> np.ndarray:
+    return (hashed >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+
+
+def _pair(words: np.ndarray) -> np.ndarray:
+    """Hash of each word with the next one."""
+    return mix(words[:-1] * np.uint64(0xD1342543DE82EF95) + words[1:])
+
+
 class Index:
     """Samples and digests of a block of items, by length class."""
 
@@ -140,8 +150,12 @@ class Index:
         self.ids = ids
         self.items = [hashed[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         self.table = np.zeros(1 << _TABLE_BITS, bool)
-        self.table[(hashed >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
+        self.table[_slot(hashed)] = True
         lengths = sorted({len(x) for x in self.items} - {0})
+        # Pairs of neighbouring words of one item.
+        self.pairs = np.zeros(1 << _TABLE_BITS, bool)
+        for x in self.items:
+            self.pairs[_slot(_pair(x))] = True
         self.classes = []
         while lengths:
             least = lengths[0]
@@ -166,14 +180,16 @@ class Index:
     def candidates(self, hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
         """(start word, item) pairs whose walks agree in a sample, passing the item's own words."""
         n = len(hashed)
-        foreign = np.concatenate(([0], np.cumsum(~self.table[(hashed >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)], dtype=np.int32)))
-        counts = np.diff(first)
+        foreign = np.concatenate(([0], np.cumsum(~self.table[_slot(hashed)], dtype=np.int32)))
+        new_pairs = np.concatenate(([0], np.cumsum(~self.pairs[_slot(_pair(hashed))], dtype=np.int32))) if n else foreign
         found = []
         for c in self.classes:
             span = max(1, c.least - edit_limit(c.least))
             if n < span:
                 continue
-            ok = foreign[span:] - foreign[:-span] <= edit_limit(c.most)
+            limit = edit_limit(c.most)
+            ok = foreign[span:] - foreign[:-span] <= limit
+            ok &= new_pairs[span - 1 :] - new_pairs[: n - span + 1] <= 2 * limit
             start = np.flatnonzero(ok)
             if not len(start):
                 continue
