@@ -38,14 +38,13 @@ from meterlake.llm.wordhash import Words, mix, slices, windows
 
 SHINGLE = 4
 PERCENT = 85
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Rows of a table that may be sent to every executor (16 bytes each).
 BROADCAST_ROWS = 1_000_000
 #: Shingles verified together in one task; larger clusters are cut into blocks.
-CLUSTER_SHINGLES = 4_000_000
-#: Cost model: price of one chance meeting in digests sent, and how fast meetings fall with the
-#: shingles of a subset.
-_MEETING, _FALL = 50.0, 1.0
+CLUSTER_SHINGLES = 2_000_000
+#: Cost model: price of a light subset, which meets others by chance, in digests sent.
+_MEETING = 4.0
 
 
 def difference_limit(a: int, b: int, percent: int = PERCENT) -> int:
@@ -67,7 +66,8 @@ def plan_for(band: int, percent: int = PERCENT) -> tuple[int, int, int]:
     """(exact segments, one-deletion segments, exact segments a set leaves out) of a band's scheme.
 
     With d one-deletion segments, each of which must differ twice to be missed, and e left out,
-    H - 2 d + 1 + e exact segments are enough.
+    H - 2 d + 1 + e exact segments are enough.  Either all segments are exact, or all are
+    one-deletion and half as many, with subsets twice as large: the cheaper of the two.
     """
     starts = [1]
     while len(starts) <= band + 1:
@@ -75,17 +75,16 @@ def plan_for(band: int, percent: int = PERCENT) -> tuple[int, int, int]:
     low, high = starts[band], starts[band + 1] - 1
     limit = difference_limit(high, high * 100 // percent, percent)
     best = None
-    for deletions in sorted({0, 1, 2, (limit + 1) // 8, (limit + 1) // 4, (limit + 1) // 2}):
-        needed = limit - 2 * deletions + 1
-        if needed < 0 or (needed == 0 and deletions == 0):
-            continue
-        spare = math.ceil(0.045 * needed) if needed > 1 else 0
-        exact = max(0, needed) + spare
-        if needed <= 0:
-            exact = spare = 0
-        load = low / max(1, exact + deletions)
-        cost = exact - spare + deletions * (1 + load)
-        cost += _MEETING * ((exact - spare) * math.exp(-_FALL * load) + deletions * math.exp(-_FALL * max(0.0, load - 1)))
+    for deletions in (0, (limit + 2) // 2):
+        needed = max(0, limit - 2 * deletions + 1)
+        spare, exact = 0, needed
+        for _ in range(3 if needed > 1 else 0):  # room for the empty segments of nearly every set of the band
+            empty = exact * math.exp(-low / exact)
+            spare = math.ceil(empty + 3 * math.sqrt(empty))
+            exact = needed + spare
+        load = low / (exact + deletions)
+        light = math.exp(-load) * (1 + load)  # a subset of one shingle or none
+        cost = exact - spare + deletions * (1 + load) + _MEETING * (needed + deletions) * light
         if best is None or cost < best[0]:
             best = (cost, exact, deletions, spare)
     return best[1:]
@@ -230,6 +229,25 @@ def _send(buckets: int, size: int, percent: int):
     return run
 
 
+def _forest(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (least node of its component, node) that connect what ``edges`` connect."""
+    nodes, ends = np.unique(edges, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[a], root[b])
+        nxt = root.copy()
+        for end in (a, b):
+            np.minimum.at(nxt, root[end], low)
+        while (nxt[nxt] != nxt).any():
+            nxt = nxt[nxt]
+        if (nxt == root).all():
+            break
+        root = nxt[root]
+    far = root != np.arange(len(nodes))
+    return nodes[root[far]], nodes[far]
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list[bytes]] = {}
     edges = []
@@ -253,52 +271,54 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, x, y = _stars(np.concatenate(sigs), np.concatenate(ids))
         edges.append(np.stack([x, y], axis=1))
     if edges:
-        all_edges = np.unique(np.concatenate(edges), axis=0)
-        if len(all_edges):
-            yield _rows(1, doc_id=all_edges[:, 0], other=all_edges[:, 1])
+        a, b = _forest(np.concatenate(edges))
+        if len(a):
+            yield _rows(1, doc_id=a, other=b)
 
 
 def _linked(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Edges that join every set to the first one of its component.  A set is compared once with
-    all sets not reached yet, by counting its items among theirs."""
+    """Edges that join every set to the first one of its component.
+
+    A similar set shares at least percent of a set's items, so it holds one of the set's rarest
+    items, of which one more than the rest is looked up.  Sets found there are compared in full;
+    each set is looked up once, among those not reached yet.
+    """
     sizes = np.array([len(s) for s in sets])
-    order = np.argsort(sizes, kind="stable")
-    sizes, ids = sizes[order], ids[order]
-    items = np.concatenate([sets[i] for i in order])
-    _, items = np.unique(items, return_inverse=True)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, items, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     first = np.concatenate(([0], np.cumsum(sizes)))
     mine = [items[a:b] for a, b in zip(first[:-1], first[1:])]
-    mark = np.zeros(items.max() + 1, bool)
+    holders = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(items, kind="stable")]
+    at = np.concatenate(([0], np.cumsum(counts)))
+    mark = np.zeros(len(counts), bool)
     open_ = np.ones(len(sizes), bool)
-    live_items, live_owner = items, owner
-    stale = 0
+    left = len(sizes)
     edges = []
     for root in range(len(sizes)):
         if not open_[root]:
             continue
         open_[root] = False
+        left -= 1
         queue = [root]
-        while queue:
+        while queue and left:
             x = queue.pop()
             n = int(sizes[x])
-            lo, hi = -(-n * percent // 100), n * 100 // percent
-            a = np.searchsorted(sizes, lo)
-            b = np.searchsorted(sizes, hi, side="right")
-            if not open_[a:b].any():
+            rare = mine[x][np.argsort(counts[mine[x]], kind="stable")[: n + (-n * percent) // 100 + 1]]
+            rare = rare[counts[rare] > 1]
+            if not len(rare):
+                continue
+            met = np.unique(np.concatenate([holders[at[i] : at[i + 1]] for i in rare]))
+            met = met[open_[met]]
+            met = met[(100 * sizes[met] >= percent * n) & (percent * sizes[met] <= 100 * n)]
+            if not len(met):
                 continue
-            i, j = np.searchsorted(live_owner, (a, b))
             mark[mine[x]] = True
-            hits = np.bincount(live_owner[i:j][mark[live_items[i:j]]], minlength=len(sizes))
+            hits = np.array([np.count_nonzero(mark[mine[y]]) for y in met])
             mark[mine[x]] = False
-            found = np.flatnonzero(open_ & (100 * hits >= percent * (n + sizes - hits)) & (hits > 0))
+            found = met[100 * hits >= percent * (n + sizes[met] - hits)]
             open_[found] = False
+            left -= len(found)
             edges.extend((int(ids[root]), int(ids[y])) for y in found)
             queue.extend(found.tolist())
-            stale += int(sizes[found].sum()) + n
-            if stale * 2 > len(live_items):  # forget the items of sets that are done
-                still = open_[live_owner]
-                live_items, live_owner, stale = live_items[still], live_owner[still], 0
     return edges
 
 
@@ -363,6 +383,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     classes = scratch.write(rows.join(heads, "digest", "left").select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head")), "setjoin-classes")
     one = classes.groupBy("doc_id").agg(F.min("head").alias("head"))
     near = met.where("kind = 1").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
+    near = near.distinct()  # a pair meets in many buckets
     near = near.join(one.toDF("a", "ha"), "a").join(one.toDF("b", "hb"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
     clusters = graph.components(near).toDF("doc_id", "cluster")
 

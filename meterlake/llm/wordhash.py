@@ -16,7 +16,7 @@ import pyarrow.compute
 
 #: Odd bases of the two independent lanes, and the bytes hashed at a time.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
