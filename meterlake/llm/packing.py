@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-#: Bytes of text per bucket (3 to 5 million words), and bits left over a birthday match.
-BUCKET_BYTES = 24 << 20
+#: Bytes of text per bucket (2 to 3 million words), and bits left over a birthday match.
+BUCKET_BYTES = 16 << 20
 SPARE_BITS = 14
 
 

@@ -32,7 +32,7 @@ from meterlake.llm.wordhash import Words, slices, windows
 
 SIZE = 50
 #: Text hashed at a time.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 _EXCHANGE = "bucket int, doc_id long, text_key long, body binary"
 
 
@@ -127,47 +127,63 @@ def _repeats_of(blobs: list[bytes], width: int) -> np.ndarray:
     return np.stack([ids[hit], keys[order][hit].astype(np.int64), starts[order][hit].astype(np.int64)], axis=1)
 
 
-def _compare(width: int):
-    names = ["doc_id", "text_key", "starts"]
+def _compare(width: int, groups: int):
+    """Repeats of the buckets of a partition, packed by the group of their document: a row per
+    group, however many documents it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
+        found = []
         for batch in batches:
             own = pc.is_valid(batch.column("doc_id"))
             done = batch.filter(own)
-            if len(done):
-                yield pa.RecordBatch.from_arrays([done.column(c) for c in ("doc_id", "text_key", "body")], names)
+            for i, k, body in zip(*[done.column(c).to_pylist() for c in ("doc_id", "text_key", "body")]):
+                starts = np.frombuffer(body, np.int32)
+                found.append(np.stack([np.full(len(starts), i), np.full(len(starts), k), starts], axis=1))
             rest = batch.filter(pc.invert(own))
             for b, body in zip(rest.column("bucket").to_pylist(), rest.column("body").to_pylist()):
                 held.setdefault(b, []).append(body)
-        found = []
         for b in sorted(held):
             found.append(_repeats_of(held.pop(b), width))
         hits = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
-        if len(hits):
-            hits = hits[np.lexsort((hits[:, 1], hits[:, 0]))]
-            cut = np.flatnonzero((hits[1:, :2] != hits[:-1, :2]).any(axis=1)) + 1
-            cuts = np.concatenate(([0], cut, [len(hits)]))
-            for i in range(0, len(cuts) - 1, 50_000):
-                c = cuts[i : i + 50_001]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hits[c[:-1], 0]), pa.array(hits[c[:-1], 1]), packing.binary_rows(hits[c[0] : c[-1], 2].astype(np.int32), c - c[0])
-                ], names)
+        rows = []
+        for g, at in packing.by_bucket((hits[:, 0] % groups).astype(np.uint32)):
+            mine = hits[at]
+            rows.append((g, packing.pack([mine[:, 0], mine[:, 1].astype(np.uint32), mine[:, 2].astype(np.int32)])))
+        g, body = zip(*rows) if rows else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(body, pa.binary())], ["group", "body"])
 
     return run
 
 
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with all its repeats; a document's group is in one partition."""
+    held: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for g, body in zip(batch.column("group").to_pylist(), batch.column("body").to_pylist()):
+            held.setdefault(g, []).append(body)
+    for g in sorted(held):
+        parts = [packing.unpack(body) for body in held.pop(g)]
+        ids, keys, starts = [np.concatenate([packing.inflate(p[i], kind) for p in parts]) for i, kind in enumerate((np.int64, np.uint32, np.int32))]
+        order = np.lexsort((starts, keys, ids))
+        ids, keys, starts = ids[order], keys[order], starts[order]
+        cut = np.flatnonzero((ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])) + 1
+        cuts = np.concatenate(([0], cut, [len(ids)]))
+        head = cuts[:-1]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[head]), pa.array(keys[head].astype(np.int64)), packing.binary_rows(starts, cuts)], ["doc_id", "text_key", "starts"])
+
+
 def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """``doc_id``, ``text_key`` (low half of the text's hash) and ``starts``: lists of packed 32-bit
-    start words of the repeated windows of that text."""
+    """``doc_id``, ``text_key`` (low half of the text's hash) and ``starts``: packed 32-bit start words
+    of the repeated windows of that text."""
     spark = docs.sparkSession
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = packing.bucket_count(spark, total)
     width = packing.digest_width(total // 5, buckets)
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     sent = texts.mapInArrow(_hash_windows(size, buckets, width), _EXCHANGE).repartition(buckets, "bucket")
-    hits = sent.mapInArrow(_compare(width), "doc_id long, text_key long, starts binary")
-    return hits.groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("starts"))  # bounded by the text's words
+    hits = sent.mapInArrow(_compare(width, buckets), "group int, body binary").repartition(buckets, "group")
+    return hits.mapInArrow(_gather, "doc_id long, text_key long, starts binary")
 
 
 def _cut(size: int):
@@ -182,7 +198,7 @@ def _cut(size: int):
                         n_removed.append(0)
                         spans.append([])
                     else:
-                        at = np.frombuffer(b"".join(starts.as_py()), np.int32)
+                        at = np.frombuffer(starts.as_py(), np.int32)
                         cover = np.zeros(len(words) + 1, np.int64)
                         np.add.at(cover, at, 1)
                         np.add.at(cover, at + size, -1)
