@@ -1,15 +1,17 @@
 """Approximate nearest neighbours by shifted space-filling curves, with exact rerank.
 
-Equal vectors are searched once, as a class.  Vectors are lifted so that the largest inner product
-becomes the smallest angle (one more coordinate levels their norms), projected at random to a few
-dimensions, shifted at random and put in the order of a Hilbert curve; this is done for several
-curves.  Spark range-partitions each curve by key; runs of the order form blocks, a query sees its
-own block and the two beside it, and the best of every block merge, each scored exactly on the
-original vectors in double precision.
-
-The block is a share of all vectors, since what a curve keeps together is a share of the space; a
+Equal vectors are searched once, as a class.  Vectors are dealt to bands of about equal norm
+(factor ``BAND``, below the largest norm), and each band has curves of its own, so that long vectors
+do not press the others together; a query asks every band.  In a band vectors are lifted so that the
+largest inner product becomes the smallest angle (one more coordinate levels their norms), projected
+at random to a few dimensions, shifted at random and put in the order of a Hilbert curve; this is done
+for several curves.  Spark range-partitions each curve by key; runs of the order form blocks, a query
+sees its own block and the two beside it, and the best of every block merge, each scored exactly on the
+original vectors in double precision.  Bands too small for three blocks are searched whole, together.
+
+The block is a share of the band, since what a curve keeps together is a share of the space; a
 block with more than ``TASK_ROWS`` vectors is cut by hash and its queries go to every cut.  The
-projections are scaled on a bounded sample (``SAMPLE`` vectors of least hash); every vector is indexed.
+projections are scaled by the mean and spread of all vectors of the band.
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part;
 shorter vectors count as padded with zeros; rows that repeat vec_id and vector count once, and one
@@ -20,6 +22,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +36,15 @@ from meterlake.llm.sharding import _curve_steps
 
 CURVES = 26
 DIMS, BITS = 6, 6
+#: Bits of each dimension in one word of a key.
+WORD_BITS = 6
 BLOCK_SHARE, BLOCK_LEAST = 0.012, 200
 TASK_ROWS = 50_000
-SAMPLE = 5_000
+#: Largest quotient of two norms in a band.
+BAND = 1.25
 NEAREST = 20
 _CLOSE = 1e-9
+_WORDS = [f"key{i}" for i in range(BITS // WORD_BITS)]
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -48,40 +55,47 @@ def usable(vector: str = "embedding") -> Column:
 
 
 class Curves:
-    """Random projections and shifts, the same for a seed everywhere."""
+    """Random projections and shifts, the same for a seed everywhere; each band has its own top norm and scale."""
 
-    def __init__(self, width: int, top_norm: float, sample: np.ndarray, curves: int = CURVES, seed: int = 11):
+    def __init__(self, width: int, tops: np.ndarray, curves: int = CURVES, seed: int = 11):
         rng = np.random.default_rng(seed)
-        self.width, self.top = width, top_norm
-        dims = min(DIMS, width + 1)
-        self.steps = np.array(_curve_steps(dims), np.int64)
-        self.turns = []
-        lifted = self.lift(sample, False)
-        for _ in range(curves):
-            axes = np.linalg.qr(rng.normal(size=(width + 1, dims)))[0]
-            seen = lifted @ axes
-            self.turns.append((axes, seen.mean(0), seen.std(0) + 1e-12, rng.random(dims)))
-
-    def lift(self, x: np.ndarray, as_query: bool) -> np.ndarray:
+        self.width, self.tops, self.count = width, tops, curves
+        self.dims = min(DIMS, width + 1)
+        self.steps = np.array(_curve_steps(self.dims), np.int64)
+        turns = [(np.linalg.qr(rng.normal(size=(width + 1, self.dims)))[0], rng.random(self.dims)) for _ in range(curves)]
+        self.axes, self.shift = np.stack([t[0] for t in turns]), np.stack([t[1] for t in turns])
+        self.mean = self.spread = np.zeros((len(tops), curves, self.dims))
+
+    def lift(self, x: np.ndarray, band: np.ndarray | None) -> np.ndarray:
+        """Vectors as members of their bands, or as queries."""
         norm = np.linalg.norm(x, axis=1, keepdims=True)
-        if as_query:
+        if band is None:
             return np.hstack([x / norm, np.zeros_like(norm)])
-        y = x / self.top
-        return np.hstack([y, np.sqrt(np.maximum(0, 1 - (norm / self.top) ** 2))])
-
-    def keys(self, lifted: np.ndarray, curve: int) -> np.ndarray:
-        axes, mean, spread, shift = self.turns[curve]
-        z = (lifted @ axes - mean) / spread
+        top = self.tops[band][:, None]
+        return np.hstack([x / top, np.sqrt(np.maximum(0, 1 - (norm / top) ** 2))])
+
+    def scale(self, counts: np.ndarray, sums: np.ndarray, squares: np.ndarray) -> None:
+        """Take mean and spread from sums over each band; rounded, as sums depend on their order."""
+        n = counts[:, None, None]
+        self.mean = (sums / n).astype(np.float32).astype(float)
+        self.spread = np.sqrt(np.maximum(0, squares / n - (sums / n) ** 2)).astype(np.float32).astype(float) + 1e-9
+
+    def keys(self, seen: np.ndarray, band: np.ndarray | int, curve: int) -> list[np.ndarray]:
+        """Place on the curve of projected vectors, the leading word first."""
+        z = (seen - self.mean[band, curve]) / self.spread[band, curve]
         level = 0.5 * (1 + np.tanh(0.8 * z))  # close to the normal distribution function
-        cell = np.minimum((level + shift) / 2 * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
-        size = 1 << cell.shape[1]
-        state, key = np.zeros(len(cell), np.int64), np.zeros(len(cell), np.int64)
+        cell = np.minimum((level + self.shift[curve]) / 2 * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
+        size = 1 << self.dims
+        state, key, words = np.zeros(len(cell), np.int64), np.zeros(len(cell), np.int64), []
         for b in range(BITS - 1, -1, -1):
-            octant = ((cell >> b & 1) << np.arange(cell.shape[1])).sum(axis=1)
+            octant = ((cell >> b & 1) << np.arange(self.dims)).sum(axis=1)
             found = self.steps[state * size + octant]
             key = key * size + found % size
             state = found // size
-        return key
+            if b % WORD_BITS == 0:
+                words.append(key)
+                key = np.zeros(len(cell), np.int64)
+        return words
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -96,22 +110,47 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
+def _moments(curves: Curves):
+    """Sums and sums of squares of the projections, by band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        flat = np.concatenate(list(curves.axes), axis=1)
+        for batch in batches:
+            x, band = _matrix(batch.column("embedding"), curves.width), batch.column("band").to_numpy()
+            seen = curves.lift(x, band) @ flat
+            for b in np.unique(band).tolist():
+                mine = seen[band == b]
+                total[b] = total.get(b, 0) + np.stack([mine.sum(axis=0), (mine**2).sum(axis=0)])
+        for b, (s, q) in total.items():
+            n = len(s)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, b, np.int32)), pa.array(np.arange(n, dtype=np.int32)), pa.array(s), pa.array(q)], ["band", "at", "s", "q"])
+
+    return run
+
+
 def _place(curves: Curves):
-    """Per class and curve its key; a query has a second row if its lifted form differs."""
+    """Per class and curve of its band its key.  A query has a row in every band."""
+    names = ["curve", *_WORDS, "h1", "h2", "is_query"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column("embedding"), curves.width)
+            x, band = _matrix(batch.column("embedding"), curves.width), batch.column("band").to_numpy()
             asks = np.asarray(batch.column("asks").to_numpy(zero_copy_only=False), bool)
-            held, asking = curves.lift(x, False), curves.lift(x[asks], True)
             h1, h2 = batch.column("h1").to_numpy(), batch.column("h2").to_numpy()
-            for c in range(len(curves.turns)):
-                key = np.concatenate((curves.keys(held, c), curves.keys(asking, c)))
-                n = len(key)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, c, np.int32)), pa.array(key), pa.array(np.concatenate((h1, h1[asks]))), pa.array(np.concatenate((h2, h2[asks]))),
-                    pa.array(np.concatenate((np.zeros(len(held), bool), np.ones(len(asking), bool)))),
-                ], ["curve", "key", "h1", "h2", "is_query"])
+            inside = np.flatnonzero(band >= 0)
+            held, asking = curves.lift(x[inside], band[inside]), curves.lift(x[asks], None)
+
+            def rows(curve, words, at, is_query):
+                hashes = [pa.array(h1[at]), pa.array(h2[at])]
+                return pa.RecordBatch.from_arrays([pa.array(curve, pa.int32()), *map(pa.array, words), *hashes, pa.array(is_query)], names)
+
+            for c in range(curves.count):
+                words = curves.keys(held @ curves.axes[c], band[inside], c)
+                yield rows(band[inside] * curves.count + c, words, inside, np.zeros(len(inside), bool))
+                seen, at = asking @ curves.axes[c], np.flatnonzero(asks)
+                for b in range(len(curves.tops) if len(at) else 0):
+                    yield rows(np.full(len(at), b * curves.count + c), curves.keys(seen, b, c), at, np.ones(len(at), bool))
 
     return run
 
@@ -220,6 +259,35 @@ def _rerank(width: int, k: int):
     return run
 
 
+def _whole(banded: DataFrame, n: int) -> DataFrame:
+    """Members of no band with curves, cut by hash, and every query to every cut: curve, block, cut, h1, h2, is_query."""
+    cuts = -(-n // BLOCK_LEAST)
+    here = [F.lit(-1).alias("curve"), F.lit(0).alias("block")]
+    members = banded.where("band < 0").select(*here, F.pmod("h2", F.lit(max(1, cuts))).cast("int").alias("cut"), "h1", "h2", F.lit(False).alias("is_query"))
+    every = F.sequence(F.lit(0), F.lit(cuts - 1)) if cuts else F.array().cast("array<int>")
+    return members.union(banded.where("asks").select(*here, F.explode(every).alias("cut"), "h1", "h2", F.lit(True).alias("is_query")))
+
+
+def _near(banded: DataFrame, turns: Curves, bands: list, asking: int, share: float) -> DataFrame:
+    """Blocks of the curves with their members, and the queries that see them: curve, block, cut, h1, h2, is_query."""
+    keys = ", ".join(f"{w} long" for w in _WORDS)
+    placed = banded.mapInArrow(_place(turns), f"curve int, {keys}, h1 long, h2 long, is_query boolean")
+    sizes, first = [], 0
+    for i, r in enumerate(bands):
+        per_curve, block_rows = r["n"] + asking, max(BLOCK_LEAST, int(share * r["n"]))
+        sizes.append((i, first, per_curve, block_rows, (per_curve - 1) // block_rows, -(-block_rows // TASK_ROWS)))
+        first += per_curve * turns.count
+    order = [F.col(c) for c in ("curve", *_WORDS, "h1", "h2", "is_query")]
+    placed = ordering.positions(placed, order, {}, rows=first)
+    sizes = placed.sparkSession.createDataFrame(sizes, "band int, first long, per_curve long, block_rows long, last int, cuts int")
+    placed = placed.withColumn("band", F.floor(F.col("curve") / turns.count).cast("int")).join(F.broadcast(sizes), "band")  # one row per band
+    placed = placed.withColumn("block", F.floor((F.col("_before") - F.col("first")) % F.col("per_curve") / F.col("block_rows")).cast("int"))
+    near = F.when(F.col("is_query"), F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.col("block") + d), lambda b: (b >= 0) & (b <= F.col("last")))).otherwise(F.array("block"))
+    cut = F.when(F.col("is_query"), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(F.array(F.pmod("h2", "cuts").cast("int")))
+    sent = placed.withColumn("near", near).select("curve", F.explode("near").alias("block"), "h1", "h2", "is_query", cut.alias("cut"))
+    return sent.withColumn("cut", F.explode("cut"))
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int = CURVES, share: float = BLOCK_SHARE) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the nearest other ids that are found."""
     spark = vectors.sparkSession
@@ -236,22 +304,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int =
     shape = "query_id long, rank int, vec_id long, score double"
     if not n or not asking:
         return spark.createDataFrame([], shape)
-    sample = [r[0] for r in classes.orderBy("h1", "h2").limit(SAMPLE).select("embedding").collect()]
-    wide = np.zeros((len(sample), width))
-    for i, v in enumerate(sample):
-        wide[i, : len(v)] = v
-    turns = Curves(width, top * (1 + 1e-9), wide, curves)
-    placed = classes.select("embedding", "asks", "h1", "h2").mapInArrow(_place(turns), "curve int, key long, h1 long, h2 long, is_query boolean")
-    placed = ordering.positions(placed, [F.col(c) for c in ("curve", "key", "h1", "h2", "is_query")], {}, rows=(n + asking) * curves)
-    block_rows = max(BLOCK_LEAST, int(share * n))
-    per_curve = n + asking
-    last = (per_curve - 1) // block_rows
-    block = F.floor((F.col("_before") % per_curve) / block_rows).cast("int")
-    cuts = -(-block_rows // TASK_ROWS)
-    placed = placed.withColumn("block", block)
-    near = F.when(F.col("is_query"), F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.col("block") + d), lambda b: (b >= 0) & (b <= last))).otherwise(F.array("block"))
-    cut = F.when(F.col("is_query"), F.sequence(F.lit(0), F.lit(cuts - 1))).otherwise(F.array(F.pmod(F.col("h2"), F.lit(cuts)).cast("int")))
-    sent = placed.withColumn("near", near).select("curve", F.explode("near").alias("block"), "h1", "h2", "is_query").withColumn("cut", F.explode(cut))
+    # Bands of norms, counted from the longest; those that hold more than three blocks get curves.
+    step = F.floor(F.log(F.lit(top) / F.sqrt(square)) / math.log(BAND))
+    counted = classes.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(square)).alias("top"))
+    bands = [r for r in counted.orderBy("step").collect() if r["step"] is not None and r["n"] > 3 * BLOCK_LEAST]
+    number = spark.createDataFrame([(r["step"], i) for i, r in enumerate(bands)], "step long, band int")
+    banded = classes.withColumn("step", step).join(F.broadcast(number), "step", "left")  # one row per band
+    banded = banded.select("embedding", "asks", "h1", "h2", F.coalesce("band", F.lit(-1)).alias("band"))
+    sent = _whole(banded, n - sum(r["n"] for r in bands))
+    if bands:
+        turns = Curves(width, np.array([r["top"] for r in bands]) * (1 + 1e-9), curves)
+        sums = banded.where("band >= 0").select("embedding", "band").mapInArrow(_moments(turns), "band int, at int, s double, q double")
+        sums = sums.groupBy("band", "at").agg(F.sum("s").alias("s"), F.sum("q").alias("q")).collect()
+        moments = np.zeros((2, len(bands), curves * turns.dims))
+        for r in sums:
+            moments[:, r["band"], r["at"]] = r["s"], r["q"]
+        turns.scale(np.array([r["n"] for r in bands]), *moments.reshape(2, len(bands), curves, turns.dims))
+        sent = sent.unionByName(_near(banded, turns, bands, asking, share))
     sent = sent.join(classes.select("h1", "h2", "id", "embedding"), ["h1", "h2"])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = sent.repartitionByRange(parts, "curve", "block", "cut").sortWithinPartitions("curve", "block", "cut")

@@ -62,3 +62,33 @@ def test_recall(spark, monkeypatch):
 @pytest.mark.parametrize("rows", [[], [(1, [1.0])], [(20, [1.0])], [(20, None)]])
 def test_nothing_to_find(spark, rows):
     assert found(spark, rows) == {}
+
+
+def recall(spark, x, queries, **kw):
+    """Mean recall of the given queries at 20 neighbours."""
+    number = np.arange(len(x)) * 20 + 1
+    number[queries] -= 1
+    got = found(spark, [(int(i), v.tolist()) for i, v in zip(number, x)], 20, **kw)
+    hits = 0
+    for q in queries:
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        hits += len(set(number[np.argsort(-s)[:20]].tolist()) & {j for j, _ in got[int(number[q])]})
+    return hits / (20 * len(queries))
+
+
+def directions(rng, n, width=64):
+    x = rng.normal(size=(n, width))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("norms", ["one", "heavy"])
+def test_recall_of_unequal_norms(spark, norms):
+    rng = np.random.default_rng(4)
+    x = directions(rng, 20000)
+    if norms == "one":
+        x[7] *= 1e6
+    else:
+        x *= rng.pareto(1.0, size=(len(x), 1)) + 1
+    queries = rng.choice(len(x), 150, replace=False)
+    assert recall(spark, x.astype(np.float32), queries) >= 0.9
