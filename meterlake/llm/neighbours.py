@@ -35,9 +35,9 @@ from meterlake.llm import ordering, scratch
 from meterlake.llm.sharding import _curve_steps
 
 CURVES = 26
-DIMS, BITS = 6, 6
+DIMS, BITS = 6, 30
 #: Bits of each dimension in one word of a key.
-WORD_BITS = 6
+WORD_BITS = 10
 BLOCK_SHARE, BLOCK_LEAST = 0.012, 200
 TASK_ROWS = 50_000
 #: Largest quotient of two norms in a band.
@@ -81,7 +81,9 @@ class Curves:
         self.spread = np.sqrt(np.maximum(0, squares / n - (sums / n) ** 2)).astype(np.float32).astype(float) + 1e-9
 
     def keys(self, seen: np.ndarray, band: np.ndarray | int, curve: int) -> list[np.ndarray]:
-        """Place on the curve of projected vectors, the leading word first."""
+        """Place on the curve of projected vectors, the leading word first.
+
+        The many bits also tell members of a tight group apart, however small a part of the range it fills."""
         z = (seen - self.mean[band, curve]) / self.spread[band, curve]
         level = 0.5 * (1 + np.tanh(0.8 * z))  # close to the normal distribution function
         cell = np.minimum((level + self.shift[curve]) / 2 * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
@@ -130,7 +132,8 @@ def _moments(curves: Curves):
 
 
 def _place(curves: Curves):
-    """Per class and curve of its band its key.  A query has a row in every band."""
+    """Per class and curve of its band its key.  A query has a row in every band, and one more where it is a
+    member itself: among near-copies shorter than the band's top that is where its like are."""
     names = ["curve", *_WORDS, "h1", "h2", "is_query"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +142,7 @@ def _place(curves: Curves):
             asks = np.asarray(batch.column("asks").to_numpy(zero_copy_only=False), bool)
             h1, h2 = batch.column("h1").to_numpy(), batch.column("h2").to_numpy()
             inside = np.flatnonzero(band >= 0)
+            own = np.flatnonzero(asks[inside])
             held, asking = curves.lift(x[inside], band[inside]), curves.lift(x[asks], None)
 
             def rows(curve, words, at, is_query):
@@ -147,7 +151,8 @@ def _place(curves: Curves):
 
             for c in range(curves.count):
                 words = curves.keys(held @ curves.axes[c], band[inside], c)
-                yield rows(band[inside] * curves.count + c, words, inside, np.zeros(len(inside), bool))
+                at = np.concatenate((inside, inside[own]))
+                yield rows(band[at] * curves.count + c, [np.concatenate((w, w[own])) for w in words], at, np.arange(len(at)) >= len(inside))
                 seen, at = asking @ curves.axes[c], np.flatnonzero(asks)
                 for b in range(len(curves.tops) if len(at) else 0):
                     yield rows(np.full(len(at), b * curves.count + c), curves.keys(seen, b, c), at, np.ones(len(at), bool))
@@ -274,10 +279,11 @@ def _near(banded: DataFrame, turns: Curves, bands: list, asking: int, share: flo
     placed = banded.mapInArrow(_place(turns), f"curve int, {keys}, h1 long, h2 long, is_query boolean")
     sizes, first = [], 0
     for i, r in enumerate(bands):
-        per_curve, block_rows = r["n"] + asking, max(BLOCK_LEAST, int(share * r["n"]))
+        per_curve, block_rows = r["n"] + r["own"] + asking, max(BLOCK_LEAST, int(share * r["n"]))
         sizes.append((i, first, per_curve, block_rows, (per_curve - 1) // block_rows, -(-block_rows // TASK_ROWS)))
         first += per_curve * turns.count
-    order = [F.col(c) for c in ("curve", *_WORDS, "h1", "h2", "is_query")]
+    # Ties are in another order on each curve, so that each shows a query others of a crowded cell.
+    order = [F.col("curve"), *map(F.col, _WORDS), F.xxhash64("curve", "h1", "h2"), F.col("is_query")]
     placed = ordering.positions(placed, order, {}, rows=first)
     sizes = placed.sparkSession.createDataFrame(sizes, "band int, first long, per_curve long, block_rows long, last int, cuts int")
     placed = placed.withColumn("band", F.floor(F.col("curve") / turns.count).cast("int")).join(F.broadcast(sizes), "band")  # one row per band
@@ -306,7 +312,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int =
         return spark.createDataFrame([], shape)
     # Bands of norms, counted from the longest; those that hold more than three blocks get curves.
     step = F.floor(F.log(F.lit(top) / F.sqrt(square)) / math.log(BAND))
-    counted = classes.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(square)).alias("top"))
+    counted = classes.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(square)).alias("top"), F.count_if("asks").alias("own"))
     bands = [r for r in counted.orderBy("step").collect() if r["step"] is not None and r["n"] > 3 * BLOCK_LEAST]
     number = spark.createDataFrame([(r["step"], i) for i, r in enumerate(bands)], "step long, band int")
     banded = classes.withColumn("step", step).join(F.broadcast(number), "step", "left")  # one row per band

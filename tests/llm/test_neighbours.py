@@ -92,3 +92,14 @@ def test_recall_of_unequal_norms(spark, norms):
         x *= rng.pareto(1.0, size=(len(x), 1)) + 1
     queries = rng.choice(len(x), 150, replace=False)
     assert recall(spark, x.astype(np.float32), queries) >= 0.9
+
+
+# A shorter group lies away from its queries' places, a tight one fills a small part of one cell.
+@pytest.mark.parametrize("radius, norm", [(0.003, 1.0), (0.003, 0.6), (0.0001, 1.0)])
+def test_recall_of_near_copies(spark, radius, norm):
+    rng = np.random.default_rng(5)
+    x = directions(rng, 24000)
+    group = np.arange(0, len(x), 3)
+    x[group] = norm * (x[0] + radius * directions(rng, len(group)) * rng.random((len(group), 1)))
+    queries = rng.choice(group, 150, replace=False)
+    assert recall(spark, x.astype(np.float32), queries) >= 0.9
