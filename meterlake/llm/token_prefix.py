@@ -35,8 +35,9 @@ UNIT_CHARS = 64
 
 # The word pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# The same language cut into units: white space belongs to what follows it.
-UNIT = r"'s|'t|'re|'ve|'m|'ll|'d|\s*(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)|\s+"
+# The same language cut into units: white space belongs to what follows it.  A contraction is one
+# after nothing or after white space that does not end in a plain blank, which would take its apostrophe.
+UNIT = r"\s*(?:\p{L}+|\p{N}+)|(?:\s*[^\S ])?(?:'s|'t|'re|'ve|'m|'ll|'d)|\s*[^\s\p{L}\p{N}]+|\s+"
 
 
 def _byte_letters() -> dict[str, int]:
@@ -61,6 +62,7 @@ class PrefixCounter:
         self.longest = max(map(len, self.vocab))
         self.words = regex.compile(PATTERN)
         self.units = regex.compile(UNIT)
+        self.blank = regex.compile(r"\s*")
         self.special = sorted(special)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.kept: dict[str, tuple[int, bytes]] = {}
@@ -187,15 +189,15 @@ class PrefixCounter:
                 counts[w.start() + k] = base + by_byte[at]
             total = base + by_byte[-1]
         # Inside white space, and inside a contraction, a prefix is cut into words differently.
-        blank = len(text) - len(text.lstrip())
+        blank = self.blank.match(text).end()  # the pattern's white space; strip takes more
         if 1 < blank < len(text):
             run = self.word_counts(text[:blank].encode())
             at = 0
             for k in range(1, blank + 1):
                 at += len(text[k - 1].encode())
                 counts[k] = run[at]
-        elif text[0] == "'" and len(text) == 3:
-            counts[2] = self._string_counts(text[:2])
+        if len(text) == blank + 3 and text[blank] == "'":
+            counts[blank + 2] = self._string_counts(text[: blank + 2])
         out = (counts[-1], bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])]))
         if len(text) <= UNIT_CHARS:
             if len(self.kept) >= UNITS:

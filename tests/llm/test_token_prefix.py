@@ -50,3 +50,15 @@ def test_table(odd_docs, odd_rows, no_docs, library):
     wanted = sorted((str(r[0]), len((r[1] or "").encode()), library(r[1] or ""), library(r[1] or "")) for r in odd_rows)
     assert got == wanted
     assert T.prefix_table(no_docs, vocabulary_path()).count() == 0
+
+
+def test_white_space_before_apostrophes(library):
+    table = T.PrefixCounter(vocabulary_path())
+    rng = random.Random(3)
+    signs = ["'", "''", "'s", "'t", "'m", "'d", "'re", "'ve", "'ll", " ", "\n", "\t", "\r", "\xa0", "\u3000", "\x1c", "a", "s", "r", "l", "1", "!", "é"]
+    texts = ["x\n's", "x\t't", "a\n\n'm", "x\xa0's", "x\n 's", "x \n're", "\n'small", "\n''s"]
+    texts += ["".join(rng.choices(signs, k=rng.randrange(1, 9))) for _ in range(3000)]
+    for text in texts:
+        d = table.deltas(text)
+        for k in range(len(text) + 1):
+            assert T.count_at(d, k) == library(text[:k]), (text, k)
