@@ -8,7 +8,8 @@ and a random bit of (step, word) says whether the pointer moves on.  Sequences a
 distance fall back into step, so their walks differ in few places and a few sampled places agree
 with known probability.  Walks start at every word of a document, for every length class of items.
 How many samples are drawn is calibrated on the items themselves: copies at the largest allowed
-distance have to be found with the target recall.  Windows that meet an item are verified exactly,
+distance have to be found with the target recall.  Long items are cut into parts with walks of their
+own: of a passage within n // 5 edits at least one part is within its share.  Windows that meet an item are verified exactly,
 by the best fit of the item into the passage around them.
 
 Before walking, windows are screened by a condition every match satisfies: at most n // 5 of its
@@ -43,7 +44,9 @@ RECALL = 0.97
 #: Words sampled per digest, and the walks that samples are drawn from.
 SAMPLED, WALKS = 2, 6
 _TABLE_BITS = 22
-_MOST_SAMPLES = 96
+#: Words of a part, at most, and samples after which further walks are drawn from.
+PART_WORDS = 100
+_FIRST_SAMPLES, _WALK_SAMPLES = 96, 16
 _ODD = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_ODD)
 
@@ -56,7 +59,7 @@ def edit_limit(words: int) -> int:
 class LengthClass:
     least: int
     most: int
-    members: list[int]  # numbers of its items
+    members: list[int]  # numbers of its parts
     samples: list[tuple[int, tuple[int, ...]]]  # (walk, steps)
     keys: list[np.ndarray]  # per sample: sorted digests of the members
     owners: list[np.ndarray]  # per sample: the member of each digest
@@ -118,11 +121,14 @@ def _calibrate(items: list[np.ndarray], least: int, recall: float) -> list[tuple
     flat = np.concatenate(both)
     ends = np.cumsum([len(w) for w in both])
     starts = ends - [len(w) for w in both]
-    trails = [emitted(flat, starts, ends, w, steps) for w in range(WALKS)]
+    trails: dict[int, np.ndarray] = {}
     missed = np.ones(len(trials), bool)
     samples: list[tuple[int, tuple[int, ...]]] = []
-    while len(samples) < _MOST_SAMPLES and missed.mean() > 1 - recall:
-        walk = len(samples) % WALKS
+    while missed.mean() > 1 - recall:
+        more = len(samples) - _FIRST_SAMPLES
+        walk = len(samples) % WALKS if more < 0 else WALKS + more // _WALK_SAMPLES
+        if walk not in trails:
+            trails[walk] = emitted(flat, starts, ends, walk, steps)
         # Early steps agree more often than late ones; half of the samples come from the first half.
         reach = steps if len(samples) % 2 else max(size, steps // 2)
         chosen = tuple(sorted(rng.choice(reach, size, replace=False).tolist()))
@@ -151,7 +157,13 @@ class Index:
         self.items = [hashed[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[_slot(hashed)] = True
-        lengths = sorted({len(x) for x in self.items} - {0})
+        self.parts: list[np.ndarray] = []
+        self.part_of: list[tuple[int, int]] = []  # per part its item, and the words before it
+        for i, x in enumerate(self.items):
+            cuts = np.linspace(0, len(x), -(-len(x) // PART_WORDS) + 1).astype(int)
+            self.parts += [x[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            self.part_of += [(i, int(a)) for a in cuts[:-1]]
+        lengths = sorted({len(x) for x in self.parts})
         # Pairs of neighbouring words of one item.
         self.pairs = np.zeros(1 << _TABLE_BITS, bool)
         for x in self.items:
@@ -161,8 +173,8 @@ class Index:
             least = lengths[0]
             most = max(n for n in lengths if n <= max(least, int(least * 1.1)))
             lengths = [n for n in lengths if n > most]
-            members = [i for i, x in enumerate(self.items) if least <= len(x) <= most]
-            mine = [self.items[i] for i in members]
+            members = [i for i, x in enumerate(self.parts) if least <= len(x) <= most]
+            mine = [self.parts[i] for i in members]
             samples = _calibrate(mine, least, recall)
             flat = np.concatenate(mine)
             ends = np.cumsum([len(x) for x in mine])
@@ -178,7 +190,7 @@ class Index:
         self.vocabulary = [np.unique(x) for x in self.items]
 
     def candidates(self, hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """(start word, item) pairs whose walks agree in a sample, passing the item's own words."""
+        """(start word, part) pairs whose walks agree in a sample, passing the part's own words."""
         n = len(hashed)
         foreign = np.concatenate(([0], np.cumsum(~self.table[_slot(hashed)], dtype=np.int32)))
         new_pairs = np.concatenate(([0], np.cumsum(~self.pairs[_slot(_pair(hashed))], dtype=np.int32))) if n else foreign
@@ -222,18 +234,22 @@ class Index:
         if not len(pairs):
             return []
         row = np.searchsorted(words.first, pairs[:, 0], side="right") - 1
-        order = np.lexsort((pairs[:, 0], pairs[:, 1], row))
+        part_of = np.array(self.part_of)[pairs[:, 1]]
+        begin = pairs[:, 0] - part_of[:, 1]  # where the item would begin
+        order = np.lexsort((begin, part_of[:, 0], row))
         done: tuple[int, int] | None = None
         reach = -1
         for k in order:
-            start, item, r = int(pairs[k, 0]), int(pairs[k, 1]), int(row[k])
+            start, item, r = int(begin[k]), int(part_of[k, 0]), int(row[k])
             n, limit = len(self.items[item]), edit_limit(len(self.items[item]))
+            part = len(self.parts[pairs[k, 1]])
+            slack = limit + (edit_limit(part) if part < n else 0)
             low, high = int(words.first[r]), int(words.first[r + 1])
             if done != (r, item):
                 done, reach = (r, item), -1
-            if start + n + limit <= reach:  # inside a passage that was fitted already
+            if min(high, start + n + slack) <= reach:  # inside a passage that was fitted already
                 continue
-            a, b = max(low, start - limit), min(high, start + n + limit)
+            a, b = max(low, start - slack), min(high, start + n + slack)
             held = np.isin(hashed[a:b], self.vocabulary[item], assume_unique=False)
             if int(held.sum()) < n - limit:
                 continue

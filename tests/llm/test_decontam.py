@@ -102,3 +102,19 @@ def test_best_fit():
         item, text = rng.integers(0, 4, rng.integers(1, 9)), rng.integers(0, 4, rng.integers(1, 20))
         d, a, b = decontam.best_fit(item, text)
         assert d == fit(item.tolist(), text.tolist()) == edits(item.tolist(), text[a:b].tolist())
+
+
+def test_long_items(spark):
+    rng = random.Random(8)
+    items = [(i, sentence(rng, n, 50_000)) for i, n in enumerate((1000, 3000) * 3)]
+    docs = []
+    for i, text in items:
+        for j in range(2):
+            words = text.split()
+            for k in sorted(rng.sample(range(len(words)), len(words) // 5), reverse=True):
+                words[k : k + rng.randrange(2)] = [] if rng.random() < 0.3 else [f"n{rng.randrange(999)}"]
+            docs.append((10 * i + j, f"{sentence(rng, 200, 50_000)} {' '.join(words)} {sentence(rng, 200, 50_000)}"))
+    df, bench = frames(spark, (docs, items))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.matches(df, bench).collect()}
+    assert got <= {(d, d // 10) for d, _ in docs}
+    assert len(got) >= 0.95 * len(docs)
