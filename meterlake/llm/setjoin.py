@@ -17,7 +17,8 @@ without listing pairs.  Components of those links are the result.
 
 Defined cases: null and wordless texts have an empty set and link with nothing (their own class); a
 text with fewer words than a shingle is one shingle; equal sets link, also under one doc_id; rows with
-equal doc_id give one row each and share their least class; rows without doc_id give a row each with
+equal doc_id give one row each and share their least class (different texts under one doc_id take part
+each for itself, under numbers of their own); rows without doc_id give a row each with
 null component and take no part; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -33,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm import graph, packing, scratch
+from meterlake.llm import graph, ordering, packing, scratch
 from meterlake.llm.wordhash import Words, mix, slices, windows
 
 SHINGLE = 4
@@ -43,6 +44,10 @@ BATCH_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 #: Shingles verified together in one task; larger clusters are cut into blocks.
 CLUSTER_SHINGLES = 2_000_000
+#: Sets verified together, as above.
+CLUSTER_SETS = 4_000
+#: Digests held by more rows than this (and than a 100,000th of all rows) are at most so many as can be broadcast.
+HOT_COPIES, HOT_DIGESTS = 1_000, 100_000
 #: Cost model: price of a light subset, which meets others by chance, in digests sent.
 _MEETING = 4.0
 
@@ -120,6 +125,24 @@ class Sets:
         return out
 
 
+def numbered_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """Shingle sets as numbers that are equal for equal shingles only, among these texts."""
+    words = Words(texts, lower=True)
+    ids, counts, first = words.ids(), words.counts(), words.first
+    windows_of = np.maximum(counts - size + 1, 0)
+    start = np.arange(int(windows_of.sum())) + np.repeat(first[:-1] - (np.cumsum(windows_of) - windows_of), windows_of)
+    found = ids[start]
+    for k in range(1, size):  # a run of k words has its number; with the next word it is a pair of numbers
+        found = np.unique(found << 32 | ids[start + k], return_inverse=True)[1].astype(np.int64)
+    bounds = np.concatenate(([0], np.cumsum(windows_of)))
+    out = [np.unique(found[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    whole: dict[tuple, int] = {}
+    for d in np.flatnonzero((counts > 0) & (counts < size)):  # whole sequences, numbered below zero
+        key = tuple(ids[first[d] : first[d + 1]].tolist())
+        out[d] = np.array([-1 - whole.setdefault(key, len(whole))])
+    return out
+
+
 def _fold(hashed: np.ndarray) -> np.ndarray:
     out = np.array([len(hashed)], np.uint64)
     for h in hashed:
@@ -197,6 +220,11 @@ def _stars(key: np.ndarray, ids: np.ndarray, high: np.ndarray | None = None) ->
     return order[head], edges[:, 0], edges[:, 1]
 
 
+def _bucket_of_id(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """Ids with a stride fall into all buckets."""
+    return (mix(ids.astype(np.int64).astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+
+
 def _send(buckets: int, size: int, percent: int):
     """kind 0: a document (doc_id, digest as body, size); 1: an edge; 2: digests of a bucket."""
 
@@ -208,7 +236,7 @@ def _send(buckets: int, size: int, percent: int):
                 both = sets.digests()
                 body = packing.binary_rows(both.view(np.uint8).reshape(-1), np.arange(len(ids) + 1) * 16)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.zeros(len(ids), np.int32)), pa.array((np.abs(ids) % buckets).astype(np.int32)), pa.array(ids),
+                    pa.array(np.zeros(len(ids), np.int32)), pa.array(_bucket_of_id(ids, buckets)), pa.array(ids),
                     pa.nulls(len(ids), pa.int64()), pa.array(sets.sizes.astype(np.int64)), body,
                 ], _NAMES)
                 sig, doc = signatures(sets, percent)
@@ -216,7 +244,7 @@ def _send(buckets: int, size: int, percent: int):
                     continue
                 keep, a, b = _stars(sig, ids[doc])
                 if len(a):
-                    yield _rows(1, bucket=(np.abs(a) % buckets).astype(np.int32), doc_id=a, other=b)
+                    yield _rows(1, bucket=_bucket_of_id(a, buckets), doc_id=a, other=b)
                 sig, mine = sig[keep], ids[doc[keep]]
                 out = []
                 for k, at in packing.by_bucket(packing.bucket_of(sig, buckets)):
@@ -327,11 +355,7 @@ def _verify(size: int, percent: int):
 
     def solve(key, parts: list[pa.RecordBatch]):
         rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-        ids, sets = rows.column("doc_id").to_numpy(), []
-        for part in slices(rows, "text", BATCH_BYTES):
-            s = Sets(part.column("text"), size)
-            sets.extend(s.items[a:b].copy() for a, b in zip(s.first[:-1], s.first[1:]))
-        return _linked(ids, sets, percent)
+        return _linked(rows.column("doc_id").to_numpy(), numbered_sets(rows.column("text"), size), percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, out = None, [], []
@@ -367,20 +391,61 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _own_numbers(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``texts`` with a doc_id that stands for one text only, and what the new ids stand for.
+
+    Rows that share a doc_id but not the text get numbers that no row uses.  None: there are no such rows.
+    """
+    key = F.xxhash64("text")
+    odd = texts.groupBy("doc_id").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi")).where("_lo <> _hi").select("doc_id")
+    odd = scratch.write(odd, "setjoin-odd")
+    if odd.isEmpty():
+        return texts, None
+    low, high = texts.agg(F.min("doc_id"), F.max("doc_id")).first()
+    keyed = texts.withColumn("_key", key)
+    each = keyed.join(_small(odd), "doc_id", "left_semi").select("doc_id", "_key").distinct()
+    # Above the greatest id, or below the least where there is more room.
+    up = high < -low
+    placed = ordering.positions(each, [F.col("doc_id"), F.col("_key")], {})
+    own = (F.lit(high) + 1 + F.col("_before")) if up else (F.lit(low) - 1 - F.col("_before"))
+    numbers = scratch.write(placed.select("doc_id", "_key", own.alias("_own")), "setjoin-numbers")
+    named = keyed.join(_small(numbers), ["doc_id", "_key"], "left").select(F.coalesce("_own", "doc_id").alias("doc_id"), "text")
+    return named, numbers.select("_own", F.col("doc_id").alias("_true"))
+
+
+def _true_ids(df: DataFrame, numbers: DataFrame | None, columns: list[str]) -> DataFrame:
+    """``df`` with the ids of the documents in place of the numbers above."""
+    for c in columns if numbers is not None else ():
+        back = numbers.withColumnRenamed("_own", c)
+        df = df.join(_small(back), c, "left").withColumn(c, F.coalesce("_true", c)).drop("_true")
+    return df
+
+
+def _with_heads(rows: DataFrame) -> DataFrame:
+    """``head``: the least doc_id with the same set.  Digests of very many rows are looked up without a shuffle."""
+    heads = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    heads = scratch.write(heads, "setjoin-heads")
+    hot = F.col("_n") > max(HOT_COPIES, rows.count() // HOT_DIGESTS)
+    common = heads.where(hot).select("digest", F.col("head").alias("_common"))  # at most HOT_DIGESTS rows
+    rows = rows.join(F.broadcast(common), "digest", "left")
+    rare = rows.where("_common IS NULL").drop("_common").join(heads.where(~hot).drop("_n"), "digest", "left")
+    out = rare.unionByName(rows.where("_common IS NOT NULL").withColumnRenamed("_common", "head"))
+    return out.select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head"))
+
+
 def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (least doc_id reachable by links)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = packing.bucket_count(spark, total)
-    texts = docs.where("doc_id IS NOT NULL")
+    texts, numbers = _own_numbers(docs.where("doc_id IS NOT NULL"))
     sent = texts.mapInArrow(_send(buckets, shingle, percent), _ROW).repartition(buckets, "bucket")
     met = scratch.write(sent.mapInArrow(_meet, _ROW).drop("bucket"), "setjoin-met")
     rows = met.where("kind = 0").select("doc_id", F.col("body").alias("digest"), F.col("size").alias("n_shingles"))
 
     # One document stands for all with the same set.
-    heads = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("head"))
-    classes = scratch.write(rows.join(heads, "digest", "left").select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head")), "setjoin-classes")
+    classes = scratch.write(_with_heads(rows), "setjoin-classes")
     one = classes.groupBy("doc_id").agg(F.min("head").alias("head"))
     near = met.where("kind = 1").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
     near = near.distinct()  # a pair meets in many buckets
@@ -389,7 +454,9 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 
     # Large clusters are cut into blocks, and every two blocks meet.
     sized = clusters.join(classes.where("doc_id = head").select("doc_id", "n_shingles").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id")
-    load = sized.groupBy("cluster").agg((F.floor(F.sum("n_shingles") / F.lit(CLUSTER_SHINGLES // 2)) + 1).cast("int").alias("blocks"))
+    load = sized.groupBy("cluster").agg(
+        (F.floor(F.greatest(F.sum("n_shingles") / F.lit(CLUSTER_SHINGLES // 2), F.count(F.lit(1)) / F.lit(CLUSTER_SETS // 2))) + 1).cast("int").alias("blocks")
+    )
     load = load.withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
     where = clusters.join(load, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     where = scratch.write(where, "setjoin-clusters")
@@ -403,10 +470,10 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     links = scratch.write(dealt.mapInArrow(_verify(shingle, percent), "a long, b long"), "setjoin-links")
     # Rows that share a doc_id share its class, and copies belong to their head.
     copies = classes.where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
-    found = graph.components(links.union(copies.distinct()))
+    found = graph.components(_true_ids(links.union(copies.distinct()), numbers, ["a", "b"]))
     scratch.drop(met, where)
     nulls = docs.where("doc_id IS NULL")
-    out = classes.join(found.toDF("doc_id", "component_id"), "doc_id", "left").select(
+    out = _true_ids(classes, numbers, ["doc_id"]).join(found.toDF("doc_id", "component_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
     return out.union(_without_id(nulls, shingle))

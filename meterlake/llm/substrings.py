@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm import packing
-from meterlake.llm.wordhash import Words, slices, windows
+from meterlake.llm.wordhash import Words, mix, slices, windows
 
 SIZE = 50
 #: Text hashed at a time.
@@ -71,10 +71,11 @@ def _hash_windows(size: int, buckets: int, width: int):
                 doc = np.repeat(np.arange(len(ids)), counts)
                 first = np.concatenate(([0], np.cumsum(counts)))
                 repeated = _local_repeats(x1, x2, ids[doc])
+                homes = mix(ids.astype(np.uint64)) % np.uint64(buckets)
                 rows = []
                 for d in np.unique(doc[repeated]):
                     local = np.flatnonzero(repeated[first[d] : first[d + 1]]).astype(np.int32)
-                    rows.append((int(ids[d]) % buckets, int(ids[d]), int(keys[d]), local.tobytes()))
+                    rows.append((int(homes[d]), int(ids[d]), int(keys[d]), local.tobytes()))
                 live = np.flatnonzero(~repeated)
                 for b, at in packing.by_bucket(packing.bucket_of(x2[live], buckets)):
                     place = live[at]
@@ -147,7 +148,7 @@ def _compare(width: int, groups: int):
             found.append(_repeats_of(held.pop(b), width))
         hits = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
         rows = []
-        for g, at in packing.by_bucket((hits[:, 0] % groups).astype(np.uint32)):
+        for g, at in packing.by_bucket((mix(hits[:, 0].astype(np.uint64)) % np.uint64(groups)).astype(np.uint32)):
             mine = hits[at]
             rows.append((g, packing.pack([mine[:, 0], mine[:, 1].astype(np.uint32), mine[:, 2].astype(np.int32)])))
         g, body = zip(*rows) if rows else ((), ())

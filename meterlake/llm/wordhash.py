@@ -1,8 +1,10 @@
 """Words of Arrow text columns and their hashes, vectorised over whole batches.
 
-A word is a maximal run of bytes other than space and 0x09-0x0D.  Hashes are
-Rabin-Karp polynomials modulo 2**64: prefix sums of ``symbol * base**i``, so the
-hash of any range is one difference, moved to exponent zero by the inverse power.
+A word is a maximal run of bytes other than space and 0x09-0x0D.  Its hash is the sum of one
+random 64-bit number for each pair of place and byte, mixed with its length.  (A polynomial in the
+bytes modulo 2**64 would not do: words built by doubling and swapping agree under any odd base.)
+Windows of words are Rabin-Karp polynomials over those hashes: prefix sums of ``symbol * base**i``,
+so the hash of any range is one difference, moved to exponent zero by the inverse power.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ import pyarrow.compute
 #: Odd bases of the two independent lanes, and the bytes hashed at a time.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 BLOCK = 1 << 18
+#: Places of a word whose numbers are looked up; those of later places are computed.
+PLACES = 48
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -34,6 +38,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _draw(key: np.ndarray, lane: int) -> np.ndarray:
+    """A random number for each key, of two rounds of mixing with the lane's base between them."""
+    return mix(mix(key + np.uint64(BASES[lane])) ^ np.uint64(BASES[1 - lane]))
+
+
+@functools.lru_cache(maxsize=2)
+def _place_table(lane: int) -> np.ndarray:
+    return _draw(np.arange(PLACES << 8, dtype=np.uint64), lane)
+
+
 @functools.lru_cache(maxsize=8)
 def _powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, np.uint64)
@@ -100,17 +114,39 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
     def hashes(self, lane: int = 0) -> np.ndarray:
-        """64 bits per word, hashed block by block so that long texts need no large powers."""
+        """64 bits per word, block by block so that long texts need no large tables."""
         out = np.empty(len(self), np.uint64)
+        table = _place_table(lane)
         i = 0
         while i < len(self):
             j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + BLOCK, side="right")))
-            a, b = self.start[i], self.end[j - 1]
-            out[i:j] = range_hashes(self.data[a:b].astype(np.uint64) + np.uint64(1), self.start[i:j] - a, self.end[i:j] - a, BASES[lane])
+            a, b = int(self.start[i]), int(self.end[j - 1])
+            size = self.end[i:j] - self.start[i:j]
+            at = np.repeat(self.start[i:j] - a, size)
+            inner = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+            symbols = self.data[at + a + inner].astype(np.int64)
+            if int(size.max()) <= PLACES:
+                drawn = table[inner << 8 | symbols]
+            else:
+                drawn = table[np.minimum(inner, PLACES - 1) << 8 | symbols]
+                far = np.flatnonzero(inner >= PLACES)
+                drawn[far] = _draw((inner[far] << 8 | symbols[far]).astype(np.uint64), lane)
+            total = np.zeros(len(drawn) + 1, np.uint64)
+            np.cumsum(drawn, out=total[1:])
+            ends = np.cumsum(size)
+            out[i:j] = total[ends] - total[ends - size]
             i = j
         out += (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         return mix(out)
 
+    def ids(self) -> np.ndarray:
+        """A number per word, equal for equal words and for those only: the bytes are compared."""
+        size = self.end - self.start
+        at = np.repeat(self.start, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(self.data[at].tobytes())])
+        return parts.dictionary_encode().indices.to_numpy().astype(np.int64)
+
 
 def windows(words: Words, hashed: np.ndarray, size: int, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Start word and hash of every run of ``size`` words of one text."""

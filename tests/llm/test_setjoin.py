@@ -121,3 +121,31 @@ def test_one_of_each(odd_docs, odd_rows):
 
 def test_empty_table(no_docs):
     assert setjoin.components(no_docs).count() == 0 and setjoin.one_of_each(no_docs).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    """A link to the second text of a doc_id is a link to that doc_id."""
+    rng = random.Random(9)
+    t1, t2 = sentence(rng, 120, 5000), sentence(rng, 120, 5000)
+    near = t2.split()
+    near[60] = "other"
+    rows = [(3, t1), (5, t1), (5, t2), (9, " ".join(near)), (20, sentence(rng, 30)), (2**62, "a b"), (-7, "")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    low = [(-(2**62), t1), *rows]
+    assert found(spark.createDataFrame(low, "doc_id long, text string")) == brute(low)
+
+
+def test_words_built_by_doubling(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    rows = [(1, f"{a} " * 3 + f"{a} {b} {b} {a}"), (2, f"{b} " * 3 + f"{b} {a} {a} {b}"), (3, f"x {a}"), (4, f"x {b}"), (5, f"X {a}")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_hot_copies_and_ids_with_a_stride(spark, families, monkeypatch):
+    monkeypatch.setattr(setjoin, "HOT_COPIES", 3)
+    rows = [(r[0] * 2000, r[1]) for r in families] + [(10**6 * i, families[0][1]) for i in range(1, 30)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    spread = np.bincount(setjoin._bucket_of_id(np.arange(100_000) * 2000, 200), minlength=200)
+    assert spread.min() > 300 and spread.max() < 700

@@ -62,3 +62,13 @@ def test_planted_passages(spark, monkeypatch):
 
 def test_empty_table(no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
+
+
+def test_words_built_by_doubling_stay(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    rest = [f"w{i}" for i in range(59)]
+    rows = [(1, " ".join([*rest[:30], a, *rest[30:]])), (2, " ".join([*rest[:30], b, *rest[30:]]))]
+    cut = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r["n_removed"] for r in cut.orderBy("doc_id").collect()] == [0, 0]

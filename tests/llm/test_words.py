@@ -49,3 +49,27 @@ def test_gaps_and_digests_round_trip():
     a, b = packing.read_digests(packing.digest_planes(low, high, 11), 11)
     assert (a == low).all() and (b == high & np.uint64(0xFFFFFF)).all()
     assert packing.digest_width(10**13, 10**6) > packing.digest_width(10**6, 10)
+
+
+def doubled(n):
+    """Two words of 2**n bytes, each built by doubling and swapping, equal under every odd base modulo 2**64."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_built_by_doubling_differ():
+    for n in (1, 5, 10, 12):
+        words = W.Words(pa.array([" ".join(doubled(n))]))
+        for lane in (0, 1):
+            a, b = words.hashes(lane)
+            assert a != b
+        assert words.ids().tolist() == [0, 1]
+
+
+def test_ids_of_words(odd_rows):
+    words = W.Words(pa.array([r[1] for r in odd_rows], pa.string()))
+    names = [bytes(words.data[a:b]) for a, b in zip(words.start, words.end)]
+    assert len(set(zip(names, words.ids().tolist()))) == len(set(names)) == len(set(words.ids().tolist()))
+    assert W.Words(pa.array([None, ""], pa.string())).ids().tolist() == []
