@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bytecnn, decontam, mixing, neighbours, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
+from meterlake.llm import bytecnn, decontam, filter_audit, mixing, neighbours, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
 from meterlake.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -76,11 +76,15 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("similarity", 1 - F.col("distance") / F.col("item_words"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_url_verdicts, op3_repeated_passages, op4_warc_round_trip, op5_jaccard_classes,
-        op6_quality_scores, op7_token_counts, op8_nearest_vectors, op9_curve_shards, op10_benchmark_leaks,
+        op6_quality_scores, op7_token_counts, op8_nearest_vectors, op9_curve_shards, op10_benchmark_leaks, op12_filter_audit,
     )
 }
 
@@ -145,4 +149,37 @@ SELECT p.page_id, coalesce(h.host, '') AS host, coalesce(h.path, '') AS path, w.
 FROM pages p LEFT JOIN h ON p.url = h.url LEFT JOIN w ON p.url = w.url LEFT JOIN spread s ON p.url = s.url
 """
 
-SQL: dict[str, str] = {"op1_source_mix": SQL_MIX, "op2_url_verdicts": SQL_URLS}
+SQL_AUDIT = r"""
+WITH l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(d.doc_id > least, false)::INT AS mask
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+c AS (SELECT part, mask, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS own,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0)::INT AS earlier
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)),
+r AS (SELECT *, mask & own > 0 AS fails, mask & earlier > 0 AS gone FROM c, s)
+SELECT part, filter_order, step,
+  coalesce(sum(n) FILTER (WHERE NOT fails AND NOT gone), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (WHERE fails AND NOT gone), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (WHERE fails AND gone), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (WHERE mask = own), 0)::BIGINT AS unique_fails,
+  coalesce(sum(n) FILTER (WHERE fails AND NOT gone AND good = 1), 0)::BIGINT AS good_lost,
+  coalesce(sum(n) FILTER (WHERE fails AND NOT gone AND toxic = 1), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * 120 // greatest(1, bit_count(mask))) FILTER (WHERE fails), 0)::BIGINT AS shapley
+FROM r GROUP BY part, filter_order, step
+"""
+
+SQL: dict[str, str] = {"op1_source_mix": SQL_MIX, "op2_url_verdicts": SQL_URLS, "op12_filter_audit": SQL_AUDIT}
