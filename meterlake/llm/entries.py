@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bytecnn, decontam, filter_audit, mixing, neighbours, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
+from meterlake.llm import bytecnn, collocations, decontam, filter_audit, impact_index, mixing, neighbours, scratch, setjoin, sharding, substrings, token_prefix, url_rules, warc
 from meterlake.llm.shipping import ship
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -76,15 +76,24 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("similarity", 1 - F.col("distance") / F.col("item_words"))
 
 
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_url_verdicts, op3_repeated_passages, op4_warc_round_trip, op5_jaccard_classes,
-        op6_quality_scores, op7_token_counts, op8_nearest_vectors, op9_curve_shards, op10_benchmark_leaks, op12_filter_audit,
+        op6_quality_scores, op7_token_counts, op8_nearest_vectors, op9_curve_shards, op10_benchmark_leaks, op11_top_products, op12_filter_audit,
+        op13_phrase_collocations,
     )
 }
 
@@ -149,6 +158,17 @@ SELECT p.page_id, coalesce(h.host, '') AS host, coalesce(h.path, '') AS path, w.
 FROM pages p LEFT JOIN h ON p.url = h.url LEFT JOIN w ON p.url = w.url LEFT JOIN spread s ON p.url = s.url
 """
 
+SQL_PRODUCTS = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 SQL_AUDIT = r"""
 WITH l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
 d AS (
@@ -182,4 +202,36 @@ SELECT part, filter_order, step,
 FROM r GROUP BY part, filter_order, step
 """
 
-SQL: dict[str, str] = {"op1_source_mix": SQL_MIX, "op2_url_verdicts": SQL_URLS, "op12_filter_audit": SQL_AUDIT}
+SQL_PHRASES = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM i, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+h AS (SELECT * FROM f WHERE a >= 100),
+longer AS (
+  SELECT lang, m, a, unnest(list_distinct(flatten([[array_to_string(s[x:y], ' ') FOR y IN range(x + 1, m + 1) IF y - x + 1 < m] FOR x IN range(1, m)]))) AS phrase
+  FROM (SELECT *, string_split(phrase, ' ') AS s FROM h WHERE m > 2)),
+covered AS (SELECT DISTINCT h.lang, h.phrase FROM h JOIN longer q ON h.lang = q.lang AND h.phrase = q.phrase WHERE 100 * q.a >= 100 * h.a),
+c AS (
+  SELECT lang, m, phrase, a, string_split(phrase, ' ') AS s, unnest(range(1, m)) AS k
+  FROM h WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM covered v WHERE v.lang = h.lang AND v.phrase = h.phrase)),
+x AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, n.n,
+    (1000 * c.a::HUGEINT * n.n::HUGEINT // (l.a::HUGEINT * r.a::HUGEINT))::BIGINT AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(s[1:k], ' ') AND l.m = k
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(s[k + 1:], ' ') AND r.m = c.m - k
+  JOIN n ON n.lang = c.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM x)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM b WHERE place = 1)
+WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op1_source_mix": SQL_MIX, "op2_url_verdicts": SQL_URLS, "op11_top_products": SQL_PRODUCTS,
+    "op12_filter_audit": SQL_AUDIT, "op13_phrase_collocations": SQL_PHRASES}

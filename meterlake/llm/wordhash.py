@@ -71,7 +71,7 @@ class Words:
     first[i] to first[i + 1].  Null texts hold none.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, space: np.ndarray = _SPACE):
         texts = texts.cast(pa.large_string())
         lengths = np.asarray(texts.is_valid()) * 1
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
@@ -83,9 +83,9 @@ class Words:
         if len(texts) and not lengths.all():  # the bytes under a null are not promised to be none
             dead = np.flatnonzero(lengths == 0)
             if np.any(self.bounds[dead + 1] > self.bounds[dead]):
-                self.__init__(pa.array([x or "" for x in texts.to_pylist()], pa.large_string()), lower)
+                self.__init__(pa.array([x or "" for x in texts.to_pylist()], pa.large_string()), lower, space)
                 return
-        solid = ~_SPACE[self.data]
+        solid = ~space[self.data]
         before = np.empty(len(solid), bool)
         if len(solid):
             before[0] = False
@@ -139,13 +139,17 @@ class Words:
         out += (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         return mix(out)
 
-    def ids(self) -> np.ndarray:
-        """A number per word, equal for equal words and for those only: the bytes are compared."""
+    def names(self) -> pa.DictionaryArray:
+        """The bytes of each word, equal words once in the dictionary."""
         size = self.end - self.start
         at = np.repeat(self.start, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
         parts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(self.data[at].tobytes())])
-        return parts.dictionary_encode().indices.to_numpy().astype(np.int64)
+        return parts.dictionary_encode()
+
+    def ids(self) -> np.ndarray:
+        """A number per word, equal for equal words and for those only: the bytes are compared."""
+        return self.names().indices.to_numpy().astype(np.int64)
 
 
 def windows(words: Words, hashed: np.ndarray, size: int, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
