@@ -682,6 +682,26 @@ def _analyses() -> dict[str, str]:
         f"""SELECT Zone_ID, {q[0.05]} AS q05, {q[0.25]} AS q25, {q[0.5]} AS q50, {q[0.75]} AS q75, {q[0.95]} AS q95
         FROM bulk GROUP BY 1""",
     )
+    out["AG5_bracketed_quantiles"] = out["AG5_zone_quantiles_bulk"]
+    out["AG5_daily_sketches"] = using(
+        "bulk",
+        f"""SELECT Zone_ID, CAST(date_trunc('month', {t}) AS DATE) AS month, COUNT({P}) AS n, TRUE AS within
+        FROM bulk WHERE Zone_ID IS NOT NULL AND {P} IS NOT NULL GROUP BY 1, 2""",
+    )
+    out["AG9_merged_distinct"] = using(
+        "star_readings",
+        f"""SELECT Zone_ID AS zone_id, {I(f'year({t})')} AS year, {I(f'month({t})')} AS month, COUNT(DISTINCT Meter_ID) AS meters,
+        TRUE AS within FROM star_readings WHERE Zone_ID IS NOT NULL GROUP BY 1, 2, 3""",
+    )
+    out["W3_rank_counted"] = using(
+        "bulk", f"SELECT *, RANK() OVER (PARTITION BY Zone_ID ORDER BY {P} DESC NULLS LAST) AS power_rank FROM bulk"
+    )
+    out["W10_running_without_time"] = using(
+        "readings",
+        f"""SELECT _seq, ROW_NUMBER() OVER w AS reading_number, COUNT({P}) OVER w AS with_power FROM readings
+        WINDOW w AS (PARTITION BY Zone_ID ORDER BY CASE _seq % 3 WHEN 1 THEN TIMESTAMP '2024-01-01' WHEN 2 THEN {t} END
+        NULLS FIRST, _seq ROWS UNBOUNDED PRECEDING)""",
+    )
     out["AG10_distinct_bulk"] = using(
         "bulk",
         f"""SELECT Zone_ID, COUNT(*) AS readings, COUNT(DISTINCT Meter_ID) AS meters,

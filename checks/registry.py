@@ -14,7 +14,7 @@ from meterlake.functions import calendar
 from meterlake.functions.exact import exact_avg, exact_sum, rounded
 from meterlake.operators import analytics, clean, features, quality, star
 from meterlake.queries import audit, consumption, reports
-from meterlake.plans import ordered, quantiles
+from meterlake.plans import ordered, quantiles, sketches
 from meterlake.plans.splits import measure
 from meterlake.plans.staging import staging_root
 from meterlake.schema import ANALYTICS_COLUMNS, MEASURES
@@ -279,6 +279,50 @@ def _distinct_bulk(spark, d):
     )
 
 
+LOW_SPLIT = config.SplitPolicy(min_rows=1_000, max_groups=64, max_slices=64, map_rows=0)
+
+
+def _bracketed(spark, d):
+    """Quantiles by rank brackets, as groups beyond the value map take them."""
+    return quantiles.group_quantiles(bulk(spark, d), ["Zone_ID"], POWER, [0.05, 0.25, 0.5, 0.75, 0.95], policy=LOW_SPLIT)
+
+
+def _daily_sketches(spark, d):
+    """Monthly quantiles from daily sketches, told as being within one percent of their ranks."""
+    month, probs = F.trunc("day", "month").alias("month"), [0.05, 0.25, 0.5, 0.75, 0.95]
+    df = bulk(spark, d).filter("Zone_ID IS NOT NULL")
+    days = sketches.daily_sketches(df, ["Zone_ID"], "Timestamp", POWER)
+    months = sketches.sketch_quantiles(sketches.merged(days, ["Zone_ID", month]), probs)
+    dated = df.withColumn("month", F.trunc(F.to_date("Timestamp"), "month"))
+    return sketches.rank_within(dated, ["Zone_ID", "month"], POWER, months, probs)
+
+
+def _merged_distinct(spark, d):
+    """Meters per zone and month from merged daily sketches: within three percent of the exact count."""
+    f = star_fact(spark, d).filter("zone_id IS NOT NULL")
+    months = star.zone_month_meters(star.zone_day_meter_sketches(f))
+    exact = f.groupBy("zone_id", F.year("timestamp").alias("year"), F.month("timestamp").alias("month")).agg(
+        F.count_distinct("meter_id").alias("meters")
+    )
+    near = F.abs(F.col("meter_estimate") - F.col("meters")) <= 0.03 * F.col("meters")
+    return exact.join(months, ["zone_id", "year", "month"]).select("zone_id", "year", "month", "meters", near.alias("within"))
+
+
+def _rank_counted(spark, d):
+    """Ranks in zones taken as hot, of values that very many readings share."""
+    b = bulk(spark, d)
+    return ordered.rank_desc(b, ["Zone_ID"], POWER, "power_rank", measure(b, ["Zone_ID"], POWER, LOW_SPLIT))
+
+
+def _running_without_time(spark, d):
+    """Numbers and running counts in zones taken as hot, where most times are missing or equal."""
+    t = F.when(F.col("_seq") % 3 == 1, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).when(F.col("_seq") % 3 == 2, F.col("Timestamp"))
+    r = readings(spark, d).select("_seq", "Zone_ID", t.alias("Timestamp"), POWER)
+    s = measure(r, ["Zone_ID"], "Timestamp", LOW_SPLIT)
+    sums = {"reading_number": F.lit(1), "with_power": F.when(F.col(POWER).isNotNull(), 1).otherwise(0)}
+    return ordered.running(r, ["Zone_ID"], ["Timestamp", "_seq"], sums, s).select("_seq", "reading_number", "with_power")
+
+
 def _json_round_trip(spark, d):
     return ingest.decode(ingest.encode(readings(spark, d))).select(
         "Timestamp", "Meter_ID", "Zone_ID", *MEASURES
@@ -645,6 +689,11 @@ QUERIES = {
     "E12_overview": _on(analytics.overview, readings),
     # generic operators and larger input
     "AG5_zone_quantiles_bulk": _zone_quantiles_bulk,
+    "AG5_bracketed_quantiles": _bracketed,
+    "AG5_daily_sketches": _daily_sketches,
+    "AG9_merged_distinct": _merged_distinct,
+    "W3_rank_counted": _rank_counted,
+    "W10_running_without_time": _running_without_time,
     "AG10_distinct_bulk": _distinct_bulk,
     "M1_daily_by_meter_bulk": _on(star.daily_by_meter, bulk),
     "E8_top_meters_bulk": _on(analytics.top_meters, bulk),

@@ -11,6 +11,7 @@ from meterlake.functions.exact import exact_avg, exact_sum, rounded
 from meterlake.operators.clean import METER, SEQ, TIME, iqr_bounds, outside_bounds
 from meterlake.operators.quality import quality_report, range_violations
 from meterlake.plans.joins import with_group, with_scalars
+from meterlake.plans.sketches import distinct_sketch, merged_distinct
 
 POWER, ZONE = "Active_Power_kW", "Zone_ID"
 
@@ -254,6 +255,18 @@ def agg_hourly_zone_consumption(fact: DataFrame) -> DataFrame:
     )
 
 
+def zone_day_meter_sketches(fact: DataFrame) -> DataFrame:
+    """Opt-in beside the exact count: a mergeable sketch of a zone's meters per day."""
+    grain = fact.filter("meter_id IS NOT NULL").groupBy(F.to_date("timestamp").alias("reading_date"), "zone_id")
+    return grain.agg(distinct_sketch("meter_id").alias("meter_sketch"))
+
+
+def zone_month_meters(sketches: DataFrame) -> DataFrame:
+    """Estimated meters per zone and month from the stored days; no reading is read again."""
+    dated = sketches.withColumns({"year": F.year("reading_date"), "month": F.month("reading_date")})
+    return merged_distinct(dated, ["zone_id", "year", "month"], "meter_sketch", "meter_estimate")
+
+
 def agg_monthly_consumption(fact: DataFrame) -> DataFrame:
     """Monthly totals and the mean, largest and smallest day, from daily totals."""
     daily = fact.groupBy(

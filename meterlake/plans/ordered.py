@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from meterlake.plans.splits import SLICE, Splits, null_safe
+from meterlake.plans.splits import SLICE, Splits, measure, null_safe
+from meterlake.plans.staging import stage
 
 FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
@@ -42,27 +43,25 @@ def running(
 ) -> DataFrame:
     """Running sums from the group's first row to the current one, in ``order``.
 
-    ``totals`` are sums over the whole group.  ``order`` starts with the column
-    the splits were measured on.
+    ``totals`` are sums over the whole group.
     """
     keys, totals = list(keys), totals or {}
-    if not splits.any:
+
+    def plain(rows: DataFrame) -> DataFrame:
         w = _spec(keys, order).rowsBetween(FIRST, 0)
         whole = Window.partitionBy(*keys)
-        return df.withColumns(
+        return rows.withColumns(
             {n: F.sum(c).over(w) for n, c in sums.items()}
             | {n: F.sum(c).over(whole) for n, c in totals.items()}
         )
 
-    sliced = splits.assign(df)
-    w = _spec([*keys, SLICE], order).rowsBetween(FIRST, 0)
-    own = sliced.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
-    if totals:
-        # Ordinary groups take the window; hot ones take the summary below.
-        whole = Window.partitionBy(*keys, SLICE)
-        own = own.withColumns({n: F.sum(c).over(whole) for n, c in totals.items()})
+    if not splits.any:
+        return plain(df)
 
-    per_slice = splits.hot(df).groupBy(*keys, SLICE).agg(
+    hot = splits.hot(df, order)
+    w = _spec([*keys, SLICE], order).rowsBetween(FIRST, 0)
+    own = hot.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
+    per_slice = hot.groupBy(*keys, SLICE).agg(
         *[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()],
         *[F.sum(c).alias(f"_all_{n}") for n, c in totals.items()],
     )
@@ -71,7 +70,6 @@ def running(
     summary = per_slice.select(
         *keys,
         SLICE,
-        F.lit(True).alias("_hot"),
         *[F.sum(f"_sum_{n}").over(before).alias(f"_pre_{n}") for n in sums],
         *[F.sum(f"_all_{n}").over(whole).alias(f"_tot_{n}") for n in totals],
     )
@@ -81,29 +79,42 @@ def running(
         out[n] = F.when(F.col(f"_pre_{n}").isNull(), F.col(n)).otherwise(
             F.coalesce(F.col(n), F.col(f"_pre_{n}") * 0) + F.col(f"_pre_{n}")
         )
-    for n in totals:
-        out[n] = F.when(F.col("_hot"), F.col(f"_tot_{n}")).otherwise(F.col(n))
-    drop = [f"_pre_{n}" for n in sums] + [f"_tot_{n}" for n in totals] + ["_hot", SLICE]
-    return joined.withColumns(out).drop(*drop)
+    out |= {n: F.col(f"_tot_{n}") for n in totals}
+    drop = [f"_pre_{n}" for n in sums] + [f"_tot_{n}" for n in totals] + [SLICE]
+    return plain(splits.cold(df)).unionByName(joined.withColumns(out).drop(*drop))
 
 
 def rank_desc(df: DataFrame, keys, value: str, name: str, splits: Splits) -> DataFrame:
-    """RANK by ``value`` descending, NULLs last.  Splits are on ``value``."""
+    """RANK by ``value`` descending, NULLs last.
+
+    With hot groups the rank is counted: equal values become one row with their
+    number, the rows with greater values are a running sum over those, and each row looks
+    up its value.  So a value that most rows share is one row.
+    """
     keys = list(keys)
-    by = [F.col(value).desc_nulls_last()]
     if not splits.any:
-        return df.withColumn(name, F.rank().over(_spec(keys, by)))
-    own = splits.assign(df).withColumn(name, F.rank().over(_spec([*keys, SLICE], by)))
-    above = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc()).rowsBetween(FIRST, -1)
-    summary = (
-        splits.hot(df)
-        .groupBy(*keys, SLICE)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, SLICE, F.sum("_n").over(above).alias("_above"))
+        return df.withColumn(name, F.rank().over(_spec(keys, [F.col(value).desc_nulls_last()])))
+    counted = stage(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    v = F.col(value)
+    # NaN is the greatest value; NULL comes last.
+    place = F.when(v.isNull(), 2).when(F.isnan(v.cast("double")), 0).otherwise(1)
+    keyed = counted.withColumns({"_place": place, "_down": F.when(place == 1, -v)})
+    upto = running(keyed, keys, ["_place", "_down"], {"_upto": F.col("_n")}, measure(keyed, keys, "_down", splits.policy))
+    names = [f"_g{i}" for i in range(len(keys) + 1)]
+    ranks = upto.select(
+        *[F.col(c).alias(n) for c, n in zip((*keys, value), names)], (F.col("_upto") - F.col("_n") + 1).alias("_rank"), "_n"
     )
-    joined = _attach(own, summary, keys)
-    shifted = (F.col(name) + F.coalesce("_above", F.lit(0))).alias(name)
-    return joined.withColumn(name, shifted).drop("_above", SLICE)
+    # Values of very many rows are few, so their rows stay where they are.
+    total = counted.agg(F.sum("_n")).first()[0] or 0
+    many = F.col("_n") > max(splits.policy.min_rows // 8, total // splits.policy.max_groups)
+    ranks = stage(ranks, "value-ranks")
+    frequent = F.broadcast(ranks.filter(many).drop("_n"))  # at most max_groups rows
+    pairs = list(zip((*keys, value), names))
+    found = df.join(frequent, null_safe(df, frequent, pairs), "left").drop(*names)
+    rest = found.filter("_rank IS NULL").drop("_rank")
+    seldom = ranks.filter(~many).drop("_n")
+    looked_up = rest.join(seldom, null_safe(rest, seldom, pairs), "left").drop(*names)
+    return found.filter("_rank IS NOT NULL").unionByName(looked_up).withColumnRenamed("_rank", name)
 
 
 def fill(
@@ -123,14 +134,18 @@ def fill(
     def down(c, w):
         return F.first(c, ignorenulls=True).over(w.rowsBetween(FIRST, LAST))
 
-    if not splits.any:
+    def plain(rows: DataFrame) -> DataFrame:
         w = _spec(keys, order)
-        return df.withColumns(
+        return rows.withColumns(
             {c: F.coalesce(up(c, w), down(c, w)) if backward else up(c, w) for c in columns}
         )
 
+    if not splits.any:
+        return plain(df)
+
+    hot = splits.hot(df, order)
     at = F.struct(*order)
-    per_slice = splits.hot(df).groupBy(*keys, SLICE).agg(
+    per_slice = hot.groupBy(*keys, SLICE).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in columns],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in columns],
     )
@@ -143,15 +158,16 @@ def fill(
         *[F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_post_{c}") for c in columns],
     )
     w = _spec([*keys, SLICE], order)
-    own = splits.assign(df).withColumns(
+    own = hot.withColumns(
         {f"_up_{c}": up(c, w) for c in columns} | {f"_down_{c}": down(c, w) for c in columns}
     )
     joined = _attach(own, summary, keys)
     sources = ("_up_", "_pre_", "_down_", "_post_") if backward else ("_up_", "_pre_")
     drop = [f"{p}{c}" for c in columns for p in ("_up_", "_down_", "_pre_", "_post_")]
-    return joined.withColumns(
+    filled = joined.withColumns(
         {c: F.coalesce(*[f"{p}{c}" for p in sources]) for c in columns}
     ).drop(*drop, SLICE)
+    return plain(splits.cold(df)).unionByName(filled)
 
 
 def frames(
@@ -177,7 +193,7 @@ def frames(
         return df.withColumns(plain)
 
     slab = max(slab, before, after, 1)
-    numbered = running(splits.hot(df).drop(SLICE), keys, order, {"_pos": F.lit(1)}, splits)
+    numbered = running(splits.hot_rows(df), keys, order, {"_pos": F.lit(1)}, splits)
     at, here = F.col("_pos") - 1, F.col("_slab")
     numbered = numbered.withColumn("_slab", F.floor(at / slab))
     homes = F.array_compact(

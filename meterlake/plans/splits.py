@@ -2,15 +2,16 @@
 
 ``Window.partitionBy(meter).orderBy(ts)`` puts one meter into one task.  If one
 meter holds a third of the readings, so does that task.  ``measure`` finds such
-hot groups with one narrow aggregate, and cuts each of them at approximate
-quantiles of the ordering column.  Where the cuts fall only affects balance,
-never results: slices are contiguous in the ordering, and the operators in
-``ordered`` carry what crosses a cut.
-
-The driver only receives hot keys and their cuts, and both are bounded by
-``SplitPolicy.max_groups`` at any data size.  Keeping the cuts as plain values
-also means that every branch of a plan sees the same ones.  Ordinary data has no
-hot group: then one count is all it costs, and plans are the plain windows.
+hot groups with one narrow aggregate.  Their rows are then range-partitioned by
+the whole order, of any columns, with a number of its own for each row as the last
+of them: so a time that repeats without end and readings without a time are cut
+like any others.  Each range is a slice; it is stored, so that every branch of a plan sees the
+same slices.  Where the cuts fall only affects balance, never results: slices are
+contiguous in the ordering, and the operators in ``ordered`` carry what crosses a cut.
+
+The driver only receives hot keys, bounded by ``SplitPolicy.max_groups`` at any data
+size.  Ordinary data has no hot group: then one count is all it costs, and plans
+are the plain windows.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlake import config
+from meterlake.plans.staging import stage
 
 SLICE = "_slice"
-_CUTS = "_cuts"
+_ROW = "_row_number"
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs) -> Column:
@@ -37,59 +39,37 @@ def null_safe(left: DataFrame, right: DataFrame, pairs) -> Column:
 
 @dataclass(frozen=True)
 class Splits:
-    """Cuts of the hot groups of one (keys, order) pair."""
+    """Hot groups of one (keys, order) pair, and into how many slices their rows go."""
 
     keys: tuple[str, ...]
     order: str
     rows: tuple = ()
     schema: T.StructType | None = field(default=None, compare=False)
+    slices: int = 1
+    policy: config.SplitPolicy = config.SPLIT
 
     @property
     def any(self) -> bool:
         return bool(self.rows)
 
-    def table(self, df: DataFrame) -> DataFrame:
-        """Hot keys as k0, k1, ... with their cuts; at most max_groups rows."""
-        return F.broadcast(df.sparkSession.createDataFrame(list(self.rows), self.schema))
+    def _joined(self, df: DataFrame, how: str) -> DataFrame:
+        """``df`` with the hot keys, named k0, k1, ...; at most max_groups rows."""
+        table = F.broadcast(df.sparkSession.createDataFrame(list(self.rows), self.schema))
+        on = null_safe(df, table, [(k, f"k{i}") for i, k in enumerate(self.keys)])
+        return df.join(table, on, how).select(df.columns)
 
-    def _on(self, df: DataFrame, table: DataFrame) -> Column:
-        return null_safe(df, table, [(k, f"k{i}") for i, k in enumerate(self.keys)])
+    def hot_rows(self, df: DataFrame) -> DataFrame:
+        return self._joined(df, "inner")
 
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the slice number: 0 for ordinary groups."""
-        if not self.any:
-            return df.withColumn(SLICE, F.lit(0))
-        table = self.table(df)
-        joined = df.join(table, self._on(df, table), "left")
-        return joined.withColumn(SLICE, self._slice()).drop(_CUTS, *table.columns)
-
-    def hot(self, df: DataFrame) -> DataFrame:
-        """Only the rows of hot groups, with their slice number."""
-        table = self.table(df)
-        joined = df.join(table, self._on(df, table), "inner")
-        return joined.withColumn(SLICE, self._slice()).drop(_CUTS, *table.columns)
+    def hot(self, df: DataFrame, order=None) -> DataFrame:
+        """The rows of hot groups with the number of their slice, stored."""
+        order = list(order or [self.order])
+        rows = self.hot_rows(df).withColumn(_ROW, F.monotonically_increasing_id())
+        cut = rows.repartitionByRange(self.slices, *self.keys, *order, _ROW).drop(_ROW)
+        return stage(cut.withColumn(SLICE, F.spark_partition_id()), "slices")
 
     def cold(self, df: DataFrame) -> DataFrame:
-        if not self.any:
-            return df
-        table = self.table(df)
-        return df.join(table, self._on(df, table), "left_anti")
-
-    def _slice(self) -> Column:
-        """How many cuts are <= the ordering value, by bisection."""
-        longest = max(len(r[-1]) for r in self.rows)
-        steps, step = [], 1 << (longest.bit_length() - 1)
-        while step:
-            steps.append(F.lit(step))
-            step >>= 1
-        cuts, value = F.col(_CUTS), F.col(self.order)
-
-        def advance(at, step):
-            reached = (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) <= value)
-            return F.when(reached, at + step).otherwise(at)
-
-        found = F.aggregate(F.array(*steps), F.lit(0), advance)
-        return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
+        return self._joined(df, "left_anti") if self.any else df
 
 
 def none(keys, order: str) -> Splits:
@@ -106,9 +86,7 @@ def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
 def measure(
     df: DataFrame, keys, order: str, policy: config.SplitPolicy = config.SPLIT
 ) -> Splits:
-    """Find hot groups: a row count, for large tables one narrow aggregate of
-    group sizes, and only if there are hot groups a sketch of those.
-    """
+    """Find hot groups: a row count, and for large tables one narrow aggregate of group sizes."""
     keys = tuple(keys)
     if df.count() <= policy.min_rows:  # reads file footers only, where it can
         return none(keys, order)
@@ -121,30 +99,8 @@ def measure(
 
     names = [f"k{i}" for i in range(len(keys))]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(
-        counts.filter(F.col("_n") > limit).select(
-            *[F.col(k).alias(n) for k, n in zip(keys, names)], "_n"
-        )
-    )
-    parts = min(policy.max_slices, math.ceil(largest / limit))
-    grid = [i / parts for i in range(1, parts)] or [0.5]
-    sketch = (
-        df.join(hot, null_safe(df, hot, list(zip(keys, names))), "inner")
-        .groupBy(*names)
-        .agg(
-            F.percentile_approx(order, grid, max(10_000, 4 * parts)).alias(_CUTS),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        .withColumn("_step", F.greatest(F.lit(1), F.floor(F.lit(parts) * limit / F.col("_n"))))
-        .withColumn(
-            _CUTS,
-            F.array_sort(
-                F.array_distinct(
-                    F.filter(F.col(_CUTS), lambda x, i: (i + 1) % F.col("_step") == 0)
-                )
-            ),
-        )
-        .filter(F.size(_CUTS) > 0)
-        .select(*names, _CUTS)
-    )
-    return Splits(keys, order, tuple(tuple(r) for r in sketch.collect()), sketch.schema)
+    hot = counts.filter(F.col("_n") > limit).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_n").alias("_hot_rows"))
+    rows = hot.collect()
+    # Ranges are cut by a sample; half as large ones leave room for its error.
+    slices = min(policy.max_slices, math.ceil(2 * sum(r["_hot_rows"] for r in rows) / limit))
+    return Splits(keys, order, tuple(tuple(r) for r in rows), hot.schema, slices, policy)
