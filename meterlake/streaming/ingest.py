@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -187,14 +187,29 @@ class ProgressCounts(StreamingQueryListener):
         return dict(self._totals.get(str(query.id), {"batches": 0, "rows_in": 0, "rows_out": 0}))
 
 
-def progress_counts(query) -> dict[str, int]:
-    """Rows in and rows kept by the query's sink in the reports the query still holds.
+def counted_sink(df: DataFrame, path: str, counts: str, checkpoint: str, every: str | None = None):
+    """Rows to ``path`` and their number to ``counts``, both in a folder named by the batch.
 
-    Those are the latest ones; for totals of a long stream register ``ProgressCounts``.
+    The numbers are observed while the rows are written and lie beside them in storage, so they
+    outlive the process.  A batch that is repeated after a failure replaces its rows and its numbers: nothing
+    is lost or counted twice over any number of restarts.
     """
-    reports = [p for p in query.recentProgress if p]
-    return {
-        "batches": len(reports),
-        "rows_in": sum(int(p["numInputRows"]) for p in reports),
-        "rows_out": sum(max(int(p["sink"].get("numOutputRows", 0)), 0) for p in reports),
-    }
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        kept = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+        kept.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        row = [(number, int(seen.get["rows"]))]
+        spark = batch.sparkSession
+        spark.createDataFrame(row, "batch_id long, rows long").coalesce(1).write.mode("overwrite").parquet(f"{counts}/batch={number}")
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, every).start()
+
+
+def durable_counts(spark: SparkSession, counts: str) -> dict[str, int]:
+    """Batches and rows of every run of a stream that wrote its numbers to ``counts``."""
+    row = spark.read.schema("batch_id long, rows long").parquet(f"{counts}/batch=*").agg(
+        F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
+    )
+    return row.first().asDict()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake import config
-from meterlake.functions.exact import exact_avg, exact_sum, out_of_range
+from meterlake.functions.exact import exact_avg, exact_sum, joined, lanes, out_of_range
 from meterlake.operators.clean import METER, TIME
 
 POWER, ZONE = "Active_Power_kW", "Zone_ID"
@@ -58,18 +58,32 @@ def daily_by_meter(df: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
+def panes(df: DataFrame, delay: str = "1 hour", size: str = "1 hour") -> DataFrame:
+    """Sums and counts of tumbling windows, from which longer windows are put together."""
+    fixed, rest = lanes(POWER)
+    aggs = [F.sum(fixed).alias("_fixed"), F.sum(rest).alias("_rest"), F.count(POWER).alias("_n")]
+    return event_time(df, delay).groupBy(F.window(TIME, size).alias("_pane")).agg(*aggs)
+
+
 def sliding_average(
     df: DataFrame, delay: str = "1 hour", size: str = "24 hours", slide: str = "1 hour"
 ) -> DataFrame:
     """Mean power over a span of time, moved on by ``slide``.
 
-    A span of time, not a number of rows, so it differs from the row-based mean.
+    Two aggregates in a row, in append mode: each reading enters one pane of length
+    ``slide``, and the closed panes, not the readings, enter the windows they lie in.
+    ``size`` is a multiple of ``slide``.  A span of time, not a number of rows, so it
+    differs from the row-based mean.
     """
-    out = _windowed(event_time(df, delay), [], size, slide, [exact_avg(POWER).alias("avg_power_kw")])
+    span = F.window(F.window_time("_pane"), size, slide).alias("_w")
+    out = panes(df, delay, slide).groupBy(span).agg(
+        F.sum("_fixed").alias("_fixed"), F.sum("_rest").alias("_rest"), F.sum("_n").alias("_n")
+    )
+    mean = F.try_divide(joined(F.col("_fixed"), F.col("_rest")), F.col("_n"))
     return out.select(
         F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("_w.end").cast("timestamp_ntz").alias("window_end"),
-        "avg_power_kw",
+        mean.alias("avg_power_kw"),
     )
 
 
