@@ -524,6 +524,18 @@ def _aggregates() -> dict[str, str]:
         "J10_band_lookup": using(
             "fact", f"SELECT reading_id, {I(profile.format(v=V))} AS load_profile_id FROM fact"
         ),
+        "J10_many_bands": using(
+            "readings",
+            f"""WITH b AS (SELECT p_partkey AS band, (p_retailprice - 900) / 50 AS x FROM part), c AS (
+            SELECT band, CASE WHEN band % 400 <> 0 THEN x END AS lo, CASE WHEN band % 400 <> 1 THEN x + (band % 9) / 40.0::DOUBLE END AS hi FROM b)
+            SELECT _seq AS reading_id, COUNT(band) AS bands, MIN(band) AS first_band FROM readings LEFT JOIN c
+            ON {P} IS NOT NULL AND (lo IS NULL OR {P} >= lo) AND (hi IS NULL OR {P} < hi) GROUP BY 1""",
+        ),
+        "J11_second_delivery": using(
+            "readings",
+            f"""SELECT CAST({TS} AS DATE) AS reading_date, Meter_ID AS meter_id, Zone_ID AS zone_id, {R(S(P), 6)} AS total_kwh,
+            COUNT(*) AS reading_count FROM readings GROUP BY 1, 2, 3""",
+        ),
         "M9_quality_log": using(
             "readings",
             f"""WITH f AS (SELECT {DATA_SQL}, {_flag([P])} AS is_anomaly FROM readings, {_fences([P], 'readings')}),

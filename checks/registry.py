@@ -12,9 +12,10 @@ from checks import fixtures as fx
 from meterlake import config
 from meterlake.functions import calendar
 from meterlake.functions.exact import exact_avg, exact_sum, rounded
-from meterlake.operators import analytics, clean, features, quality, star
+from meterlake.operators import analytics, clean, features, increments, quality, star
 from meterlake.queries import audit, consumption, reports
 from meterlake.plans import ordered, quantiles, sketches
+from meterlake.plans.bands import join_bands
 from meterlake.plans.splits import measure
 from meterlake.plans.staging import staging_root
 from meterlake.schema import ANALYTICS_COLUMNS, MEASURES
@@ -323,6 +324,31 @@ def _running_without_time(spark, d):
     return ordered.running(r, ["Zone_ID"], ["Timestamp", "_seq"], sums, s).select("_seq", "reading_number", "with_power")
 
 
+def _many_bands(spark, d):
+    """Readings of the fact table with each of many overlapping bands made from the parts' prices."""
+    p = fx.load(spark, d, "part")
+    low = (F.col("p_retailprice") - 900) / 50
+    bands = p.select(
+        F.col("p_partkey").alias("band"), F.when(F.col("p_partkey") % 400 != 0, low).alias("_lo"),
+        F.when(F.col("p_partkey") % 400 != 1, low + (F.col("p_partkey") % 9) / 40).alias("_hi"),
+    )
+    rows = fact(spark, d).select("reading_id", "active_power_kw")
+    found = join_bands(rows, bands, "active_power_kw")
+    return found.groupBy("reading_id").agg(F.count("band").alias("bands"), F.min("band").alias("first_band"))
+
+
+def _second_delivery(spark, d):
+    """Daily totals of a star schema that got its readings in two deliveries, some of them in both."""
+    r = clean.flag_outliers(light(spark, d), [POWER])
+    half = r.agg(F.expr("CAST(min(Timestamp) AS TIMESTAMP) + (CAST(max(Timestamp) AS TIMESTAMP) - CAST(min(Timestamp) AS TIMESTAMP)) / 2")).first()[0]
+    path = f"{staging_root(spark)}/increments/star_{uuid.uuid4().hex}"
+    cut = F.col("Timestamp").cast("timestamp")
+    increments.merge_delivery(spark, r.filter(cut < half), path)
+    increments.merge_delivery(spark, r.filter((cut >= half) | (F.col("_seq") % 10 == 0)), path)
+    daily = spark.read.parquet(f"{path}/agg_daily_consumption")
+    return daily.select("reading_date", "meter_id", "zone_id", rounded("total_consumption_kwh", 6).alias("total_kwh"), "reading_count")
+
+
 def _json_round_trip(spark, d):
     return ingest.decode(ingest.encode(readings(spark, d))).select(
         "Timestamp", "Meter_ID", "Zone_ID", *MEASURES
@@ -661,6 +687,8 @@ QUERIES = {
     "M8_fact": _fact_sample,
     "M8_insert_absent": _insert_absent,
     "J10_band_lookup": _band_lookup,
+    "J10_many_bands": _many_bands,
+    "J11_second_delivery": _second_delivery,
     "M9_quality_log": lambda s, d: star.quality_log(clean.flag_outliers(readings(s, d), [POWER])),
     "M9_anomaly_records": _on(star.anomaly_records, readings),
     "M10_current_meter_status": _on(star.current_meter_status, star_fact, star_meters, star_zones),

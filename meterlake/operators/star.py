@@ -10,6 +10,7 @@ from meterlake.functions import calendar, electrical
 from meterlake.functions.exact import exact_avg, exact_sum, rounded
 from meterlake.operators.clean import METER, SEQ, TIME, iqr_bounds, outside_bounds
 from meterlake.operators.quality import quality_report, range_violations
+from meterlake.plans.bands import join_bands
 from meterlake.plans.joins import with_group, with_scalars
 from meterlake.plans.sketches import distinct_sketch, merged_distinct
 
@@ -105,19 +106,24 @@ def insert_absent(existing: DataFrame, new: DataFrame, keys) -> DataFrame:
     return existing.unionByName(fresh.select(existing.columns))
 
 
+#: Up to so many profiles each value is compared with every one; beyond, bins are joined.
 MOST_PROFILES = 1_000
 
 
 def band_lookup(df: DataFrame, profiles: DataFrame, value: str = "active_power_kw") -> DataFrame:
-    """Load profile whose [min, max) holds the value.  Profiles are a handful, which is checked."""
+    """Load profile whose [min, max) holds the value; an end that is NULL is open."""
     if profiles.limit(MOST_PROFILES + 1).count() > MOST_PROFILES:
-        raise ValueError(f"more than {MOST_PROFILES} load profiles")
+        bands = profiles.select(
+            "load_profile_id", F.col("min_power_kw").alias("_lo"), F.col("max_power_kw").alias("_hi")
+        )
+        return join_bands(df, bands, value)
     p = F.broadcast(
         profiles.select(
             "load_profile_id", F.col("min_power_kw").alias("_lo"), F.col("max_power_kw").alias("_hi")
         )
     )
-    hit = (df[value] >= p["_lo"]) & (df[value] < p["_hi"])
+    above, below = df[value] >= p["_lo"], df[value] < p["_hi"]
+    hit = df[value].isNotNull() & (p["_lo"].isNull() | above) & (p["_hi"].isNull() | below)
     return df.join(p, hit, "left").drop("_lo", "_hi")
 
 
