@@ -58,8 +58,8 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_prefix.prefix_table(docs, vocabulary_path(), keep_prefixes=False)
-    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+    store = scratch.write(token_prefix.prefix_table(docs, vocabulary_path()), "token-prefixes")
+    return token_prefix.read_counts(store, 1024)
 
 
 def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ encoding the two together leaves them as they are.  Texts are cut at the vocabul
 borders into units (white space and what follows it), whose prefix counts do not depend on the
 rest of the text and are kept for reuse.  Per text the result is a string of one signed byte per
 character: the change of the count at that character.  Truncation and budget questions are
-running sums over it (``count_at``, ``longest_prefix``) and need no second encoding.
+running sums over it (``count_at``, ``longest_prefix``) and need no second encoding: ``read_counts`` answers
+them from the stored table.
 
 Defined cases: null counts as the empty text (0 bytes, 0 tokens); the vocabulary's special strings
 inside a text are one token, counted at their last character, with the count of the cut
@@ -26,8 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.wordhash import slices
+
 #: Units kept per worker; beyond it the store starts anew (results do not depend on it).
 UNITS = 400_000
+#: Bytes of text, or of stored prefixes, worked on at a time.
+BATCH_BYTES = 4 << 20
 PAIRS = 400_000
 STATES = 600_000
 #: Longer units are computed each time instead of kept.
@@ -248,6 +253,26 @@ def longest_prefix(deltas: bytes, budget: int) -> int:
     return int(fits[-1]) + 1 if len(fits) else 0
 
 
+def read_counts(store: DataFrame, budget: int) -> DataFrame:
+    """``store`` without its prefixes, with n_tokens, over_limit (more than ``budget`` tokens) and
+    fitting_chars (the longest prefix within the budget), all from the stored counts."""
+    rest = [c for c in store.columns if c not in ("prefixes", "n_tokens", "over_limit", "fitting_chars")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "prefixes", BATCH_BYTES):
+                n_tokens, fitting = [], []
+                for x in part.column("prefixes"):
+                    d = zlib.decompress(x.as_py())
+                    n_tokens.append(count_at(d, len(d)))
+                    fitting.append(len(d) if n_tokens[-1] <= budget else longest_prefix(d, budget))
+                cols = [pa.array(n_tokens, pa.int64()), pa.array([n > budget for n in n_tokens]), pa.array(fitting, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *cols], [*rest, "n_tokens", "over_limit", "fitting_chars"])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in store.select(*rest).schema]
+    return store.select(*rest, "prefixes").mapInArrow(run, ", ".join([*fields, "n_tokens long", "over_limit boolean", "fitting_chars long"]))
+
+
 def prefix_table(docs: DataFrame, path: str, keep_prefixes: bool = True) -> DataFrame:
     """``docs`` without its text, with n_bytes, n_tokens and (zlib) ``prefixes``.
 
@@ -257,21 +282,22 @@ def prefix_table(docs: DataFrame, path: str, keep_prefixes: bool = True) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counter(path)
-        for batch in batches:
-            n_bytes, n_tokens, prefixes = [], [], []
-            for x in batch.column("text"):
-                text = x.as_py() or ""
-                d = table.deltas(text)
-                n_bytes.append(len(text.encode()))
-                n_tokens.append(int(np.frombuffer(d, np.int8).sum(dtype=np.int64)))
+        for whole in batches:
+            for batch in slices(whole, "text", BATCH_BYTES):
+                n_bytes, n_tokens, prefixes = [], [], []
+                for x in batch.column("text"):
+                    text = x.as_py() or ""
+                    d = table.deltas(text)
+                    n_bytes.append(len(text.encode()))
+                    n_tokens.append(int(np.frombuffer(d, np.int8).sum(dtype=np.int64)))
+                    if keep_prefixes:
+                        prefixes.append(zlib.compress(d, 1))
+                cols = [batch.column(c) for c in rest] + [pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())]
+                names = rest + ["n_bytes", "n_tokens"]
                 if keep_prefixes:
-                    prefixes.append(zlib.compress(d, 1))
-            cols = [batch.column(c) for c in rest] + [pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())]
-            names = rest + ["n_bytes", "n_tokens"]
-            if keep_prefixes:
-                cols.append(pa.array(prefixes, pa.binary()))
-                names.append("prefixes")
-            yield pa.RecordBatch.from_arrays(cols, names)
+                    cols.append(pa.array(prefixes, pa.binary()))
+                    names.append("prefixes")
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     fields = docs.select(*rest).schema
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_bytes long", "n_tokens long"] + ["prefixes binary"] * keep_prefixes)

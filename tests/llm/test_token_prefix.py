@@ -62,3 +62,13 @@ def test_white_space_before_apostrophes(library):
         d = table.deltas(text)
         for k in range(len(text) + 1):
             assert T.count_at(d, k) == library(text[:k]), (text, k)
+
+
+def test_answers_come_from_the_store(odd_docs, odd_rows, no_docs, library):
+    docs = odd_docs.drop("starts").select("doc_id", "text")
+    for budget in (3, 1024):
+        rows = T.read_counts(T.prefix_table(docs, vocabulary_path()), budget).collect()
+        want = sorted((r[0] or 0, library(r[1] or "")) for r in odd_rows)
+        assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in rows) == want
+        assert all(r["over_limit"] == (r["n_tokens"] > budget) for r in rows)
+    assert T.read_counts(T.prefix_table(no_docs.select("doc_id", "text"), vocabulary_path()), 7).count() == 0
