@@ -19,10 +19,10 @@ P = "Active_Power_kW"
 
 
 def _lanes(x: str) -> tuple[str, str]:
-    """A value as decimal where that keeps it to a millionth, else as double."""
+    """A value as decimal where that keeps it to a millionth, and as double what is left, or else all of it."""
     v, d = f"CAST({x} AS DOUBLE)", f"TRY_CAST({x} AS DECIMAL(18,7))"
     close = f"coalesce(abs(CAST({d} AS DOUBLE) - {v}) <= abs({v}) * 1e-6, false)"
-    return f"CASE WHEN {close} THEN {d} END", f"CASE WHEN NOT {close} THEN {v} END"
+    return f"CASE WHEN {close} THEN {d} END", f"CASE WHEN {close} THEN {v} - CAST({d} AS DOUBLE) ELSE {v} END"
 
 
 def _joined(fixed: str, rest: str) -> str:

@@ -49,8 +49,10 @@ def run(
     log = _Log()
 
     def ingest():
-        df, _ = files.ingest(spark, csv_path)
+        df, failures = files.ingest(spark, csv_path)
         df = stage(df, "ingested")
+        # Cells that had text but no usable value, per column.
+        tables.save_parquet(failures, f"{out_dir}/reports/conversion", by_date=False)
         tables.save_parquet(quality.quality_report(df), f"{out_dir}/reports/ingestion", by_date=False)
         return df, df.count(), "success", None
 

@@ -3,10 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterlake import config
-from meterlake.functions import calendar, electrical
+from meterlake.functions import calendar, electrical, exact
 from meterlake.functions.exact import clip, exact_avg, exact_sum, out_of_range, rounded, safe_divide
 from meterlake.operators import analytics, clean, features, quality, star
 from meterlake.plans import splits
@@ -327,3 +328,17 @@ def test_next_reading_is_strictly_later(spark):
     df = frame(spark, (0, "a", "z", {}), (0, "a", "z", {}), (15, "a", "z", {}), (45, "a", "z", {}))
     rows = audit.reading_gaps(star.fact_table(df), star.dim_meter(df)).collect()
     assert [(r.time_gap_minutes, r.gap_type) for r in rows] == [(30, "Missing readings")]
+
+
+@pytest.mark.parametrize("order", ["id", "-id", "hash(id)"])
+def test_sums_keep_every_digit(spark, order):
+    """Values with more than seven decimals are summed whole, in any order."""
+    rows = spark.range(1000).selectExpr("id", "0.12345675D AS v").orderBy(F.expr(order))
+    got = rows.agg(exact.exact_sum("v").alias("s"), exact.exact_avg("v").alias("a")).first()
+    assert got["s"] == 123.45675 and got["a"] == 0.12345675
+    mixed = rows.select(F.when(F.col("id") % 2 == 0, 1.0 / 3).when(F.col("id") % 5 == 0, 1e15).otherwise(4e-9).alias("v"))
+    want = 500 / 3 + 100 * 1e15 + 400 * 4e-9
+    assert abs(mixed.agg(exact.exact_sum("v")).first()[0] - want) <= abs(want) * 1e-15
+    w = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    last = spark.range(1000).selectExpr("id", "0.12345675D AS v").withColumn("s", exact.exact_over("v", w)).filter("id = 999").first()
+    assert last["s"] == 123.45675
