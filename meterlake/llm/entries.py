@@ -127,16 +127,38 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+def _sql_tidy(path: str) -> str:
+    own = f"regexp_extract({path}, '(?s)^([^?#]*)', 1)"
+    left = f"""list_reduce(list_prepend([]::VARCHAR[], list_transform(string_split({own}, '/')[2:], lambda s: [s])),
+      lambda a, x: CASE x[1] WHEN '.' THEN a WHEN '..' THEN a[1:len(a) - 1] ELSE list_concat(a, x) END)"""
+    end = f"CASE WHEN string_split({own}, '/')[-1] IN ('.', '..') AND len({left}) > 0 THEN '/' ELSE '' END"
+    return f"'/' || array_to_string({left}, '/') || {end} || regexp_extract({path}, '(?s)^[^?#]*(.*)$', 1)"
+
+
+def _sql_resolved(link: str, base: str) -> str:
+    origin = f"regexp_extract({base}, '(?s)^([^:/?#]+://[^/?#]*)', 1)"
+    path = f"regexp_extract({base}, '(?s)^[^:/?#]+://[^/?#]*([^?#]*)', 1)"
+    folder = f"coalesce(nullif(regexp_extract({path}, '(?s)^(.*/)', 1), ''), '/')"
+    return f"""CASE WHEN regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN CASE WHEN contains({link}, '://') THEN {link} END
+      WHEN {origin} = '' OR {base} IS NULL OR {link} = '' OR starts_with({link}, '#') THEN NULL
+      WHEN starts_with({link}, '//') THEN regexp_extract({base}, '(?s)^([^:/?#]+:)', 1) || {link}
+      WHEN starts_with({link}, '/') THEN {origin} || {_sql_tidy(link)}
+      WHEN starts_with({link}, '?') THEN {origin} || {path} || {link}
+      ELSE {origin} || {_sql_tidy(f"({folder} || {link})")} END"""
+
+
 SQL_URLS = r"""
 WITH RECURSIVE r(action, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
   ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
-links AS (
-  SELECT DISTINCT url AS a, unnest(
+tags AS (
+  SELECT url, replace(regexp_extract(html, '(?is)<base\b[^>]*\bhref=["'']?([^"''\s>]+)', 1), '&amp;', '&') AS tag, unnest(
     regexp_extract_all(html, '(?is)<link\b[^>]*\brel=["'']?canonical\b[^>]*\bhref=["'']?([^"''\s>]+)', 1)
     || regexp_extract_all(html, '(?is)<link\b[^>]*\bhref=["'']?([^"''\s>]+)["'']?[^>]*\brel=["'']?canonical\b', 1)
     || regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv=["'']?refresh\b[^>]*\burl=["'']?([^"''\s>]+)', 1)
-    || regexp_extract_all(html, '(?is)<meta\b[^>]*\burl=["'']?([^"''\s>]+)["'']?[^>]*\bhttp-equiv=["'']?refresh\b', 1)) AS b
-  FROM pages),
+    || regexp_extract_all(html, '(?is)<meta\b[^>]*\burl=["'']?([^"''\s>]+)["'']?[^>]*\bhttp-equiv=["'']?refresh\b', 1)) AS raw
+  FROM pages WHERE url IS NOT NULL),
+bases AS (SELECT url, replace(raw, '&amp;', '&') AS link, CASE WHEN tag = '' THEN url ELSE coalesce(<tag>, url) END AS base FROM tags),
+links AS (SELECT DISTINCT url AS a, <link> AS b FROM bases),
 e AS (SELECT a, b FROM links WHERE contains(b, '://') AND a IS NOT NULL
   UNION SELECT b, a FROM links WHERE contains(b, '://') AND a IS NOT NULL),
 reach(a, b) AS (SELECT a, a FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
@@ -156,7 +178,7 @@ spread AS (
 SELECT p.page_id, coalesce(h.host, '') AS host, coalesce(h.path, '') AS path, w.rule,
   coalesce(w.action, CASE WHEN by_alias THEN 'block' END, 'allow') AS verdict
 FROM pages p LEFT JOIN h ON p.url = h.url LEFT JOIN w ON p.url = w.url LEFT JOIN spread s ON p.url = s.url
-"""
+""".replace("<tag>", _sql_resolved("tag", "url")).replace("<link>", _sql_resolved("link", "base"))
 
 SQL_PRODUCTS = r"""
 WITH v AS (

@@ -6,6 +6,10 @@ canonical address are aliases: connected components over those edges.  An addres
 blocked if its component holds a blocked address and no allowed one; an address with a rule of its
 own keeps that rule, so an explicit allow always stands.
 
+Links that a page declares are resolved as a browser does: against the page's address or its base tag,
+with relative paths, dot segments, and addresses that begin with ``//``, ``/`` or ``?``; ``&amp;`` is read as
+``&``.  A link to a place in the page itself, or of another kind than ``scheme://``, is no alias.
+
 Defined cases: a null address or one without ``://`` has empty host and path and no rule, and is
 allowed; addresses are judged once each, so repeated rows agree; edges with a null end are left
 out; an empty table gives an empty result; other columns of ``pages`` are not carried.
@@ -36,6 +40,10 @@ LINK_TAGS = (
 )
 
 
+_BASE_TAG = r"""(?is)<base\b[^>]*\bhref=["']?([^"'\s>]+)"""
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
 def host_of(url: Column) -> Column:
     host = F.coalesce(F.regexp_extract(url, _PARTS, 1), F.lit(""))
     return F.translate(host, string.ascii_uppercase, string.ascii_lowercase)
@@ -45,11 +53,46 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _PARTS, 2), F.lit(""))
 
 
+def _tidy(path: Column) -> Column:
+    """A path from the root without dot segments; what follows it (query, fragment) stays."""
+    own = F.regexp_extract(path, r"(?s)^([^?#]*)", 1)
+    parts = F.split(own, "/")
+    inner = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    left = F.aggregate(inner, F.array().cast("array<string>"), step)
+    open_end = F.element_at(parts, -1).isin(".", "..") & (F.size(left) > 0)
+    return F.concat(F.lit("/"), F.array_join(left, "/"), F.when(open_end, "/").otherwise(""), F.regexp_extract(path, r"(?s)^[^?#]*(.*)$", 1))
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """The address that ``link`` means on a page at ``base``; null if it means none."""
+    origin = F.regexp_extract(base, r"(?s)^([^:/?#]+://[^/?#]*)", 1)
+    path = F.regexp_extract(base, r"(?s)^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    folder = F.when(folder == "", "/").otherwise(folder)
+    return (
+        F.when(link.rlike(_SCHEME), F.when(link.contains("://"), link))
+        .when((origin == "") | base.isNull() | (link == "") | link.startswith("#"), F.lit(None))
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^([^:/?#]+:)", 1), link))
+        .when(link.startswith("/"), F.concat(origin, _tidy(link)))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .otherwise(F.concat(origin, _tidy(F.concat(folder, link))))
+    )
+
+
 def declared_links(pages: DataFrame) -> DataFrame:
     """Edges ``a``, ``b`` between a page's address and the addresses it declares in its html."""
     links = F.concat(*[F.coalesce(F.regexp_extract_all("html", F.lit(p), 1), F.array().cast("array<string>")) for p in LINK_TAGS])
-    near = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv=.?refresh"))
-    found = near.select(F.col("url").alias("a"), F.explode(links).alias("b"))
+    near = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv=.?refresh")).where("url IS NOT NULL")
+    plain = lambda c: F.replace(c, F.lit("&amp;"), F.lit("&"))
+    tag = plain(F.regexp_extract("html", _BASE_TAG, 1))
+    base = F.when(tag == "", F.col("url")).otherwise(F.coalesce(resolved(tag, F.col("url")), F.col("url")))
+    found = near.select(F.col("url").alias("a"), base.alias("base"), F.explode(links).alias("link"))
+    found = found.select("a", resolved(plain(F.col("link")), F.col("base")).alias("b"))
     return found.where(F.col("b").contains("://"))
 
 

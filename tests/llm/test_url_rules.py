@@ -82,3 +82,50 @@ def test_block_spreads_to_aliases_and_allow_stands(spark):
 
 def test_empty_table(spark):
     assert judged(spark, [])[1] == 0
+
+
+LINKS = [
+    "x", "../x", "./x?q=../1", "/", "/a/../b/./c", "../../../x", "a/b/..", "a/.", "..", "?q=1", "//h.net/es/y", "//h.net", "https://o.net/p/../q",
+    "/a//b", "x/y#z/../w", "a;b/../c",
+]
+
+
+def test_links_are_resolved_like_a_browser(spark):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    bases = ["http://a.net/p/q/r.html?x=1#f", "https://a.net/", "http://a.net/dir/", "http://a.net/one"]
+    df = spark.createDataFrame([(b, x) for b in bases for x in LINKS], "base string, link string")
+    got = df.select("base", "link", url_rules.resolved(F.col("link"), F.col("base")).alias("r")).collect()
+    for r in got:
+        assert r["r"] == (r["link"] if "://" in r["link"] else urljoin(r["base"], r["link"])), (r["base"], r["link"])
+    none = spark.createDataFrame([("mailto:a@b.c", "http://a.net/"), ("", "http://a.net/"), ("#top", "http://a.net/"), ("x", None), ("x", "no base"), (None, "http://a.net/")], "link string, base string")
+    assert [r[0] for r in none.select(url_rules.resolved(F.col("link"), F.col("base"))).collect()] == [None] * 6
+
+
+def test_redirect_table_against_sql(spark, tmp_path):
+    """Relative and scheme-relative links, a base tag, chains and an explicit allow, in Spark and in SQL."""
+    import duckdb
+
+    from meterlake.llm import entries
+
+    canonical = '<head><link rel="canonical" href="{}"></head>'
+    refresh = "<META content='0;url={}' HTTP-EQUIV=refresh>"
+    rows = [
+        (1, "http://a.net/es/x", None), (2, "http://a.org/1", canonical.format("//a.net/es/x")), (3, "http://a.net/de/2", canonical.format("../es/x")),
+        (4, "http://b.net/p/q", canonical.format("/fr/z")), (5, "http://c.org/5", refresh.format("http://a.org/1")), (6, "http://d.org/6", refresh.format("/7")),
+        (7, "http://d.org/7", refresh.format("http://c.org/5")), (8, "http://e.com/8", canonical.format("//f.net/es/")), (9, "http://g.org/9", canonical.format("http://e.com/8")),
+        (10, "http://h.org/a?x=1&y=2", None), (11, "http://h.org/b", canonical.format("/a?x=1&amp;y=2")), (12, "http://i.org/c", canonical.format("http://h.org/b")),
+        (13, "http://j.org/d", "<base href='http://k.net/fr/'>" + canonical.format("e")), (14, None, canonical.format("//a.net/es/x")), (15, "odd", canonical.format("//a.net/es/x")),
+        (16, "http://l.org/f", canonical.format("#here")), (17, "http://l.org/g", canonical.format("mailto:x")), (7, "http://d.org/7", None),
+    ]
+    extra = "page_id long, url string, html string"
+    spark.createDataFrame(rows, extra).coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(map(tuple, entries.op2_url_verdicts(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()), key=repr)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({entries.SQL_URLS})").fetchall(), key=repr)
+    assert got == want
+    verdict = {r[0]: r[4] for r in got}
+    assert [i for i in sorted(verdict) if verdict[i] == "block"] == [1, 2, 3, 4, 5, 6, 7, 13]
