@@ -44,8 +44,6 @@ BATCH_BYTES = 2 << 20
 BROADCAST_ROWS = 1_000_000
 #: Shingles verified together in one task; larger clusters are cut into blocks.
 CLUSTER_SHINGLES = 2_000_000
-#: Sets verified together, as above.
-CLUSTER_SETS = 4_000
 #: Digests held by more rows than this (and than a 100,000th of all rows) are at most so many as can be broadcast.
 HOT_COPIES, HOT_DIGESTS = 1_000, 100_000
 #: Cost model: price of a light subset, which meets others by chance, in digests sent.
@@ -455,7 +453,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     # Large clusters are cut into blocks, and every two blocks meet.
     sized = clusters.join(classes.where("doc_id = head").select("doc_id", "n_shingles").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id")
     load = sized.groupBy("cluster").agg(
-        (F.floor(F.greatest(F.sum("n_shingles") / F.lit(CLUSTER_SHINGLES // 2), F.count(F.lit(1)) / F.lit(CLUSTER_SETS // 2))) + 1).cast("int").alias("blocks")
+        (F.floor(F.sum("n_shingles") / F.lit(CLUSTER_SHINGLES // 2)) + 1).cast("int").alias("blocks")
     )
     load = load.withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
     where = clusters.join(load, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
