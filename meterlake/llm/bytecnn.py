@@ -1,15 +1,14 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-A text is a row of symbols: its UTF-8 bytes, each marked when its word repeats the word before.
-Learned filters slide over the symbols; each chunk of two blocks (every block is in two chunks)
+A text is a row of symbols: its UTF-8 bytes.  Learned filters slide over the symbols; each chunk of two blocks (every block is in two chunks)
 keeps the largest response of each filter; the mean over all chunks of the whole text goes
 through one logistic unit.  A filter over one-hot symbols is a sum of table rows, so scoring is
 a few lookups per byte.
 
-Training: at most ``SAMPLE`` labelled rows, those of least md5, outside the held-out fold, each
-with at most ``CHUNKS`` chunks spread evenly over its text; about ``STEPS`` steps of Adam on the
-logistic loss.  Only
-these bounded cuttings reach the driver.  Scoring covers every byte.
+Training: at most ``SAMPLE`` labelled rows, those of least md5, outside the held-out fold, and of
+those as many as have ``SAMPLE_BYTES`` bytes together (the first always); about ``STEPS`` steps of Adam on
+the logistic loss over all chunks of their whole texts.  Only these bounded rows reach the driver.
+Training and scoring cover every byte of a text.
 
 Defined cases: a null text counts as empty, which is one chunk of padding; labels that are null
 or neither 0 nor 1 are left out, and of repeated labels of one doc_id the smaller counts; without
@@ -24,19 +23,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.wordhash import Words, slices
+from meterlake.llm.wordhash import slices
 
 SAMPLE = 4000
-CHUNKS = 8
+SAMPLE_BYTES = 24 << 20
 STEPS = 1000
 BATCH = 48
 WIDTH = 6
 FILTERS = 12
 BLOCK = 128
-PAD = 512
+PAD = 256
 CUT = 0.3
 FOLDS = 5
 _SPAN = 1 << 19
@@ -63,18 +63,14 @@ class Network:
 
 
 def symbol_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all texts, one after another, and the bounds of each text."""
-    words = Words(texts)
-    hashed = words.hashes()
-    again = np.zeros(len(words), bool)
-    again[1:] = hashed[1:] == hashed[:-1]
-    again[words.first[:-1][words.first[:-1] < len(words)]] = False
-    symbols = words.data.astype(np.int16)
-    edge = np.zeros(len(symbols) + 1, np.int8)
-    edge[words.start[again]] += 1
-    edge[words.end[again]] -= 1  # ends and starts differ: white space or a text lies between
-    symbols += np.cumsum(edge[:-1], dtype=np.int16) * 256
-    return symbols, words.bounds
+    """Symbols of all texts, one after another, and the bounds of each text; null is empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(texts):
+        return np.zeros(0, np.int16), np.zeros(1, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw.astype(np.int16), offsets - offsets[0]
 
 
 def _block_peaks(net: Network, symbols: np.ndarray) -> np.ndarray:
@@ -174,36 +170,35 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def _cuttings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def chunks_of(text: bytes) -> np.ndarray:
+    """All chunks of a text, each with the symbols that its last filters reach into."""
     width = 2 * BLOCK + WIDTH - 1
-    for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
-            symbols, bounds = symbol_rows(part.column("text"))
-            rows = []
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                n = max(1, -(-(b - a) // BLOCK) - 1)
-                picked = np.unique(np.linspace(0, n - 1, min(n, CHUNKS)).astype(int))
-                out = np.full((len(picked), width), PAD, np.int16)
-                for i, k in enumerate(picked):
-                    piece = symbols[a + k * BLOCK : min(b, a + k * BLOCK + width)]
-                    out[i, : len(piece)] = piece
-                rows.append(out.tobytes())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), part.column("text_key"), pa.array(rows, pa.binary())], ["doc_id", "quality", "text_key", "cut"])
+    n = max(1, -(-len(text) // BLOCK) - 1)
+    padded = np.full((n - 1) * BLOCK + width, PAD, np.int16)
+    padded[: len(text)] = np.frombuffer(text, np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(padded, width)[::BLOCK]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | None:
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    picked = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
+    order = F.md5(F.col("doc_id").cast("string"))
+    picked = known.orderBy(order, "doc_id").limit(sample)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("text_key"))
-    texts = texts.join(F.broadcast(picked), "doc_id")  # at most ``sample`` rows of two numbers
-    cut = texts.select("doc_id", "quality", "text_key", "text").mapInArrow(_cuttings, "doc_id long, quality int, text_key long, cut binary")
-    rows = cut.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min_by("cut", "text_key").alias("cut")).collect()
+    # One text of each doc_id; sizes come first, at most ``sample`` rows of four numbers.
+    near = texts.join(F.broadcast(picked), "doc_id")
+    sized = near.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct("text_key", F.octet_length("text").alias("n"))).alias("_t"))
+    rows = sized.select("doc_id", "quality", "_t.text_key", "_t.n", order.alias("place")).collect()
+    rows.sort(key=lambda r: (r["place"], r["doc_id"]))
+    total = np.cumsum([r["n"] for r in rows])
+    rows = [r for i, r in enumerate(rows) if i == 0 or total[i] <= SAMPLE_BYTES]
     if not rows:
         return None
+    chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["text_key"]) for r in rows], "doc_id long, text_key long")
+    found = texts.join(F.broadcast(chosen), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    whole = {r["doc_id"]: r["text"].encode() for r in found.select("doc_id", "text").collect()}
     rows.sort(key=lambda r: r["doc_id"])
-    chunks = [np.frombuffer(r["cut"], np.int16).reshape(-1, 2 * BLOCK + WIDTH - 1) for r in rows]
-    return train(chunks, np.array([r["quality"] for r in rows], np.float32))
+    return train([chunks_of(whole[r["doc_id"]]) for r in rows], np.array([r["quality"] for r in rows], np.float32))
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:

@@ -66,3 +66,27 @@ def test_without_labels(odd_docs, spark):
     assert bytecnn.fit(odd_docs, labels) is None
     assert {r["score"] for r in bytecnn.score(odd_docs, None).collect()} == {0.5}
     assert bytecnn.keep_good(odd_docs, None).count() == odd_docs.count()
+
+
+def test_chunks_cover_whole_texts():
+    for n in (0, 1, 127, 128, 129, 256, 257, 1000, 5000):
+        text = bytes(range(256)) * (n // 256 + 1)
+        chunks = bytecnn.chunks_of(text[:n])
+        assert len(chunks) == max(1, -(-n // bytecnn.BLOCK) - 1)
+        seen = np.concatenate([chunks[0], *[c[-bytecnn.BLOCK :] for c in chunks[1:]]])
+        assert bytes(seen[:n].astype(np.uint8)) == text[:n] and (seen[n:] == bytecnn.PAD).all()
+
+
+def test_the_end_of_a_long_text_teaches(spark):
+    """Labels that only the last bytes of long texts tell apart."""
+    import random
+
+    from samples import sentence
+
+    rng = random.Random(6)
+    rows = [(i, sentence(rng, 1500) + (" zzqzz!" if i % 2 else " plain."), i % 2) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    net = bytecnn.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int"))
+    p = net.probability(bytecnn._pool(net, *bytecnn.symbol_rows(pa.array([r[1] for r in rows]))))
+    y = np.array([r[2] for r in rows])
+    assert (p[y == 1][:, None] > p[y == 0][None, :]).mean() > 0.9
