@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake import config
 from meterlake.functions import calendar, electrical
-from meterlake.functions.exact import exact_avg, exact_sum, rounded
+from meterlake.functions.exact import exact_avg, exact_sum, joined, lanes, rounded
 from meterlake.operators.clean import METER, SEQ, TIME, iqr_bounds, outside_bounds
 from meterlake.operators.quality import quality_report, range_violations
 from meterlake.plans.bands import join_bands
@@ -246,15 +246,18 @@ def agg_hourly_zone_consumption(fact: DataFrame) -> DataFrame:
     """Distinct meters per zone and hour come from a (zone, hour, meter) pre-aggregate."""
     power = F.col("active_power_kw")
     hour = calendar.trunc("hour", "timestamp")
+    fixed, rest = lanes(power)
     grain = fact.groupBy(hour.alias("reading_hour"), "zone_id", "meter_id").agg(
-        exact_sum(power).alias("_s"),
+        F.sum(fixed).alias("_fixed"),
+        F.sum(rest).alias("_rest"),
         F.count(power).alias("_n"),
         F.max(power).alias("_hi"),
         F.min(power).alias("_lo"),
     )
+    total = joined(F.sum("_fixed"), F.sum("_rest"))
     return grain.groupBy("reading_hour", "zone_id").agg(
-        exact_sum("_s").alias("total_consumption_kwh"),
-        F.try_divide(exact_sum("_s"), F.sum("_n")).alias("avg_power_kw"),
+        total.alias("total_consumption_kwh"),
+        F.try_divide(total, F.sum("_n")).alias("avg_power_kw"),
         F.max("_hi").alias("max_power_kw"),
         F.min("_lo").alias("min_power_kw"),
         F.count("meter_id").alias("meter_count"),
