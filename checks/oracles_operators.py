@@ -199,6 +199,11 @@ def _cleaning() -> dict[str, str]:
             o - c AS duplicates_removed, f AS outliers_flagged, {PCT('c', 'o')} AS data_quality_score FROM n""",
         ),
         "C7_loose_range_report": using("readings", " UNION ALL ".join(loose)),
+        "C8_zscore_flags": using(
+            "readings",
+            f"""SELECT _seq, coalesce(abs({P} - m) / NULLIF(s, 0) > 3, false) AS is_zscore_outlier
+            FROM readings, (SELECT AVG({P}) AS m, STDDEV_SAMP({P}) AS s FROM readings)""",
+        ),
         "C8_zscore_outliers": using(
             "readings",
             f"""SELECT Zone_ID, {COUNT_IF(f'abs({P} - m) / NULLIF(s, 0) > 3')} AS outliers, COUNT(*) AS readings

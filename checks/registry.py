@@ -642,6 +642,7 @@ QUERIES = {
     "C7_simple_clean_report": _simple_report,
     "C7_loose_range_report": _on(clean.loose_range_report, readings),
     "C8_zscore_outliers": _zscore,
+    "C8_zscore_flags": lambda s, d: clean.flag_zscore(readings(s, d), POWER).select("_seq", "is_zscore_outlier"),
     # features
     "F1_temporal_and_season": _temporal,
     "F1_temporal_all_months": _star_temporal,

@@ -57,8 +57,8 @@ def run(
         return df, df.count(), "success", None
 
     def cleaning():
-        df = stage(clean.clean_readings(log_input["raw"], mode), "cleaned", by=[clean.METER])
-        report = clean.clean_report(log_input["raw"], df, clean.keep_first(log_input["raw"]))
+        df = stage(clean.clean_readings(log_input["raw"], mode), "cleaned", by=[clean.METER], rows=log.last)
+        report = clean.clean_report(log_input["raw"], df, df)  # cleaning removes copies and nothing else
         tables.save_parquet(report, f"{out_dir}/reports/cleaning", by_date=False)
         tables.save_csv(df, f"{out_dir}/csv/cleaned")
         return df, df.count(), "success", None
@@ -100,6 +100,7 @@ def run(
             tables.save_json(result, f"{out_dir}/analyses/{name}")
         on_readings = catalog.STANDARD | catalog.DETAILED
         metrics = catalog.run(df, f"{out_dir}/queries", queries=on_readings)
+        catalog.create_views(log_input["star"])
         metrics = metrics.union(catalog.run(log_input["star"], f"{out_dir}/queries", queries=catalog.STAR))
         catalog.append_metrics(metrics, f"{out_dir}/query_metrics")
         # An audit that finds nothing is a good result.

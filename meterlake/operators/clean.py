@@ -13,7 +13,7 @@ from meterlake.plans import ordered
 from meterlake.plans.joins import scalar_row, with_scalars
 from meterlake.plans.quantiles import wide_quantiles
 from meterlake.plans.splits import Splits, measure
-from meterlake.plans.staging import stage, stage_observed
+from meterlake.plans.staging import bucket_count, stage, stage_observed
 from meterlake.schema import float_columns, numeric_columns, require
 
 METER, TIME, SEQ = "Meter_ID", "Timestamp", "_seq"
@@ -61,7 +61,7 @@ def fill_missing(df: DataFrame, columns=None, splits: Splits | None = None) -> D
     splits = splits or measure(df, [METER], TIME)
     filled = ordered.fill(df, [METER], time_order(df), columns, splits)
     gaps = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
-    filled, left = stage_observed(filled, "filled", gaps, by=None if splits.any else [METER])
+    filled, left = stage_observed(filled, "filled", gaps, by=None if splits.any else [METER], rows=splits.total)
     open_columns = [c for c in columns if left[c]]
     if not open_columns:
         return filled
@@ -276,7 +276,7 @@ def clean_readings(df: DataFrame, mode: str = "compat", columns=None) -> DataFra
     if splits.any:
         unique = keep_first(df)
     else:
-        unique = keep_first(df.repartition(METER), few_copies=True)
+        unique = keep_first(df.repartition(bucket_count(df.sparkSession, splits.total), METER), few_copies=True)
     filled = fill_missing(unique, columns, splits)
     return flag_outliers(repair_ranges(filled, mode=mode), columns)
 

@@ -47,6 +47,8 @@ class Splits:
     schema: T.StructType | None = field(default=None, compare=False)
     slices: int = 1
     policy: config.SplitPolicy = config.SPLIT
+    #: Rows of the measured table.
+    total: int = 0
 
     @property
     def any(self) -> bool:
@@ -72,8 +74,8 @@ class Splits:
         return self._joined(df, "left_anti") if self.any else df
 
 
-def none(keys, order: str) -> Splits:
-    return Splits(tuple(keys), order)
+def none(keys, order: str, total: int = 0) -> Splits:
+    return Splits(tuple(keys), order, total=total)
 
 
 def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
@@ -88,19 +90,20 @@ def measure(
 ) -> Splits:
     """Find hot groups: a row count, and for large tables one narrow aggregate of group sizes."""
     keys = tuple(keys)
-    if df.count() <= policy.min_rows:  # reads file footers only, where it can
-        return none(keys, order)
+    rows = df.count()  # reads file footers only, where it can
+    if rows <= policy.min_rows:
+        return none(keys, order, rows)
     total, largest = group_sizes(df, keys)
     if largest <= policy.min_rows:
-        return none(keys, order)
+        return none(keys, order, total)
     limit = max(policy.min_rows, math.ceil(total / policy.max_groups))
     if largest <= limit:
-        return none(keys, order)
+        return none(keys, order, total)
 
     names = [f"k{i}" for i in range(len(keys))]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > limit).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_n").alias("_hot_rows"))
-    rows = hot.collect()
+    found = hot.collect()
     # Ranges are cut by a sample; half as large ones leave room for its error.
-    slices = min(policy.max_slices, math.ceil(2 * sum(r["_hot_rows"] for r in rows) / limit))
-    return Splits(keys, order, tuple(tuple(r) for r in rows), hot.schema, slices, policy)
+    slices = min(policy.max_slices, math.ceil(2 * sum(r["_hot_rows"] for r in found) / limit))
+    return Splits(keys, order, tuple(tuple(r) for r in found), hot.schema, slices, policy, total)

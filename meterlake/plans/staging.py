@@ -35,7 +35,18 @@ def staging_root(spark: SparkSession) -> str:
 _staged: list[tuple[str, str | None]] = []
 
 
-def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+#: Rows of a bucket of a staged table, about; and buckets at most, which bounds the files.
+BUCKET_ROWS, MOST_BUCKETS = 2_000_000, 20_000
+
+
+def bucket_count(spark: SparkSession, rows: int | None) -> int:
+    """Buckets for a table of so many rows: at least the session's partitions, and more as it grows."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MOST_BUCKETS, -(-(rows or 0) // BUCKET_ROWS)))
+
+
+def stage(df: DataFrame, name: str, by: list[str] | None = None, rows: int | None = None) -> DataFrame:
+    """Store and read back.  ``rows``, if known, sets the number of buckets."""
     spark = df.sparkSession
     key = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
     path = f"{staging_root(spark)}/meterlake/{key}"
@@ -44,18 +55,18 @@ def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
         writer.save(path)
         _staged.append((path, None))
         return spark.read.schema(df.schema).parquet(path)
-    # One file per bucket: the rows are already hashed by the same columns.
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One file per bucket where the rows are already hashed by the same columns into as many parts.
+    buckets = bucket_count(spark, rows)
     table = f"staged_{key}"
     writer.bucketBy(buckets, *by).option("path", path).saveAsTable(table)
     _staged.append((path, table))
     return spark.table(table)
 
 
-def stage_observed(df: DataFrame, name: str, metrics: list, by: list[str] | None = None):
+def stage_observed(df: DataFrame, name: str, metrics: list, by: list[str] | None = None, rows: int | None = None):
     """Stage, and return aggregates observed while writing: they need no further scan."""
     seen = Observation()
-    staged = stage(df.observe(seen, *metrics), name, by)
+    staged = stage(df.observe(seen, *metrics), name, by, rows)
     return staged, seen.get
 
 

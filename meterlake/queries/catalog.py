@@ -118,7 +118,14 @@ VIEWS: dict[str, Query] = {
     "vw_current_meter_status": lambda s: star.current_meter_status(s.fact, s.meters, s.zones),
     "vw_daily_consumption_comparison": lambda s: star.daily_consumption_comparison(s.daily, s.zones),
     "vw_peak_hour_performance": lambda s: star.peak_hour_performance(s.fact),
-    **{f"vw_{n}": STAR[n] for n in ("daily_by_meter", "zone_summary", "anomalies_by_meter", "rank_in_zone", "reading_gaps", "quality_overview")},
+    "vw_anomaly_summary_by_meter": lambda s: q.anomaly_summary_by_meter(s.fact, s.meters),
+    **{
+        f"vw_{n}": STAR[n]
+        for n in (
+            "daily_by_meter", "monthly_trend", "peak_by_season", "zone_summary", "anomalies_by_meter",
+            "load_category_distribution", "out_of_range_summary", "rank_in_zone", "reading_gaps", "quality_overview",
+        )
+    },
 }
 
 
