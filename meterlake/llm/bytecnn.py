@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.shipping import shipped
 from meterlake.llm.wordhash import slices
 
 SAMPLE = 4000
@@ -179,6 +180,7 @@ def chunks_of(text: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, width)[::BLOCK]
 
 
+@shipped
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | None:
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
@@ -201,6 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | N
     return train([chunks_of(whole[r["doc_id"]]) for r in rows], np.array([r["quality"] for r in rows], np.float32))
 
 
+@shipped
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted``."""
     keep = [c for c in docs.columns if c not in ("score", "predicted")]
@@ -218,6 +221,7 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.select(*keep).mapInArrow(run, schema)
 
 
+@shipped
 def keep_good(docs: DataFrame, net: Network | None) -> DataFrame:
     """The rows of ``docs`` that the network does not reject, with all their columns."""
     if net is None:

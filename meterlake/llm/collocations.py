@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm import scratch
-from meterlake.llm.shipping import ship
+from meterlake.llm.shipping import shipped
 from meterlake.llm.wordhash import Words, mix, slices
 
 LEAST, LONGEST, RANKED = 100, 5, 2000
@@ -127,6 +127,7 @@ def _count_words(docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([p.langs.take(pa.array(p.lang[first])), words, pa.array(n)], ["lang", "phrase", "n"])
 
 
+@shipped
 def word_counts(docs: DataFrame) -> DataFrame:
     """lang, phrase (one word), a: its count."""
     sent = docs.select("lang", "text").mapInArrow(_count_words, "lang string, phrase string, n long")
@@ -164,6 +165,7 @@ def _word_slots(bits: int):
     return run
 
 
+@shipped
 def frequent_pairs(docs: DataFrame, words: DataFrame, least: int = LEAST, bits: tuple[int, int] = (WORD_BITS, PAIR_BITS)) -> tuple[bytes, bytes]:
     """Bit tables of the words counted ``least`` times, and of the slots of pairs counted so often."""
     spark = docs.sparkSession
@@ -192,6 +194,7 @@ def _phrase_keys(ids: np.ndarray, start: np.ndarray, words: int) -> np.ndarray:
     return found
 
 
+@shipped
 def edges_and_ends(docs: DataFrame, word_bits: bytes, pair_bits: bytes, longest: int = LONGEST) -> DataFrame:
     """lang, phrase, words, n: all edges (``longest`` words), and what stands before each end of a
     piece, up to one word less."""
@@ -324,10 +327,10 @@ def ranked(scored: DataFrame, most: int = RANKED) -> DataFrame:
     return near.drop("_part").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by))).where(F.col("rank") <= most)
 
 
+@shipped
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, most: int = RANKED, paths: bool = False, bits: tuple[int, int] = (WORD_BITS, PAIR_BITS)) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score; with ``paths`` also path_words: the length of the unary
     path of a phrase of ``longest`` words, else its own."""
-    ship(docs.sparkSession)
     words = word_counts(docs)
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     graph = edges_and_ends(docs, *frequent_pairs(docs, words, least, bits), longest)

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.shipping import shipped
 from meterlake.llm.wordhash import Words, mix, slices
 
 #: Items of a block, and their bytes: what is sent to the executors at once.
@@ -298,6 +299,7 @@ def blocks(bench: DataFrame) -> Iterator[Index]:
 _FOUND = "doc_id long, item_id long, distance int, item_words int, start_word long, end_word long"
 
 
+@shipped
 def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """Per contaminated row and item: doc_id, item_id, distance, item_words, start_word, end_word."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -319,6 +321,7 @@ def matches(docs: DataFrame, bench: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], _FOUND) if out is None else out
 
 
+@shipped
 def clean_documents(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item matches, with all their columns."""
     for index in blocks(bench):

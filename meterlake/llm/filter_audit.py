@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from meterlake.llm import scratch
+from meterlake.llm.shipping import shipped
 
 FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
@@ -172,6 +173,7 @@ def _step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
     })
 
 
+@shipped
 def changes(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES) -> DataFrame:
     """Every change of a counter that the stream over the Parquet files at ``path`` told, retractions included."""
     table = spark.read.parquet(path)

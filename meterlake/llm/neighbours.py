@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm import ordering, scratch
 from meterlake.llm.sharding import _curve_steps
+from meterlake.llm.shipping import shipped
 
 CURVES = 26
 DIMS, BITS = 6, 30
@@ -294,6 +295,7 @@ def _near(banded: DataFrame, turns: Curves, bands: list, asking: int, share: flo
     return sent.withColumn("cut", F.explode("cut"))
 
 
+@shipped
 def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, curves: int = CURVES, share: float = BLOCK_SHARE) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the nearest other ids that are found."""
     spark = vectors.sparkSession

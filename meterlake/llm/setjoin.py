@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm import graph, ordering, packing, scratch
+from meterlake.llm.shipping import shipped
 from meterlake.llm.wordhash import Words, mix, slices, windows
 
 SHINGLE = 4
@@ -431,6 +432,7 @@ def _with_heads(rows: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("head", "doc_id").alias("head"))
 
 
+@shipped
 def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (least doc_id reachable by links)."""
     spark = docs.sparkSession

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
 
@@ -20,3 +21,17 @@ def ship(spark: SparkSession) -> None:
     base = os.path.join(tempfile.mkdtemp(prefix="meterlake-code-"), os.path.basename(package))
     sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
     _sent.add(sc.applicationId)
+
+
+def shipped(operator):
+    """An operator over tables that brings the package to the executors itself."""
+
+    @functools.wraps(operator)
+    def run(*args, **kw):
+        for table in (*args, *kw.values()):
+            if isinstance(table, DataFrame):
+                ship(table.sparkSession)
+                break
+        return operator(*args, **kw)
+
+    return run

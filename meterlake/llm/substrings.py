@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm import packing
+from meterlake.llm.shipping import shipped
 from meterlake.llm.wordhash import Words, mix, slices, windows
 
 SIZE = 50
@@ -174,6 +175,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids[head]), pa.array(keys[head].astype(np.int64)), packing.binary_rows(starts, cuts)], ["doc_id", "text_key", "starts"])
 
 
+@shipped
 def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """``doc_id``, ``text_key`` (low half of the text's hash) and ``starts``: packed 32-bit start words
     of the repeated windows of that text."""
@@ -218,6 +220,7 @@ def _cut(size: int):
     return run
 
 
+@shipped
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, spans (removed word ranges), kept_text."""
     found = repeated_windows(docs, size).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "starts")

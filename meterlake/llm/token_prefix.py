@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterlake.llm.shipping import shipped
 from meterlake.llm.wordhash import slices
 
 #: Units kept per worker; beyond it the store starts anew (results do not depend on it).
@@ -253,6 +254,7 @@ def longest_prefix(deltas: bytes, budget: int) -> int:
     return int(fits[-1]) + 1 if len(fits) else 0
 
 
+@shipped
 def read_counts(store: DataFrame, budget: int) -> DataFrame:
     """``store`` without its prefixes, with n_tokens, over_limit (more than ``budget`` tokens) and
     fitting_chars (the longest prefix within the budget), all from the stored counts."""
@@ -273,6 +275,7 @@ def read_counts(store: DataFrame, budget: int) -> DataFrame:
     return store.select(*rest, "prefixes").mapInArrow(run, ", ".join([*fields, "n_tokens long", "over_limit boolean", "fitting_chars long"]))
 
 
+@shipped
 def prefix_table(docs: DataFrame, path: str, keep_prefixes: bool = True) -> DataFrame:
     """``docs`` without its text, with n_bytes, n_tokens and (zlib) ``prefixes``.
 

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm import scratch
+from meterlake.llm.shipping import shipped
 
 FILE_BYTES = 64 << 20
 #: Longest read, and the widest gap that is read over.
@@ -106,6 +107,7 @@ def _as_uri(path: str) -> str:
     return path if "://" in path or path.startswith("file:") else f"file://{path}"
 
 
+@shipped
 def write_archives(pages: DataFrame, root: str, least: int = 0) -> DataFrame:
     """Write all ``pages`` (page_id, url, html) under ``root``; returns the stored index."""
     spark = pages.sparkSession
@@ -157,6 +159,7 @@ def _reads(rows: list[tuple]) -> Iterator[list[tuple]]:
         yield run
 
 
+@shipped
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records that ``index`` rows point at.  ``payload_bytes`` is null for revisits, which hold none;
     ``intact`` says whether a payload fits its digest."""
@@ -191,6 +194,7 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
     return wanted.mapInArrow(run, RECORD)
 
 
+@shipped
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """``records`` with ``payload_bytes`` of revisits taken from the response they refer to."""
     whole = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest")).agg(F.max("payload_bytes").alias("_bytes"))
