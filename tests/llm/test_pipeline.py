@@ -59,7 +59,7 @@ def test_run_and_registration(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() > 0 and {"doc_id", "shard", "slot"} <= set(rows.columns)
     names = entry.queries()
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
 
 
 @pytest.mark.parametrize("name", ["quality classifier", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights", "sharding"])
