@@ -66,14 +66,11 @@ def rolling(
     ``unit='hours'`` takes it as a span of time.
     """
     columns = [c for c in columns if c in df.columns]
+    splits = splits or measure(df, [METER], TIME)
     if unit == "hours":
-        exprs = {}
-        for c in columns:
-            exprs[f"{c}_rolling_mean_{rows}h"] = lambda w, c=c: F.avg(c).over(w)
-            exprs[f"{c}_rolling_std_{rows}h"] = lambda w, c=c: F.stddev_samp(c).over(w)
-        out = ordered.time_frames(df, [METER], TIME, exprs, rows - 1)
+        names = {c: (f"{c}_rolling_mean_{rows}h", f"{c}_rolling_std_{rows}h") for c in columns}
+        out = ordered.sliding(df, [METER], TIME, names, rows - 1, splits)
     else:
-        splits = splits or measure(df, [METER], TIME)
         exprs = {}
         for c in columns:
             exprs[f"{c}_rolling_mean_{rows}h"] = (

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from meterlake.plans.joins import attach_to_rows
 from meterlake.plans.splits import SLICE, Splits, measure, null_safe
 from meterlake.plans.staging import stage
 
@@ -215,33 +216,65 @@ def frames(
     return splits.cold(df).withColumns(plain).unionByName(hot)
 
 
-
-def time_frames(
-    df: DataFrame,
-    keys,
-    time: str,
-    exprs: dict[str, Callable[[WindowSpec], Column]],
-    hours: int,
-    spans_per_slab: int = 8,
+def sliding(
+    df: DataFrame, keys, time: str, columns: dict[str, tuple[str, str]], hours: int, splits: Splits
 ) -> DataFrame:
-    """Window expressions over the last ``hours`` of each group, both ends included.
+    """Mean and sample deviation over the last ``hours`` of each group, both ends included.
 
-    A frame that is a span of time can be cut by the clock: slabs last several
-    spans, and the last span of each is copied to the next one.  So a long series
-    never lies in one task, and nothing has to be measured first.
+    ``columns`` maps a column to the names of the two.  The clock is cut into blocks as long as the
+    span.  A frame that ends in a block is then the block's rows up to its end, and the rows of the
+    block before from its start on.  Those are copied, narrow and one span later, so both parts are
+    running aggregates, one forwards and one backwards: each row is added twice, however many its
+    frame holds.  Nothing is subtracted, so a large value leaves no trace in frames it is not in.
+
+    A long series is cut by the clock, so it never lies in one task.  Readings without a time have
+    each other as their frame; with hot groups that is an aggregate they look up.
     """
-    span = hours * 3_600_000_000
-    width = span * spans_per_slab
+    keys, span = list(keys), hours * 3_600_000_000
+    if not splits.any:
+        return _blocks(df, keys, time, columns, span)
+    timeless = df.filter(F.col(time).isNull())
+    figures = [f(c).alias(n) for c, names in columns.items() for f, n in zip((F.avg, F.stddev_samp), names)]
+    told = attach_to_rows(timeless, timeless.groupBy(*keys).agg(*figures), keys, null_keys=True)
+    return _blocks(df.filter(F.col(time).isNotNull()), keys, time, columns, span).unionByName(told)
+
+
+def _blocks(df: DataFrame, keys, time: str, columns: dict[str, tuple[str, str]], span: int) -> DataFrame:
     at = F.unix_micros(F.col(time).cast("timestamp"))
-    timed = df.withColumns(
-        {"_at": at, "_slab": F.coalesce(F.floor(at / width), F.lit(-(1 << 60)))}
-    )
-    near_end = F.pmod(F.col("_at"), F.lit(width)) >= width - span
-    homes = F.array_compact(F.array(F.col("_slab"), F.when(near_end, F.col("_slab") + 1)))
-    w = Window.partitionBy(*keys, "_home").orderBy("_at").rangeBetween(-span, 0)
-    return (
-        timed.withColumn("_home", F.explode(homes))
-        .withColumns({n: f(w) for n, f in exprs.items()})
-        .filter(F.col("_home") == F.col("_slab"))
-        .drop("_at", "_slab", "_home")
+    rows = df.withColumns({"_at": at, "_copy": F.lit(False)} | {f"_v_{c}": F.col(c).cast("double") for c in columns})
+    rows = rows.withColumn("_block", F.floor(F.col("_at") / span) if span else F.col("_at"))
+    if span:
+        kept = {*keys, *(f"_v_{c}" for c in columns)}
+        copies = rows.filter("_at IS NOT NULL").select(
+            *[F.col(c) if c in kept else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in ("_at", "_copy", "_block")],
+            (F.col("_at") + span).alias("_at"),
+            F.lit(True).alias("_copy"),
+            (F.col("_block") + 1).alias("_block"),
+        )
+        rows = rows.unionByName(copies)
+    block = Window.partitionBy(*keys, "_block")
+    sides = {
+        "f": (block.orderBy(F.col("_at").asc()).rangeBetween(FIRST, 0), ~F.col("_copy")),
+        "b": (block.orderBy(F.col("_at").desc()).rangeBetween(FIRST, 0), F.col("_copy")),
+    }
+    running_ = {}
+    for side, (w, mine) in sides.items():
+        for c in columns:
+            x = F.when(mine, F.col(f"_v_{c}"))
+            running_ |= {f"_{side}{n}_{c}": f(x).over(w) for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))}
+    framed = rows.withColumns(running_).filter(~F.col("_copy"))
+    return framed.select(
+        *df.columns,
+        *[e.alias(n) for c, names in columns.items() for e, n in zip(_merged(c), names)],
     )
+
+
+def _merged(c: str) -> tuple[Column, Column]:
+    """Mean and sample deviation of two sets together, from count, mean and variance of each."""
+    (n, m, v), (k, q, u) = [[F.col(f"_{side}{x}_{c}") for x in "nmv"] for side in "fb"]
+    total = n + k
+    m, q = F.coalesce(m, q), F.coalesce(q, m)  # an empty set has the mean of the other
+    v, u = F.coalesce(v, F.lit(0.0)), F.coalesce(u, F.lit(0.0))
+    mean = m + (q - m) * (k / total)
+    squares = n * v + k * u + (q - m) * (q - m) * (n * (k / total))
+    return F.when(total > 0, mean), F.when(total > 1, F.sqrt(squares / (total - 1)))

@@ -226,3 +226,43 @@ def test_groups_without_values_give_nulls(spark, policy):
     df = spark.createDataFrame([("a", 1.5), ("b", None), (None, None), (None, 2.0)], "k string, v double")
     got = quantiles.group_quantiles(df, ["k"], "v", [0.5], policy=policy).collect()
     assert sorted(map(str, (tuple(r) for r in got))) == ["('a', 1.5)", "('b', None)", "(None, 2.0)"]
+
+
+def _range_frame(df, hours):
+    at = F.unix_micros(F.col("t").cast("timestamp"))
+    w = Window.partitionBy("k").orderBy(at).rangeBetween(-hours * 3_600_000_000, 0)
+    return df.withColumns({"m": F.avg("x").over(w), "s": F.stddev_samp("x").over(w)})
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("hours", [0, 1, 23])
+def test_sliding_equals_range_frames(spark, hours, hot):
+    """Ties, ends on a border, missing times, values and keys, a huge value that must leave no trace."""
+    rng = random.Random(hours)
+    rows = []
+    for i in range(1500):
+        t = None if i % 40 == 0 else f"2024-01-{1 + i // 400:02d} {rng.randrange(24):02d}:{rng.choice((0, 0, 15, 30)):02d}:00"
+        x = None if i % 17 == 0 else 1e12 if i == 700 else 0.1 if i % 3 else rng.random()
+        rows.append((i, rng.choice(["a", "a", "b", None]), t, x, "other"))
+    rows.append((1500, "before", "1969-12-31 23:59:00", 2.0, "other"))
+    df = spark.createDataFrame(rows, "i int, k string, t string, x double, _extra string").withColumn("t", F.to_timestamp("t").cast("timestamp_ntz"))
+    s = splits.measure(df, ["k"], "t", SplitPolicy(min_rows=200, max_groups=4)) if hot else splits.none(["k"], "t")
+    assert s.any == hot
+    got = {r.i: r for r in ordered.sliding(df, ["k"], "t", {"x": ("m", "s")}, hours, s).collect()}
+    want = _range_frame(df, hours).collect()
+    assert len(got) == len(want)
+    for r in want:
+        mine = got[r.i]
+        assert (mine.m is None) == (r.m is None) and (mine.s is None) == (r.s is None)
+        assert r.m is None or mine.m == pytest.approx(r.m, rel=1e-12)
+        assert r.s is None or mine.s == pytest.approx(r.s, rel=1e-9, abs=1e-9)
+
+
+def test_sliding_is_linear_in_dense_series(spark):
+    """100,000 readings an hour: a frame of a day holds over two million, each added twice."""
+    df = spark.range(3_000_000).select(
+        F.lit("a").alias("k"), F.timestamp_micros(F.col("id") * 36_000).cast("timestamp_ntz").alias("t"), (F.col("id") % 7).cast("double").alias("x")
+    )
+    out = ordered.sliding(df, ["k"], "t", {"x": ("m", "s")}, 23, splits.none(["k"], "t"))
+    n, least, most = out.agg(F.count("s"), F.min("m"), F.max("m")).first()
+    assert (n, least) == (2_999_999, 0.0) and most == pytest.approx(3.0, abs=1e-3)
