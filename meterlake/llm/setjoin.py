@@ -12,8 +12,8 @@ depends on the subset alone, a subset that two similar sets share is never left
 
 Sets that share a digest form candidate clusters (connected components of "same as the first in
 the bucket").  Each cluster is verified exactly: its shingle sets meet in one task, or, for a large
-cluster, in one task per pair of blocks, and a search over neighbourhoods finds the linked sets
-without listing pairs.  Components of those links are the result.
+cluster, in one task per two neighbouring size bands (and per pair of blocks, where those are large too), and a
+search over neighbourhoods finds the linked sets without listing pairs.  Components of those links are the result.
 
 Defined cases: null and wordless texts have an empty set and link with nothing (their own class); a
 text with fewer words than a shingle is one shingle; equal sets link, also under one doc_id; rows with
@@ -350,7 +350,7 @@ def _linked(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple
 
 
 def _verify(size: int, percent: int):
-    """Rows come sorted by (cluster, left, right); each run of equal keys is verified together."""
+    """Rows come sorted by (cluster, part, left, right); each run of equal keys is verified together."""
 
     def solve(key, parts: list[pa.RecordBatch]):
         rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
@@ -359,7 +359,7 @@ def _verify(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, out = None, [], []
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("cluster", "lo", "hi")], axis=1)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("cluster", "part", "lo", "hi")], axis=1)
             cut = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]))
             for a, b in zip(cut[:-1], cut[1:]):
                 if b == a:
@@ -452,21 +452,29 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     near = near.join(one.toDF("a", "ha"), "a").join(one.toDF("b", "hb"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
     clusters = graph.components(near).toDF("doc_id", "cluster")
 
-    # Large clusters are cut into blocks, and every two blocks meet.
+    # Large clusters are cut by size first: only sets of neighbouring bands can be similar, so a set goes to
+    # two groups at most.  Groups that are still large are cut into blocks, and every two blocks meet.
     sized = clusters.join(classes.where("doc_id = head").select("doc_id", "n_shingles").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id")
-    load = sized.groupBy("cluster").agg(
+    top = classes.agg(F.coalesce(F.max("n_shingles"), F.lit(1))).first()[0]
+    starts = F.array(*[F.lit(int(x)) for x in band_starts(top, percent)])
+    band = F.size(F.filter(starts, lambda x: x <= F.col("n_shingles")))
+    total = sized.groupBy("cluster").agg(F.sum("n_shingles").alias("_total"))
+    groups = F.when(F.col("_total") < CLUSTER_SHINGLES, F.array(F.lit(0))).otherwise(F.array(band, band + 1))
+    grouped = sized.join(total, "cluster").withColumn("part", F.explode(groups))
+    load = grouped.groupBy("cluster", "part").agg(
         (F.floor(F.sum("n_shingles") / F.lit(CLUSTER_SHINGLES // 2)) + 1).cast("int").alias("blocks")
     )
     load = load.withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
-    where = clusters.join(load, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    where = grouped.select("doc_id", "cluster", "part").join(load, ["cluster", "part"])
+    where = where.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     where = scratch.write(where, "setjoin-clusters")
     held = texts.join(_small(where), "doc_id")
     other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.expr("filter(sequence(0, blocks - 1), x -> x <> block)")))
     met_in = held.withColumn("other", other).select(
-        "doc_id", "text", "cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+        "doc_id", "text", "cluster", "part", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
     )
     parts = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = met_in.repartition(parts, "cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
+    dealt = met_in.repartition(parts, "cluster", "part", "lo", "hi").sortWithinPartitions("cluster", "part", "lo", "hi")
     links = scratch.write(dealt.mapInArrow(_verify(shingle, percent), "a long, b long"), "setjoin-links")
     # Rows that share a doc_id share its class, and copies belong to their head.
     copies = classes.where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))

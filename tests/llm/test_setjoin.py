@@ -81,6 +81,18 @@ def test_clusters_cut_into_blocks(spark, families, monkeypatch):
     assert found(spark.createDataFrame(families, SCHEMA)) == brute(families)
 
 
+@pytest.mark.parametrize("limit", [50, 2_000])
+def test_large_clusters_are_cut_by_size(spark, monkeypatch, limit):
+    """One chain of growing texts: each links with the next, over many bands of sizes, and one cluster holds all."""
+    monkeypatch.setattr(setjoin, "CLUSTER_SHINGLES", limit)
+    words, rows, n = [f"w{i}" for i in range(2000)], [], 10
+    while n < 1500:
+        rows.append((1000 - len(rows), " ".join(words[:n])))
+        n += max(1, n // 8)
+    rows += [(2000 + i, " ".join(words[i * 40 : i * 40 + 90])) for i in range(20)]  # shared passages, not similar
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_every_similar_pair_shares_a_digest(percent):
     """The pigeonhole argument, on pairs at the very limit of similarity."""
