@@ -325,7 +325,7 @@ def _running_without_time(spark, d):
 
 
 def _many_bands(spark, d):
-    """Readings of the fact table with each of many overlapping bands made from the parts' prices."""
+    """Readings of the fact table with the number and the first of many overlapping bands made from the parts' prices."""
     p = fx.load(spark, d, "part")
     low = (F.col("p_retailprice") - 900) / 50
     bands = p.select(
@@ -333,8 +333,8 @@ def _many_bands(spark, d):
         F.when(F.col("p_partkey") % 400 != 1, low + (F.col("p_partkey") % 9) / 40).alias("_hi"),
     )
     rows = fact(spark, d).select("reading_id", "active_power_kw")
-    found = join_bands(rows, bands, "active_power_kw")
-    return found.groupBy("reading_id").agg(F.count("band").alias("bands"), F.min("band").alias("first_band"))
+    found = join_bands(rows, bands, "active_power_kw", totals={"bands": (F.count("band"), F.sum), "first_band": (F.min("band"), F.min)})
+    return found.groupBy("reading_id").agg(F.sum(F.coalesce("bands", F.lit(0))).alias("bands"), F.min("first_band").alias("first_band"))
 
 
 def _second_delivery(spark, d):

@@ -49,6 +49,49 @@ def test_very_many_bands_without_a_nested_loop(spark):
                               if 0 <= b < 100_000 and b / 10 <= i * 0.5 + 0.26 < (b + 3) / 10) + sum(1 for i in range(20_000) if i * 0.5 + 0.26 >= 100_002 / 10)
 
 
+def totals():
+    return {"bands": (F.count("band"), F.sum), "first_band": (F.min("band"), F.min), "total": (F.sum("band"), F.sum)}
+
+
+def totalled(spark, values, rows):
+    v = spark.createDataFrame(values, "i int, x double")
+    b = spark.createDataFrame(rows, "band int, _lo double, _hi double")
+    return sorted(map(tuple, bands.join_bands(v, b, "x", totals=totals()).select("i", "bands", "first_band", "total").collect()))
+
+
+def expected_totals(values, rows):
+    hits = {}
+    for i, b in lookup(values, rows):
+        hits.setdefault(i, []).extend([] if b is None else [b])
+    return sorted((i, len(b) or None, min(b, default=None), sum(b) if b else None) for i, b in hits.items())
+
+
+@pytest.mark.parametrize("upper", [12, 2])
+def test_totals_of_overlapping_bands(spark, monkeypatch, upper):
+    monkeypatch.setattr(bands, "UPPER", upper)
+    rng = random.Random(3)
+    inf, nan = float("inf"), float("nan")
+    edges = [0.0, -0.0, 1.0, 0.1, 0.30000000000000004, -inf, inf, 5.0, -5.0, None]
+    rows = [(i, rng.choice([rng.uniform(-9, 9), rng.choice(edges)]), rng.choice([rng.uniform(-9, 9), rng.choice(edges)])) for i in range(500)]
+    values = [(i, rng.choice([rng.uniform(-10, 10), rng.choice(edges)])) for i in range(300)] + [(400, nan), (401, None), (402, 1.0), (403, 1.0)]
+    assert totalled(spark, values, rows) == expected_totals(values, rows)
+    assert totalled(spark, values[:1], rows) == expected_totals(values[:1], rows)
+    assert totalled(spark, values, rows[:1]) == expected_totals(values, rows[:1])
+    assert totalled(spark, values[:3], []) == [(i, None, None, None) for i in range(3)] and totalled(spark, [], rows) == []
+
+
+def test_totals_make_no_pairs(spark):
+    """Every value lies in half of the bands: 800 million pairs, of which none is listed."""
+    b = spark.range(40_000).select(F.col("id").cast("int").alias("band"), F.col("id").cast("double").alias("_lo"), (F.col("id") + 40_000.0).alias("_hi"))
+    v = spark.range(40_000).select(F.col("id").cast("int").alias("i"), (F.col("id") + 20_000.0).alias("x"))
+    out = bands.join_bands(v, b, "x", totals=totals())
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["i"]: (r["bands"], r["first_band"]) for r in out.collect()}
+    # x = i + 20000 lies in the bands from x - 39999 to x.
+    want = {i: (min(i + 20_000, 39_999) - max(i - 19_999, 0) + 1, max(i - 19_999, 0)) for i in range(40_000)}
+    assert got == want
+
+
 def test_no_bands_and_no_values(spark):
     assert [tuple(r) for r in joined(spark, [(1, 2.0)], []).collect()] == [(1, 2.0, None)]
     assert joined(spark, [], [(1, 0.0, 1.0)]).count() == 0
