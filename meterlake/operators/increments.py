@@ -2,8 +2,8 @@
 
 Facts lie in folders by reading date.  A delivery's rows are compared with the stored facts of their own
 dates only, and those that are not there yet are appended.  Aggregates lie in folders of the same grain:
-the days (or months) that got fresh facts are computed again from the stored facts of those days and
-replace their folders; others are not opened.  Dimensions get their missing rows appended.
+the days that got fresh facts are computed again from the stored facts of those days, the months from the stored
+days of those months, and replace their folders; others are not opened.  Dimensions get their missing rows appended.
 
 The steps are ordered so that a delivery can simply be given again after a failure: facts that arrived are
 not fresh any more, and the dates of all its rows, fresh or not, are aggregated again.
@@ -22,6 +22,8 @@ from meterlake.plans.staging import stage
 READING = ["timestamp", "meter_id"]
 #: Days named in a filter; a delivery with more is compared over the span of its days.
 MOST_DATES = 5_000
+#: Up to so many keys that come more than once in a delivery are treated apart from its other rows.
+MOST_COPIED = 1_000_000
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -30,6 +32,30 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if there else None
 
 
+def _named(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+
+
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    return null_safe(left, right, [(k, f"_k{i}") for i, k in enumerate(keys)])
+
+
+def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key.
+
+    Whole rows are sorted to fold copies, so this is only done where there are some: their keys are found by a
+    count of the keys alone.  Rows of all other keys stay where they are.
+    """
+    copied = stage(_named(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), keys), "copied")
+    found = copied.count()
+    if not found:
+        return df
+    if found > MOST_COPIED:
+        return df.dropDuplicates(keys)
+    same = _same_key(df, copied, keys)
+    return df.join(copied, same, "left_anti").union(df.join(copied, same, "left_semi").dropDuplicates(keys))
+
+
 def append_absent(spark: SparkSession, new: DataFrame, path: str, keys, within: Column | None = None, by: str | None = None) -> DataFrame:
     """Append the rows of ``new`` whose key is not stored yet; returns them.
 
@@ -37,12 +63,11 @@ def append_absent(spark: SparkSession, new: DataFrame, path: str, keys, within:
     their folders are read.
     """
     keys = list(keys)
-    fresh = new.dropDuplicates(keys)
+    fresh = one_of_each(new, keys)
     old = _stored(spark, path)
     if old is not None:
-        names = [f"_k{i}" for i in range(len(keys))]
-        held = (old if within is None else old.filter(within)).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        fresh = fresh.join(held, null_safe(fresh, held, zip(keys, names)), "left_anti")
+        held = _named(old if within is None else old.filter(within), keys)
+        fresh = fresh.join(held, _same_key(fresh, held, keys), "left_anti")
     fresh = stage(fresh, "fresh")
     rows = fresh.hint("rebalance", by) if by else fresh
     writer = rows.write.mode("append")
@@ -92,6 +117,7 @@ def merge_delivery(spark: SparkSession, df: DataFrame, path: str) -> dict[str, i
         else:
             first = F.make_date(F.lit(m[0]), F.lit(m[1]), F.lit(1))
             whole = whole | F.col("reading_date").between(first, F.last_day(first))
-    monthly = star.agg_monthly_consumption(stored.filter(whole))
+    daily = spark.read.parquet(f"{path}/agg_daily_consumption")
+    monthly = star.agg_monthly_consumption(daily=daily.filter(whole))
     replace_folders(monthly, f"{path}/agg_monthly_consumption", ["year", "month"])
     return {"facts": fresh.count(), "days": len(days)}

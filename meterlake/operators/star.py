@@ -276,26 +276,26 @@ def zone_month_meters(sketches: DataFrame) -> DataFrame:
     return merged_distinct(dated, ["zone_id", "year", "month"], "meter_sketch", "meter_estimate")
 
 
-def agg_monthly_consumption(fact: DataFrame) -> DataFrame:
-    """Monthly totals and the mean, largest and smallest day, from daily totals."""
-    daily = fact.groupBy(
-        F.year("timestamp").alias("year"),
-        F.month("timestamp").alias("month"),
-        F.to_date("timestamp").alias("_day"),
-        "meter_id",
-        "zone_id",
-    ).agg(
-        exact_sum("active_power_kw").alias("_s"),
-        F.count_if(F.col("is_anomaly") == 1).alias("_a"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    return daily.groupBy("year", "month", "meter_id", "zone_id").agg(
-        exact_sum("_s").alias("total_consumption_kwh"),
-        F.try_divide(exact_sum("_s"), F.count("_s")).alias("avg_daily_consumption_kwh"),
-        F.max("_s").alias("max_daily_consumption_kwh"),
-        F.min("_s").alias("min_daily_consumption_kwh"),
-        F.sum("_a").alias("total_anomalies"),
-        F.sum("_n").alias("reading_count"),
+def agg_monthly_consumption(fact: DataFrame | None = None, daily: DataFrame | None = None) -> DataFrame:
+    """Monthly totals and the mean, largest and smallest day, from daily totals.
+
+    These are taken from the facts, or given as ``daily``, the stored result of ``agg_daily_consumption``.
+    """
+    if daily is None:
+        daily = fact.groupBy(F.to_date("timestamp").alias("reading_date"), "meter_id", "zone_id").agg(
+            exact_sum("active_power_kw").alias("total_consumption_kwh"),
+            F.count_if(F.col("is_anomaly") == 1).alias("anomaly_count"),
+            F.count(F.lit(1)).alias("reading_count"),
+        )
+    day = F.col("reading_date").cast("date")
+    total = exact_sum("total_consumption_kwh")
+    return daily.groupBy(F.year(day).alias("year"), F.month(day).alias("month"), "meter_id", "zone_id").agg(
+        total.alias("total_consumption_kwh"),
+        F.try_divide(total, F.count("total_consumption_kwh")).alias("avg_daily_consumption_kwh"),
+        F.max("total_consumption_kwh").alias("max_daily_consumption_kwh"),
+        F.min("total_consumption_kwh").alias("min_daily_consumption_kwh"),
+        F.sum("anomaly_count").alias("total_anomalies"),
+        F.sum("reading_count").alias("reading_count"),
     )
 
 

@@ -148,3 +148,32 @@ def test_second_delivery_touches_its_own_dates(spark, delivery, tmp_path):
         two, one = spark.read.parquet(str(a / name)), spark.read.parquet(str(b / name))
         columns = columns or sorted(one.columns)
         assert sorted(map(repr, two.select(*columns).collect())) == sorted(map(repr, one.select(*columns).collect())), name
+
+
+def test_months_come_from_the_stored_days(spark, delivery, tmp_path):
+    path = str(tmp_path / "months")
+    day = F.dayofmonth("Timestamp")
+    for part in (day <= 12, (day > 9) | day.isNull()):
+        increments.merge_delivery(spark, delivery.filter(part), path)
+    fact = spark.read.parquet(f"{path}/fact_energy_reading")
+    stored, want = spark.read.parquet(f"{path}/agg_monthly_consumption"), star.agg_monthly_consumption(fact)
+    columns = sorted(want.columns)
+    assert sorted(map(repr, stored.select(*columns).collect())) == sorted(map(repr, want.select(*columns).collect()))
+    given = star.agg_monthly_consumption(daily=star.agg_daily_consumption(fact))
+    assert sorted(map(repr, given.collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_rows_are_sorted_only_where_there_are_copies(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(increments, "MOST_COPIED", most)
+    rows = [(1, "a", "x"), (2, "a", "y"), (None, "b", "z"), (3, None, "u")]
+    single = spark.createDataFrame(rows, "t int, m string, v string")
+    copies = spark.createDataFrame([*rows, (1, "a", "X"), (None, "b", "Z"), (3, None, "u")], "t int, m string, v string")
+    alone, folded = increments.one_of_each(single, ["t", "m"]), increments.one_of_each(copies, ["t", "m"])
+    assert "SortAggregate" not in alone._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, alone.collect())) == sorted(map(repr, single.collect()))
+    assert sorted(((r["t"], r["m"]) for r in folded.collect()), key=repr) == sorted((r[:2] for r in rows), key=repr)
+    path = str(tmp_path / "t")
+    assert increments.append_absent(spark, copies.filter("t < 3"), path, ["t", "m"]).count() == 2
+    assert increments.append_absent(spark, copies, path, ["t", "m"]).count() == 2
+    assert spark.read.parquet(path).count() == 4
