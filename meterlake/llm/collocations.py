@@ -38,6 +38,8 @@ from meterlake.llm.wordhash import Words, mix, slices
 
 LEAST, LONGEST, RANKED = 100, 5, 2000
 BATCH_BYTES = 8 << 20
+#: Phrases put together at a time.
+PHRASES = 1 << 13
 #: Bits of a slot number: words (8 MB of bits) and pairs of neighbours (16 MB).
 WORD_BITS, PAIR_BITS = 26, 27
 _CHUNK = 15
@@ -62,10 +64,10 @@ class Pieces(Words):
         coded = langs.fill_null("und").dictionary_encode()
         self.langs = coded.dictionary
         self.lang = coded.indices.to_numpy().astype(np.int64)[self.text_of_word()]
-        ends = np.concatenate(([0], np.cumsum(_BREAK[self.data], dtype=np.int64)))
-        text = self.text_of_word()
+        ends = np.flatnonzero(_BREAK[self.data])
+        text, ended = self.text_of_word(), np.searchsorted(ends, self.start)
         self.joined = np.zeros(len(self), bool)
-        self.joined[:-1] = (text[1:] == text[:-1]) & (ends[self.start[1:]] == ends[self.start[:-1]])
+        self.joined[:-1] = (text[1:] == text[:-1]) & (ended[1:] == ended[:-1])
 
     def keyed(self) -> np.ndarray:
         """Hashes of the words with their language."""
@@ -74,16 +76,19 @@ class Pieces(Words):
 
     def phrases(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
         """Words first to last of each pair, joined by one space."""
-        size = self.end - self.start + 1
-        place = np.concatenate(([0], np.cumsum(size)))
+        place = np.concatenate(([0], np.cumsum(self.end - self.start + 1)))
         data = np.full(int(place[-1]), 0x20, np.uint8)
-        inner = np.arange(len(data)) - np.repeat(place[:-1], size)
-        solid = inner < np.repeat(size - 1, size)
-        data[solid] = self.data[(np.repeat(self.start, size) + inner)[solid]]
+        inner = np.ones(len(data), bool)
+        inner[place[1:] - 1] = False
+        data[inner] = self.data[~self.space[self.data]]
         a, n = place[first], place[last + 1] - 1 - place[first]
         offsets = np.concatenate(([0], np.cumsum(n))).astype(np.int64)
-        at = np.repeat(a - offsets[:-1], n) + np.arange(int(offsets[-1]))
-        return pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[at].tobytes())]).cast(pa.string())
+        found = np.empty(int(offsets[-1]), np.uint8)
+        for i in range(0, len(n), PHRASES):  # blocks bound the index of each byte
+            j = min(i + PHRASES, len(n))
+            at = np.repeat(a[i:j] - offsets[i:j], n[i:j]) + np.arange(offsets[i], offsets[j])
+            found[offsets[i] : offsets[j]] = data[at]
+        return pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(found)]).cast(pa.string())
 
 
 def _seed(lang: str) -> int:

@@ -72,6 +72,7 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False, space: np.ndarray = _SPACE):
+        self.space = space
         texts = texts.cast(pa.large_string())
         lengths = np.asarray(texts.is_valid()) * 1
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
@@ -141,10 +142,9 @@ class Words:
 
     def names(self) -> pa.DictionaryArray:
         """The bytes of each word, equal words once in the dictionary."""
-        size = self.end - self.start
-        at = np.repeat(self.start, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
-        parts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(self.data[at].tobytes())])
+        offsets = np.concatenate(([0], np.cumsum(self.end - self.start))).astype(np.int64)
+        solid = self.data[~self.space[self.data]]  # all words' bytes in a row, without an index for each byte
+        parts = pa.Array.from_buffers(pa.large_binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(solid)])
         return parts.dictionary_encode()
 
     def ids(self) -> np.ndarray:

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -119,5 +120,22 @@ def test_phrases_are_joined_by_one_space():
     assert p.phrases(np.array([0, 2, 5]), np.array([1, 4, 5])).to_pylist() == ["a b", "c É d", "e"]
 
 
+def test_no_number_for_each_byte():
+    """Words and phrases of a batch take a few bytes for each byte of text, not several 64-bit numbers."""
+    rng = random.Random(5)
+    p = collocations.Pieces(pa.array([sentence(rng, 400, 10**9) + "; É" for _ in range(400)]), pa.array(["en"] * 400))
+    first = np.arange(0, len(p) - 5, 2)
+    size = len(p.data)
+    for taken in (p.names, lambda: p.phrases(first, first + 4)):
+        tracemalloc.start()
+        found = taken()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 16 * size, (peak, size)
+    words = [bytes(p.data[a:b]).decode() for a, b in zip(p.start, p.end)]
+    assert found.to_pylist() == [" ".join(words[i : i + 5]) for i in first]
+    assert [x.decode() for x in p.names().dictionary_decode().to_pylist()] == words
+
+
 def test_empty_table(no_docs):
     assert collocations.collocations(no_docs, paths=True).count() == 0
