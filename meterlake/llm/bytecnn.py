@@ -7,7 +7,8 @@ a few lookups per byte.
 
 Training: at most ``SAMPLE`` labelled rows, those of least md5, outside the held-out fold, and of
 those as many as have ``SAMPLE_BYTES`` bytes together (the first always); about ``STEPS`` steps of Adam on
-the logistic loss over all chunks of their whole texts.  Only these bounded rows reach the driver.
+the logistic loss over all chunks of their whole texts.  Only these bounded rows reach the driver, as bytes;
+responses are held for ``PIECE`` chunks at a time, however long a text is.
 Training and scoring cover every byte of a text.
 
 Defined cases: a null text counts as empty, which is one chunk of padding; labels that are null
@@ -34,6 +35,7 @@ SAMPLE = 4000
 SAMPLE_BYTES = 24 << 20
 STEPS = 1000
 BATCH = 48
+PIECE = 512
 WIDTH = 6
 FILTERS = 12
 BLOCK = 128
@@ -123,8 +125,21 @@ def _pool(net: Network, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.add.reduceat(chunk * weight[:, None], first, axis=0) / np.add.reduceat(weight, first)[:, None]
 
 
-def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Network:
-    """``chunks``: per document an array of chunks by 2 * BLOCK + WIDTH - 1 symbols."""
+def _pieces(chunks: list[np.ndarray], most: int) -> Iterator[np.ndarray]:
+    """The chunks of all texts, one after another, at most so many at a time."""
+    held, n = [], 0
+    for rows in chunks:
+        for a in range(0, len(rows), most):
+            part = rows[a : a + most]
+            if n + len(part) > most:
+                yield np.concatenate(held)
+                held, n = [], 0
+            held.append(part)
+            n += len(part)
+    yield np.concatenate(held)
+
+
+def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
     rng = np.random.default_rng(seed)
     net = Network(
         rng.normal(0, 0.25, (WIDTH, PAD + 1, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32), rng.normal(0, 0.3, FILTERS).astype(np.float32), 0.0
@@ -132,18 +147,24 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Networ
     params = [net.taps, net.bias, net.out, np.zeros(1, np.float32)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    for _ in range(-(-STEPS * BATCH // len(chunks))):
-        order = rng.permutation(len(chunks))
+    for _ in range(-(-STEPS * BATCH // len(texts))):
+        order = rng.permutation(len(texts))
         for i in range(0, len(order), BATCH):
             docs = order[i : i + BATCH]
-            rows = np.concatenate([chunks[d] for d in docs])
-            owner = np.repeat(np.arange(len(docs)), [len(chunks[d]) for d in docs])
-            n, span = len(rows), rows.shape[1] - WIDTH + 1
-            resp = np.take(params[0][0], rows[:, :span], axis=0)
-            for k in range(1, WIDTH):
-                resp += np.take(params[0][k], rows[:, k : k + span], axis=0)
-            at = resp.argmax(axis=1)
-            peak = np.take_along_axis(resp, at[:, None, :], 1)[:, 0] + params[1]
+            chunks = [chunks_of(texts[d]) for d in docs]
+            owner = np.repeat(np.arange(len(docs)), [len(c) for c in chunks])
+            peaks, under = [], []
+            for rows in _pieces(chunks, PIECE):
+                span = rows.shape[1] - WIDTH + 1
+                resp = np.take(params[0][0], rows[:, :span], axis=0)
+                for k in range(1, WIDTH):
+                    resp += np.take(params[0][k], rows[:, k : k + span], axis=0)
+                at = resp.argmax(axis=1)
+                peaks.append(np.take_along_axis(resp, at[:, None, :], 1)[:, 0])
+                rows_at = np.arange(len(rows))[:, None]
+                under.append(np.stack([rows[rows_at, at + k] for k in range(WIDTH)]))
+            peak = np.concatenate(peaks) + params[1]
+            symbols = np.concatenate(under, axis=1)  # under each filter at its peak: WIDTH x chunks x FILTERS
             live = peak > 0
             peak = np.where(live, peak, 0)
             share = 1 / np.bincount(owner, minlength=len(docs))
@@ -154,10 +175,9 @@ def train(chunks: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Networ
             err = ((p - labels[docs]) / len(docs)).astype(np.float32)
             back = (err[owner] * share[owner].astype(np.float32))[:, None] * params[2] * live
             g_taps = np.zeros_like(params[0])
-            rows_at = np.arange(n)[:, None]
-            which = np.broadcast_to(np.arange(FILTERS), (n, FILTERS))
+            which = np.broadcast_to(np.arange(FILTERS), peak.shape)
             for k in range(WIDTH):
-                np.add.at(g_taps[k], (rows[rows_at, at + k], which), back)
+                np.add.at(g_taps[k], (symbols[k], which), back)
             grads = [g_taps, back.sum(0), pooled.T @ err, np.array([err.sum()], np.float32)]
             step += 1
             for q, g, m, v in zip(params, grads, first, second):
@@ -198,9 +218,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network | N
         return None
     chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["text_key"]) for r in rows], "doc_id long, text_key long")
     found = texts.join(F.broadcast(chosen), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
-    whole = {r["doc_id"]: r["text"].encode() for r in found.select("doc_id", "text").collect()}
+    # As bytes: a str takes up to four bytes a character.
+    whole = {r["doc_id"]: bytes(r["text"]) for r in found.select("doc_id", F.col("text").cast("binary")).collect()}
     rows.sort(key=lambda r: r["doc_id"])
-    return train([chunks_of(whole[r["doc_id"]]) for r in rows], np.array([r["quality"] for r in rows], np.float32))
+    return train([whole[r["doc_id"]] for r in rows], np.array([r["quality"] for r in rows], np.float32))
 
 
 @shipped

@@ -90,3 +90,25 @@ def test_the_end_of_a_long_text_teaches(spark):
     p = net.probability(bytecnn._pool(net, *bytecnn.symbol_rows(pa.array([r[1] for r in rows]))))
     y = np.array([r[2] for r in rows])
     assert (p[y == 1][:, None] > p[y == 0][None, :]).mean() > 0.9
+
+
+def test_training_memory_does_not_follow_the_longest_text(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(bytecnn, "STEPS", 1)
+    texts = [b"good plain words " * 60_000, b"bad", b""]  # the first has 7,968 chunks: 98 MB of responses
+    tracemalloc.start()
+    bytecnn.train(texts, np.array([1, 0, 0], np.float32))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
+def test_pieces_do_not_change_the_training(monkeypatch):
+    monkeypatch.setattr(bytecnn, "STEPS", 3)
+    texts = [b"good plain words " * 300, b"", "é bad \U0001f600".encode() * 200, b"x" * 256]
+    nets = []
+    for most in (1, 7, 10_000):
+        monkeypatch.setattr(bytecnn, "PIECE", most)
+        nets.append(bytecnn.train(texts, np.array([1, 0, 0, 1], np.float32)))
+    assert all((n.taps == nets[0].taps).all() and (n.out == nets[0].out).all() for n in nets)
