@@ -6,11 +6,13 @@ segments; segment-wise differences add up to at most H, so with enough segments
 on some segment, or differ by one shingle there.  A set sends the hash of each segment subset, and
 for some segments also the subset without each one of its shingles (one-deletion neighbourhood).
 How many segments of either kind a band gets is chosen by a cost model (``plan_for``): digests
-sent against expected chance meetings.  Of its exact segments a set leaves out the lightest ones, which meet
-most often by chance; the plan holds as many segments more, and since the order of leaving out
-depends on the subset alone, a subset that two similar sets share is never left out by all rules.
+sent against expected chance meetings.  Of its exact segments a set leaves out a number: empty ones, then those
+whose digests most other sets hold, as counted over the whole table.  The plan holds as many segments more, and since
+the order of leaving out depends on the subset alone, similar sets share one digest more than either leaves out.  So
+common passages, which make up some segments of very many sets, join none of them, and clusters do not
+grow together as the table grows.
 
-Sets that share a digest form candidate clusters (connected components of "same as the first in
+Sets that share a digest that both keep form candidate clusters (connected components of "same as the first in
 the bucket").  Each cluster is verified exactly: its shingle sets meet in one task, or, for a large
 cluster, in one task per two neighbouring size bands (and per pair of blocks, where those are large too), and a
 search over neighbourhoods finds the linked sets without listing pairs.  Components of those links are the result.
@@ -151,6 +153,15 @@ def _fold(hashed: np.ndarray) -> np.ndarray:
 
 def signatures(sets: Sets, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Digests of the segment subsets of all sets of a batch, and the set each belongs to."""
+    return counted_signatures(sets, percent)[:2]
+
+
+def counted_signatures(sets: Sets, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``signatures``, and how many digests each set may leave out yet: of even schemes, and of odd ones.
+
+    The last bit of a digest tells which, so the two schemes of a set are kept apart.
+    """
+    late = np.zeros((len(sets.sizes), 2), np.int64)
     starts = band_starts(int(sets.sizes.max(initial=1)), percent)
     band = np.searchsorted(starts, sets.sizes, side="right") - 1
     all_sig, all_doc = [], []
@@ -180,20 +191,23 @@ def signatures(sets: Sets, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
         number = np.arange(base[-1]) - base[owner]
         tag = mix(seed[owner] + number.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
         is_exact = number >= deletions[owner]
-        # The lightest exact segments go, ties by number: rank them within each set.
-        order = np.lexsort((number, weight, ~is_exact, owner))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) - base[owner[order]]
-        kept = np.flatnonzero(~is_exact | (rank >= spare[owner]))
-        all_sig.append(mix(total[kept] + tag[kept]))
+        # Empty exact segments go first, by number: every set that has one too shares them.
+        empty = is_exact & (weight == 0)
+        rank = np.cumsum(empty) - empty
+        rank -= np.concatenate((rank, [0]))[base[:-1]][owner]
+        gone = empty & (rank < spare[owner])
+        late[np.arange(len(count)), scheme & 1] += spare - np.bincount(owner[gone], minlength=len(count))
+        kept = np.flatnonzero(~gone)
+        odd = (scheme & 1).astype(np.uint64)
+        all_sig.append(mix(total[kept] + tag[kept]) & ~np.uint64(1) | odd[owner[kept]])
         all_doc.append(owner[kept])
         without = np.flatnonzero(seg < deletions[doc])
         at = place[without]
-        all_sig.append(mix(total[at] - load[without] + tag[at]))
+        all_sig.append(mix(total[at] - load[without] + tag[at]) & ~np.uint64(1) | odd[doc[without]])
         all_doc.append(doc[without])
     if not all_sig:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(all_sig), np.concatenate(all_doc)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), late
+    return np.concatenate(all_sig), np.concatenate(all_doc), late
 
 
 _ROW = "kind int, bucket int, doc_id long, other long, size long, body binary"
@@ -207,25 +221,33 @@ def _rows(kind: int, bucket=None, doc_id=None, other=None, size=None, body=None)
     return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), *cols], _NAMES)
 
 
-def _stars(key: np.ndarray, ids: np.ndarray, high: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions kept (one per key and least id), and edges (least id, other id) within each key."""
-    order = np.lexsort((ids, key))
-    k, i = key[order], ids[order]
-    head = np.ones(len(k), bool)
-    head[1:] = k[1:] != k[:-1]
-    least = i[np.flatnonzero(head)][np.cumsum(head) - 1] if len(k) else i
-    far = i != least
-    edges = np.unique(np.stack([least[far], i[far]], axis=1), axis=0) if far.any() else np.zeros((0, 2), np.int64)
-    return order[head], edges[:, 0], edges[:, 1]
-
-
 def _bucket_of_id(ids: np.ndarray, buckets: int) -> np.ndarray:
     """Ids with a stride fall into all buckets."""
     return (mix(ids.astype(np.int64).astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
 
+def _packed(bucket: np.ndarray, ids: np.ndarray, sig: np.ndarray, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of kind 2: the ids and digests of each bucket, and what else belongs to them."""
+    out = []
+    for k, at in packing.by_bucket(bucket):
+        at = at[np.argsort(ids[at], kind="stable")]
+        out.append((k, packing.pack([np.diff(ids[at], prepend=0), sig[at].tobytes(), *(x[at] for x in more)])))
+    for i in range(0, len(out), 2000):
+        k, bodies = zip(*out[i : i + 2000])
+        yield _rows(2, bucket=k, body=bodies)
+
+
+def _unpacked(blobs: list[bytes], *more: type) -> list[np.ndarray]:
+    cols: list[list[np.ndarray]] = [[] for _ in range(2 + len(more))]
+    for blob in blobs:
+        i, sig, *rest = packing.unpack(blob)
+        for col, x in zip(cols, (np.cumsum(packing.inflate(i, np.int64)), np.frombuffer(sig, np.uint64), *map(packing.inflate, rest, more))):
+            col.append(x)
+    return [np.concatenate(c) for c in cols]
+
+
 def _send(buckets: int, size: int, percent: int):
-    """kind 0: a document (doc_id, digest as body, size); 1: an edge; 2: digests of a bucket."""
+    """kind 0: a document (doc_id, digest as body, size, digests to leave out as other); 2: digests of a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,29 +255,115 @@ def _send(buckets: int, size: int, percent: int):
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
                 sets = Sets(part.column("text"), size)
                 both = sets.digests()
+                sig, doc, late = counted_signatures(sets, percent)
                 body = packing.binary_rows(both.view(np.uint8).reshape(-1), np.arange(len(ids) + 1) * 16)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.zeros(len(ids), np.int32)), pa.array(_bucket_of_id(ids, buckets)), pa.array(ids),
-                    pa.nulls(len(ids), pa.int64()), pa.array(sets.sizes.astype(np.int64)), body,
+                    pa.array(late[:, 0] | late[:, 1] << 32), pa.array(sets.sizes.astype(np.int64)), body,
                 ], _NAMES)
-                sig, doc = signatures(sets, percent)
-                if not len(sig):
-                    continue
-                keep, a, b = _stars(sig, ids[doc])
-                if len(a):
-                    yield _rows(1, bucket=_bucket_of_id(a, buckets), doc_id=a, other=b)
-                sig, mine = sig[keep], ids[doc[keep]]
-                out = []
-                for k, at in packing.by_bucket(packing.bucket_of(sig, buckets)):
-                    at = at[np.argsort(mine[at], kind="stable")]
-                    out.append((k, packing.pack([np.diff(mine[at], prepend=0), sig[at].tobytes()])))
-                for i in range(0, len(out), 2000):
-                    k, bodies = zip(*out[i : i + 2000])
-                    yield _rows(2, bucket=k, body=bodies)
+                # Of equal sets one sends digests: they have the same head later.
+                first = np.zeros(len(ids), bool)
+                first[np.unique(both, axis=0, return_index=True)[1]] = True
+                mine = first[doc]
+                sig, doc = sig[mine], doc[mine]
+                if len(sig):
+                    yield from _packed(packing.bucket_of(sig, buckets), ids[doc], sig)
 
     return run
 
 
+def _by_kind(batches: Iterator[pa.RecordBatch], docs: list[pa.RecordBatch], held: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+    """Sort rows into documents and digests by bucket."""
+    for batch in batches:
+        mine = batch.filter(pc.equal(batch.column("kind"), 0))
+        if len(mine):
+            docs.append(mine)
+            yield mine
+        rest = batch.filter(pc.equal(batch.column("kind"), 2))
+        for b, body in zip(rest.column("bucket").to_pylist(), rest.column("body").to_pylist()):
+            held.setdefault(b, []).append(body)
+
+
+def _count(buckets: int):
+    """Digests held by several documents go back to those, with the number of their holders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in _by_kind(batches, [], held):
+            yield batch
+        for b in sorted(held):
+            ids, sig = _unpacked(held.pop(b))
+            order = np.lexsort((ids, sig))
+            ids, sig = ids[order], sig[order]
+            once = np.ones(len(ids), bool)
+            once[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
+            ids, sig = ids[once], sig[once]
+            at = np.concatenate(([0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]))
+            holders = np.repeat(np.diff(at), np.diff(at))
+            many = holders > 1
+            ids, sig, holders = ids[many], sig[many], holders[many]
+            yield from _packed(_bucket_of_id(ids, buckets), ids, sig, holders)
+
+    return run
+
+
+def _leave_out(buckets: int):
+    """Of each scheme a document leaves out its commonest digests, ties by digest; the others go to their buckets.
+
+    kind 1: edges between the documents of a bucket that share a digest here already.  The least
+    one of those so connected stands for all, so a large group is sent once a bucket.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        docs: list[pa.RecordBatch] = []
+        for batch in _by_kind(batches, docs, held):
+            yield batch
+        if not held:
+            return
+        late = pa.Table.from_batches(docs).select(["doc_id", "other"])
+        known, first = np.unique(late.column("doc_id").to_numpy(), return_index=True)
+        both = late.column("other").to_numpy()[first]
+        for b in sorted(held):
+            ids, sig, holders = _unpacked(held.pop(b), np.int64)
+            odd = (sig & np.uint64(1)).astype(np.int64)
+            order = np.lexsort((sig, -holders, odd, ids))
+            ids, sig, odd = ids[order], sig[order], odd[order]
+            head = np.ones(len(ids), bool)
+            head[1:] = (ids[1:] != ids[:-1]) | (odd[1:] != odd[:-1])
+            start = np.flatnonzero(head)
+            rank = np.arange(len(ids)) - start[np.cumsum(head) - 1]
+            keep = rank >= (both[np.searchsorted(known, ids)] >> 32 * odd & 0xFFFFFFFF)
+            ids, sig = ids[keep], sig[keep]
+            root, node = _forest(_stars(sig, ids))
+            if len(node):
+                yield _rows(1, doc_id=root, other=node)
+                order = np.argsort(node)
+                root, node = root[order], node[order]
+                at = np.minimum(np.searchsorted(node, ids), len(node) - 1)
+                ids = np.where(node[at] == ids, root[at], ids)
+                order = np.lexsort((ids, sig))
+                ids, sig = ids[order], sig[order]
+                once = np.ones(len(ids), bool)
+                once[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
+                ids, sig = ids[once], sig[once]
+            if len(ids):
+                yield from _packed(packing.bucket_of(sig, buckets), ids, sig)
+
+    return run
+
+
+def _stars(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Edges (least id, other id) within each key."""
+    order = np.lexsort((ids, key))
+    k, i = key[order], ids[order]
+    head = np.ones(len(k), bool)
+    head[1:] = k[1:] != k[:-1]
+    least = i[np.flatnonzero(head)][np.cumsum(head) - 1] if len(k) else i
+    far = i != least
+    return np.stack([least[far], i[far]], axis=1)
+
+
 def _forest(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (least node of its component, node) that connect what ``edges`` connect."""
     nodes, ends = np.unique(edges, return_inverse=True)
@@ -277,30 +385,12 @@ def _forest(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list[bytes]] = {}
-    edges = []
-    for batch in batches:
-        kind = batch.column("kind")
-        docs = batch.filter(pc.equal(kind, 0))
-        if len(docs):
-            yield docs
-        near = batch.filter(pc.equal(kind, 1))
-        if len(near):
-            edges.append(np.stack([near.column("doc_id").to_numpy(), near.column("other").to_numpy()], axis=1))
-        rest = batch.filter(pc.equal(kind, 2))
-        for b, body in zip(rest.column("bucket").to_pylist(), rest.column("body").to_pylist()):
-            held.setdefault(b, []).append(body)
-    for b in sorted(held):
-        ids, sigs = [], []
-        for blob in held.pop(b):
-            i, s = packing.unpack(blob)
-            ids.append(np.cumsum(packing.inflate(i, np.int64)))
-            sigs.append(np.frombuffer(s, np.uint64))
-        _, x, y = _stars(np.concatenate(sigs), np.concatenate(ids))
-        edges.append(np.stack([x, y], axis=1))
+    for _ in _by_kind(batches, [], held):
+        pass
+    edges = [_stars(*_unpacked(held.pop(b))[::-1]) for b in sorted(held)]
     if edges:
         a, b = _forest(np.concatenate(edges))
-        if len(a):
-            yield _rows(1, doc_id=a, other=b)
+        yield _edges(np.stack([a, b], axis=1))
 
 
 def _linked(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -380,8 +470,8 @@ def _verify(size: int, percent: int):
     return run
 
 
-def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*pairs) if pairs else ((), ())
+def _edges(pairs: list[tuple[int, int]] | np.ndarray) -> pa.RecordBatch:
+    a, b = np.array(pairs, np.int64).reshape(-1, 2).T
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
@@ -441,14 +531,15 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     buckets = packing.bucket_count(spark, total)
     texts, numbers = _own_numbers(docs.where("doc_id IS NOT NULL"))
     sent = texts.mapInArrow(_send(buckets, shingle, percent), _ROW).repartition(buckets, "bucket")
-    met = scratch.write(sent.mapInArrow(_meet, _ROW).drop("bucket"), "setjoin-met")
+    shared = sent.mapInArrow(_count(buckets), _ROW).repartition(buckets, "bucket")
+    met = scratch.write(shared.mapInArrow(_leave_out(buckets), _ROW), "setjoin-met")
     rows = met.where("kind = 0").select("doc_id", F.col("body").alias("digest"), F.col("size").alias("n_shingles"))
 
     # One document stands for all with the same set.
     classes = scratch.write(_with_heads(rows), "setjoin-classes")
     one = classes.groupBy("doc_id").agg(F.min("head").alias("head"))
-    near = met.where("kind = 1").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
-    near = near.distinct()  # a pair meets in many buckets
+    near = met.where("kind = 2").repartition(buckets, "bucket").mapInArrow(_meet, "a long, b long")
+    near = near.union(met.where("kind = 1").select("doc_id", "other")).distinct()  # a pair meets in many buckets
     near = near.join(one.toDF("a", "ha"), "a").join(one.toDF("b", "hb"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
     clusters = graph.components(near).toDF("doc_id", "cluster")
 

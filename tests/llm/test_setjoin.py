@@ -115,6 +115,66 @@ def test_every_similar_pair_shares_a_digest(percent):
             assert set(sig[doc == 0].tolist()) & set(sig[doc == 1].tolist()) or set(a.tolist()) == set(b.tolist()), (n, m)
 
 
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_digest_is_left_that_both_keep(percent):
+    """Even where what similar sets share is commoner than all that they do not."""
+    rng = np.random.default_rng(percent + 1)
+    left_out = 0
+    for n in [*range(1, 60), 100, 233, 500, 1200]:
+        for _ in range(6):
+            items = rng.integers(1, 2**63, n + 400).astype(np.uint64)
+            m = int(rng.integers(n, n * 100 // percent + 1))
+            lost = (setjoin.difference_limit(n, m, percent) - (m - n)) // 2
+            if not lost and m == n:
+                continue
+            pair = items[:n], np.concatenate((items[lost:n], items[n : n + (m - n) + lost]))
+            both = setjoin.Sets.__new__(setjoin.Sets)
+            both.items = np.concatenate([np.sort(x) for x in pair])
+            both.sizes = np.array([len(x) for x in pair])
+            both.doc = np.repeat([0, 1], both.sizes)
+            both.first = np.concatenate(([0], np.cumsum(both.sizes)))
+            sig, doc, late = setjoin.counted_signatures(both, percent)
+            shared = set(sig[doc == 0].tolist()) & set(sig[doc == 1].tolist())
+            kept = []
+            for d in (0, 1):
+                for odd in (0, 1):
+                    mine = sorted((x for x in sig[doc == d].tolist() if x % 2 == odd), key=lambda x: (x not in shared, x))
+                    kept.append(set(mine[late[d, odd] :]))
+                    left_out += int(late[d, odd])
+            assert kept[0] & kept[2] or kept[1] & kept[3], (n, m)
+    assert left_out > 1000
+
+
+def test_common_passages_make_no_clusters(spark, monkeypatch):
+    """Texts that share passages with many others, but are not similar, do not grow together."""
+    rng = random.Random(12)
+    common = [sentence(rng, 16, 5000) for _ in range(6)]
+
+    def text(i):
+        parts = rng.sample(common, 2) + [" ".join(f"w{i}x{j}x{k}" for k in range(20)) for j in range(rng.randrange(4, 7))]
+        rng.shuffle(parts)
+        return " ".join(parts)
+
+    rows = [(i, text(i)) for i in range(600)]
+    for i in range(0, 60, 2):  # near copies of some
+        w = rows[i][1].split()
+        w[rng.randrange(len(w))] = f"edit{i}"
+        rows.append((1000 + i, " ".join(w)))
+    sent, write = [], setjoin.scratch.write
+
+    def spy(df, name):
+        out = write(df, name)
+        if name == "setjoin-clusters":
+            sent.extend(r["doc_id"] for r in out.collect())
+        return out
+
+    monkeypatch.setattr(setjoin.scratch, "write", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(df, shingle=5, percent=80) == brute(rows, 5, 80)
+    assert {i for k in range(0, 60, 2) for i in (k, 1000 + k)} <= set(sent)
+    assert len(sent) < 120, len(sent)
+
 def test_sets_of_a_batch():
     texts = ["a b c d e", "A B C D a b c d", "x y", "Y x", "", None, "a"]
     s = setjoin.Sets(pa.array(texts))
