@@ -383,14 +383,29 @@ def _forest(edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[root[far]], nodes[far]
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(buckets: int):
+    """Edges between documents that share a digest of a bucket, to the bucket of their least id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for _ in _by_kind(batches, [], held):
+            pass
+        edges = [_stars(*_unpacked(held.pop(b))[::-1]) for b in sorted(held)]
+        if edges:
+            a, b = _forest(np.concatenate(edges))
+            yield from _packed(_bucket_of_id(a, buckets), a, b.view(np.uint64))
+
+    return run
+
+
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A pair meets in many buckets: one edge of it is left."""
     held: dict[int, list[bytes]] = {}
     for _ in _by_kind(batches, [], held):
         pass
-    edges = [_stars(*_unpacked(held.pop(b))[::-1]) for b in sorted(held)]
-    if edges:
-        a, b = _forest(np.concatenate(edges))
-        yield _edges(np.stack([a, b], axis=1))
+    for k in sorted(held):
+        a, b = _unpacked(held.pop(k))
+        yield _edges(np.stack(_forest(np.stack([a, b.view(np.int64)], axis=1)), axis=1))
 
 
 def _linked(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -538,8 +553,9 @@ def components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     # One document stands for all with the same set.
     classes = scratch.write(_with_heads(rows), "setjoin-classes")
     one = classes.groupBy("doc_id").agg(F.min("head").alias("head"))
-    near = met.where("kind = 2").repartition(buckets, "bucket").mapInArrow(_meet, "a long, b long")
-    near = near.union(met.where("kind = 1").select("doc_id", "other")).distinct()  # a pair meets in many buckets
+    near = met.where("kind = 2").repartition(buckets, "bucket").mapInArrow(_meet(buckets), _ROW)
+    near = near.repartition(buckets, "bucket").mapInArrow(_unite, "a long, b long")
+    near = near.union(met.where("kind = 1").select("doc_id", "other")).distinct()
     near = near.join(one.toDF("a", "ha"), "a").join(one.toDF("b", "hb"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
     clusters = graph.components(near).toDF("doc_id", "cluster")
 
